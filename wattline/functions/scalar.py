@@ -109,8 +109,8 @@ def quiet_flag(
 def seconds_of(text: Column | str) -> Column:
     """`HH:MM:SS` as seconds; hours may pass 24; anything else is NULL."""
     parts = F.split(F.trim(col(text)), ":")
-    h, m, s = (F.trim(F.get(parts, F.lit(i))).try_cast("long") for i in range(3))
-    return F.when(F.size(parts) == 3, (h * 3600 + m * 60 + s).cast("double"))
+    h, m, s = (F.trim(F.get(parts, F.lit(i))).try_cast("long").cast("double") for i in range(3))
+    return F.when(F.size(parts) == 3, h * 3600 + m * 60 + s)
 
 
 def category(text: Column | str, mapping: Mapping[str, int] = ENABLE_STATES) -> Column:

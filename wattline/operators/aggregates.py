@@ -178,7 +178,7 @@ def constant_report(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         F.max("value").alias("max"),
         F.avg("value").alias("mean"),
         F.stddev_samp("value").alias("std"),
-        (F.count_if(F.col("value") == 0) / F.count("value")).alias("_zero"),
+        F.avg((F.col("value") == 0).cast("double")).alias("_zero"),
     )
     empty = F.col("_present") == 0
     out = stats.join(distinct, "feature").select(

@@ -4,15 +4,16 @@ Most series are short: they are windowed by their key, with one shuffle. A serie
 `max_rows` rows is cut along its order into chunks. Running values then add up what the earlier
 chunks hold (one small row per chunk), and row frames read a copied margin of the neighbouring block.
 
-Which series are long is found in the same plan, by a count per key. Only the `MAX_LONG` largest are
-treated as long, so that list has a fixed size bound and can be broadcast; any other series holds less
-than 1/MAX_LONG of all rows. When no series is long, adaptive execution drops the chunked branch.
+Which series are long is measured once, by a count per key. Only the `MAX_LONG` largest are treated as
+long, so that list has a fixed size bound and can be broadcast; any other series holds less than
+1/MAX_LONG of all rows. Operators measure what they are given; where their input is costly, measure a
+base table once and pass the result on.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping, Sequence
-from dataclasses import dataclass, replace
+from dataclasses import dataclass, field, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
@@ -31,6 +32,8 @@ class Series:
     time: str
     ties: tuple[str, ...] = ()
     max_rows: int | None = MAX_ROWS
+    measured: bool = False
+    long: DataFrame | None = field(default=None, compare=False, repr=False)
 
     def __post_init__(self):
         object.__setattr__(self, "keys", _names(self.keys))
@@ -67,28 +70,40 @@ def prefixed(df: DataFrame, keys: Sequence[str], prefix: str) -> DataFrame:
 
 
 def attach(df: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
-    """Join `small` on `keys`, NULL equal to NULL, keeping one copy of the keys."""
+    """Join `small` on `keys`, NULL equal to NULL, keeping one copy of the keys. A plain join on keys
+    that are never NULL keeps an existing partitioning; this one cannot."""
     joined = df.join(prefixed(small, keys, "_r_"), same(keys, "_r_"), how)
     return joined.drop(*["_r_" + k for k in keys])
 
 
-def long_series(df: DataFrame, series: Series) -> DataFrame:
-    """Keys, first order value, span and chunk count of the series above `max_rows`, largest first."""
+def measure(df: DataFrame, series: Series, step: int | None = None) -> Series:
+    """Count the rows of each series and remember the long ones: one pass over the key and time columns.
+
+    With `step` (in units of the order value) the rows are those of a regular grid from the first to the
+    last order value, which need not exist yet.
+    """
+    if series.max_rows is None:
+        return replace(series, measured=True, long=None)
     at = ordinal(df, series.time)
     counted = df.groupBy(*series.keys).agg(
         F.count(F.lit(1)).alias("_n"), F.min(at).alias("_lo"), F.max(at).alias("_hi")
     )
+    if step:
+        counted = counted.withColumn("_n", F.ceil((F.col("_hi") - F.col("_lo")) / step) + 1)
     largest = (
         counted.where(F.col("_n") > series.max_rows)
         .orderBy(F.col("_n").desc(), *series.keys)
         .limit(MAX_LONG)
     )
-    return largest.select(
+    found = largest.select(
         *series.keys,
-        "_lo",
+        F.col("_lo"),
         (F.col("_hi") - F.col("_lo")).cast("double").alias("_span"),
         F.ceil(F.col("_n") * 4 / series.max_rows).alias("_chunks"),
     )
+    rows = found.collect()  # at most MAX_LONG
+    long = df.sparkSession.createDataFrame(rows, found.schema) if rows else None
+    return replace(series, measured=True, long=long)
 
 
 class Part:
@@ -189,24 +204,20 @@ class Part:
         return attach(df, counts, keys)
 
 
-def per_series(
-    df: DataFrame,
-    series: Series,
-    build: Callable[[Part, DataFrame], DataFrame],
-    long: DataFrame | None = None,
-) -> DataFrame:
-    """Apply `build` to short series and, chunked, to long ones. `long` may be given to save the count."""
-    if series.max_rows is None:
+def per_series(df: DataFrame, series: Series, build: Callable[[Part, DataFrame], DataFrame]) -> DataFrame:
+    """Apply `build` to the short series and, chunked, to the long ones if there are any."""
+    if not series.measured:
+        series = measure(df, series)
+    if series.long is None:
         return build(Part(series, False), df)
-    if long is None:
-        long = long_series(df, series)
-    listed = F.broadcast(prefixed(long, series.keys, "_l_"))  # at most MAX_LONG rows
+    listed = F.broadcast(prefixed(series.long, series.keys, "_l_"))  # at most MAX_LONG rows
     match = same(series.keys, "_l_")
     short = df.join(listed, match, "left_anti")
-    chunk = F.floor((ordinal(df, series.time) - F.col("_lo")) / F.greatest("_span", F.lit(1e-9)) * F.col("_chunks"))
+    share = (ordinal(df, series.time) - F.col("_lo")) / F.greatest("_span", F.lit(1e-9))
+    chunk = F.floor(share * F.col("_chunks")).cast("long")
     cut = (
         df.join(listed, match, "inner")
-        .withColumn("_chunk", F.coalesce(chunk.cast("long"), F.lit(-1)))
+        .withColumn("_chunk", F.coalesce(chunk, F.lit(-1)))
         .drop("_lo", "_span", "_chunks", *["_l_" + k for k in series.keys])
     )
     left = build(Part(series, False), short)

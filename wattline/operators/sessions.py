@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wattline.config import GAP_INSERTED, TripConfig
-from wattline.operators.series import Part, Series, attach, ordinal, per_series
+from wattline.operators.series import Part, Series, attach, measure, ordinal, per_series
 
 SECOND = 1_000_000
 
@@ -68,18 +68,19 @@ def trips(
     state: DataFrame | None = None,
     check_file_gap: bool = False,
     count_padding: bool = True,
-    max_rows: int | None = None,
+    series: Series | None = None,
 ) -> DataFrame:
     """Add `trip_id` to gridded rows. Each (day, vehicle) is one file; a trip open at the end of a file
     goes on in the vehicle's next file. `state` holds one row per vehicle as `trip_state` returns it.
+    `series` may carry the row counts of the files, measured on the rows before the grid.
 
     `check_file_gap` also ends a trip when the time between two files is a break. With
     `count_padding=False` only real rows count towards the minimum length.
     """
-    series = Series((day, vehicle), time, max_rows=max_rows) if max_rows else Series((day, vehicle), time)
+    series = series or measure(df, Series((day, vehicle), time))
     numbered = _file_sessions(df, series, flag, step_s, config, count_padding)
     offsets = _file_offsets(numbered, series, step_s, config, state, check_file_gap)
-    joined = attach(numbered, offsets.select(*series.keys, "_base"), series.keys)
+    joined = numbered.join(offsets.select(*series.keys, "_base"), list(series.keys), "left")
     joined = joined.withColumn("_seq", F.col("_seq") + F.col("_base"))
     named = F.when(F.col("_open") & F.col("_seq").isNotNull(), trip_name(vehicle, "_seq"))
     return joined.withColumn("trip_id", named).drop("_seq", "_rows", "_open", "_base")
@@ -135,7 +136,7 @@ def _file_offsets(numbered, series, step_s, config, state, check_file_gap) -> Da
             F.unix_micros(F.col("last_ts").cast("timestamp")).alias("_state_at"),
             F.unix_micros(F.col("open_trip_start_ts").cast("timestamp")).alias("_state_start"),
         )
-        files = attach(files, known, [vehicle])
+        files = files.join(known, vehicle, "left")
         first = F.row_number().over(order) == 1
         open_before = F.when(first, F.col("_state_open")).otherwise(open_before)
         end_before = F.when(first, F.col("_state_at")).otherwise(end_before)
@@ -163,12 +164,13 @@ def trip_state(
     state: DataFrame | None = None,
     check_file_gap: bool = False,
     count_padding: bool = True,
+    series: Series | None = None,
 ) -> DataFrame:
     """One row per vehicle after its last file: counter, open trip, when that trip began, last time.
 
     Vehicles without a new file keep the row they had in `state`.
     """
-    series = Series((day, vehicle), time)
+    series = series or measure(silver, Series((day, vehicle), time))
     numbered = _file_sessions(silver, series, flag, step_s, config, count_padding)
     files = _file_offsets(numbered, series, step_s, config, state, check_file_gap)
     order = Window.partitionBy(vehicle).orderBy(day)
@@ -240,5 +242,6 @@ def rising_spans(
             back=1,
         )
 
+    series = series if series.measured else measure(df, series)
     rising = per_series(df, series, build).where(F.col("_rise") > rise).drop("_rise")
     return spans(rising, series, gap_s, min_rows)
