@@ -7,6 +7,7 @@ signals, labels and predictions, customers' orders for trips. Each query reads i
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -172,7 +173,7 @@ def rolling_stats(spark, sf):
 def rolling_sparse(spark, sf):
     """Frames with missing readings, filled from five readings on."""
     out = W.rolling(events(spark, sf), USER, ["reading"], [20, 60], min_periods=5)
-    return rounded(out.select("event_id", *[c for c in out.columns if "_roll_" in c]))
+    return rounded(out.select("event_id", *[c for c in out.columns if "_roll_" in c]), 8)
 
 
 @query
@@ -461,7 +462,7 @@ LINE = ("l_orderkey", "l_linenumber")
 def physics_columns(spark, sf):
     base = signals(spark, sf)
     out = S.physics(base)
-    return rounded(out.select(*LINE, *[c for c in out.columns if c not in base.columns]))
+    return rounded(out.select(*LINE, *[c for c in out.columns if c not in base.columns]), 9)
 
 
 @query
@@ -628,14 +629,15 @@ def training_rows(spark, sf):
     )
     features = ["stack_voltage_v", "battery_current_a", "is_charging_current", "is_parked_charging"]
     out = datasets.training_rows(gold, [*LINE, *features], "label", 52)
-    return rounded(out.select(*LINE, *features, "label"))
+    return rounded(out.select(*LINE, *features, "label"), 9)
 
 
 @query
 def split_dates(spark, sf):
     df = customer_orders(spark, sf)
-    train = [f"1992-01-{d:02d}" for d in range(1, 32)]
-    val = [f"1992-02-{d:02d}" for d in range(1, 30)]
+    days = [str(date(1995, 1, 1) + timedelta(n)) for n in range(365)]
+    train = [d for d in days if d < "1995-07-01"]
+    val = [d for d in days if d >= "1995-07-01"]
     return datasets.split_by_dates(df, train, val, CUSTOMER, "o_orderdate").select("o_orderkey", "split")
 
 
@@ -679,7 +681,7 @@ def micro_trips_removed(spark, sf):
 def constant_report(spark, sf):
     df = table(spark, sf, "lineitem").withColumns({"always_one": F.lit(1.0), "never": F.lit(None).cast("double")})
     names = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linenumber", "always_one", "never"]
-    return rounded(A.constant_report(df, names))
+    return rounded(A.constant_report(df, names), 8)
 
 
 @query
