@@ -6,6 +6,7 @@ signals, labels and predictions, customers' orders for trips. Each query reads i
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import date, timedelta
 
@@ -15,13 +16,15 @@ from pyspark.sql import functions as F
 from wattline import config as C
 from wattline.functions import scalar as S
 from wattline.operators import aggregates as A
-from wattline.operators import clean, datasets, diagnostics, drift, evaluation, intervals
+from wattline.operators import clean, datasets, diagnostics, drift, evaluation, intervals, model
 from wattline.operators import quantiles as Q
 from wattline.operators import resample as R
 from wattline.operators import sessions as T
 from wattline.operators import windows as W
 from wattline.operators.series import Series, measure, positions
 from wattline.session import checkpoint_dir
+from wattline.sources import tables as IO
+from wattline.streaming import stream as streams
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -787,3 +790,69 @@ def level_jumps(spark, sf):
 def trip_bands(spark, sf):
     out = diagnostics.trip_bands(customer_orders(spark, sf), CUSTOMER, "o_orderdate")
     return out.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("band_start", "band_end")})
+
+
+# ---- model
+
+
+FORECAST = C.ForecastConfig(
+    features=("l_extendedprice", "l_discount", "l_tax", "l_linenumber", "l_partkey"),
+    target="y", max_iter=5, max_depth=3, min_instances=10,
+)
+
+
+def fitted_model(spark, sf):
+    df = table(spark, sf, "lineitem").withColumn("y", F.col("l_quantity") * 2)
+    old = F.col("l_shipdate") < F.lit("1997-01-01").cast("timestamp")
+    checkpoint_dir(spark)
+    return model.fit(df.where(old), df.where(~old), FORECAST), df
+
+
+@query
+def fit_predict(spark, sf):
+    """Boosted trees on older order lines, scored on all of them."""
+    fitted, df = fitted_model(spark, sf)
+    return rounded(model.predict(fitted, df, "y").select(*LINE, "y", "pred", "error"))
+
+
+@query
+def feature_importance(spark, sf):
+    return rounded(model.importance(fitted_model(spark, sf)[0], spark))
+
+
+# ---- files and streams
+
+
+@query
+def file_fingerprints(spark, sf):
+    return IO.fingerprints(spark, sf)
+
+
+@query
+def numeric_features(spark, sf):
+    """Numeric columns that are not keys, with their NULL share."""
+    df = table(spark, sf, "lineitem")
+    names = S.choose_features(df, {"l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"})
+    return rounded(A.null_rates(df, names))
+
+
+@query
+def streamed_trips(spark, sf):
+    """Events as a stream: sessions closed by the watermark, numbered per user."""
+    schema = table(spark, sf, "events").schema
+    stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+    stream = stream.withColumn("ts", F.col("ts").cast("timestamp"))
+    closed = streams.session_stream(stream, "user_id", "ts", 4 * HOUR, "1 hour")
+    out = f"{checkpoint_dir(spark)}/streams/{uuid.uuid4().hex}"
+    streams.trip_stream(closed, "user_id", out, f"{out}/checkpoint", min_rows=2).awaitTermination()
+    trips = spark.read.parquet(f"{out}/trips").drop("batch")
+    return trips.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("trip_start_ts", "trip_end_ts")})
+
+
+@query
+def trip_sets(spark, sf):
+    """Trip rows of two feature tables put together by column name."""
+    e = user_sessions(spark, sf).where(F.col("trip_id").isNotNull())
+    errors = e.where(F.col("fault_any") == 1).groupBy("trip_id").agg(F.count(F.lit(1)).alias("errors"))
+    rest = e.where(F.col("fault_any") == 0).groupBy("trip_id").agg(F.sum("value").alias("total"))
+    return rounded(errors.unionByName(rest, allowMissingColumns=True))

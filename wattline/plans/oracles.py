@@ -549,3 +549,16 @@ ORACLES["trip_bands"] = """WITH t AS (
   SELECT o_custkey, min(o_orderdate)::TIMESTAMP AS band_start, max(o_orderdate)::TIMESTAMP AS band_end FROM orders GROUP BY o_custkey
 ), n AS (SELECT *, row_number() OVER (ORDER BY band_start, o_custkey) - 1 AS band FROM t)
 SELECT *, (band % 2)::INT AS parity FROM n"""
+
+ORACLES["numeric_features"] = " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", round(avg(CASE WHEN {c} IS NULL THEN 1.0 ELSE 0.0 END), 6) AS null_rate FROM lineitem"
+    for c in ("l_discount", "l_extendedprice", "l_quantity", "l_tax")
+)
+ORACLES["streamed_trips"] = f"""WITH {SESSIONS}, t AS (
+  SELECT user_id, seq, min(ts) AS trip_start_ts, max(ts) AS trip_end_ts, count(*) AS rows FROM s GROUP BY user_id, seq
+), mark AS (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 1 HOUR AS m FROM events)
+SELECT user_id, printf('%d_%06d', user_id, seq::BIGINT) AS trip_id, trip_start_ts, trip_end_ts, rows FROM t, mark
+WHERE rows >= 2 AND epoch_us(trip_end_ts) + 14400999999 <= epoch_us(m)"""
+ORACLES["trip_sets"] = f"""WITH {SESSIONS}
+SELECT trip_id, count(*) AS errors, NULL::DOUBLE AS total FROM s WHERE trip_id IS NOT NULL AND fault_any = 1 GROUP BY trip_id
+UNION ALL SELECT trip_id, NULL, round(sum(value), 6) FROM s WHERE trip_id IS NOT NULL AND fault_any = 0 GROUP BY trip_id"""
