@@ -41,7 +41,7 @@ def write_day(root: Path, fault_root: Path, day: str, vehicle: str, seed: int, s
     base = datetime.fromisoformat(day) + timedelta(seconds=start_s)
     rows, soc = [], 90.0 - seed % 5
     for i in range(seconds):
-        soc -= 0.006
+        soc -= 0.02
         if 1200 <= i < 1600 or rng.random() < 0.03:
             continue
         rows.append(reading(rng, i, base + timedelta(seconds=i), soc))

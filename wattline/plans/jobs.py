@@ -191,6 +191,9 @@ def train(
     f = settings.forecast
     fit_rows = load_training(spark, lake, train_days, vehicles, f)
     val_rows = micro_filtered(load_training(spark, lake, val_days, vehicles, f), f)
+    for name, rows in (("training", fit_rows), ("validation", val_rows)):
+        if rows.isEmpty():
+            raise ValueError(f"no {name} rows are left after filtering")
     checkpoint_dir(spark)  # long tree ensembles cut their lineage there
     fitted = model.fit(fit_rows, val_rows, f)
 
@@ -249,6 +252,8 @@ def evaluate(
     run = model.load_run(spark, lake.at("models"), settings.forecast.task, run_id)
     f = replace(settings.forecast, features=tuple(run.features), target=run.target)
     rows = micro_filtered(load_training(spark, lake, [day], vehicles, f), f)
+    if rows.isEmpty():
+        raise ValueError(f"no rows of {day} are left after filtering")
     scored = model.predict(run.model, rows, f.target).withColumn("split", F.lit("val"))
     out = evaluation_tables(scored, f)
     report = _drift(spark, lake, run, rows, f, vehicles, reference_days)
