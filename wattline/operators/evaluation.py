@@ -202,27 +202,24 @@ def trip_summary(df: DataFrame, trip: str, level: str, error: str = "abs_error")
 
 def histogram(df: DataFrame, value: str, bins: int, by: Sequence[str] = ()) -> DataFrame:
     """Counts in `bins` equal-width bins over the range of each group; the last bin is closed."""
-    keys = list(by) or ["_all"]
-    rows = df.withColumn("_all", F.lit(0)).select(*keys, F.col(value).cast("double").alias("_v"))
+    keys = list(by)
+    rows = df.select(*keys, F.col(value).cast("double").alias("_v"))
     rows = rows.where(F.col("_v").isNotNull() & ~F.isnan("_v"))
-    ends = rows.groupBy(*keys).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
-    point = F.col("_lo") == F.col("_hi")
-    ends = ends.select(
-        *keys,
-        F.when(point, F.col("_lo") - 0.5).otherwise(F.col("_lo")).alias("_lo"),
-        F.when(point, F.col("_hi") + 0.5).otherwise(F.col("_hi")).alias("_hi"),
-    )
-    placed = rows.join(ends, keys, "inner").withColumn(
-        "bin",
-        F.least(
-            F.floor((F.col("_v") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * bins), F.lit(bins - 1)
-        ).cast("int"),
-    )
+    lo, hi = F.min("_v"), F.max("_v")
+    pad = F.when(lo == hi, 0.5).otherwise(0.0)
+    ends = rows.groupBy(*keys).agg((lo - pad).alias("_lo"), (hi + pad).alias("_hi")).where(F.col("_lo").isNotNull())
+    if keys:
+        placed = rows.join(ends, keys, "inner")
+    else:
+        range_ = ends.select(F.struct("_lo", "_hi").alias("r")).scalar()  # one row
+        placed = rows.withColumn("_r", range_).select("_v", "_r.*")
+    share = (F.col("_v") - F.col("_lo")) / (F.col("_hi") - F.col("_lo"))
+    placed = placed.withColumn("bin", F.least(F.floor(share * bins), F.lit(bins - 1)).cast("int"))
     counts = placed.groupBy(*keys, "bin").agg(F.count(F.lit(1)).alias("_n"))
     width = (F.col("_hi") - F.col("_lo")) / bins
     grid = ends.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
     return grid.join(counts, [*keys, "bin"], "left").select(
-        *by,
+        *keys,
         "bin",
         (F.col("_lo") + F.col("bin") * width).alias("bin_start"),
         (F.col("_lo") + (F.col("bin") + 1) * width).alias("bin_end"),

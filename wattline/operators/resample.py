@@ -94,6 +94,17 @@ def resample(
     return out.withColumn(time, stamp.cast(kind)).drop("_t")
 
 
+def real_ticks(
+    df: DataFrame, keys: Sequence[str], time: str = "timestamp", step_s: int = 1, align: str = "exact"
+) -> DataFrame:
+    """Keys and tick times of the rows a grid is built on."""
+    step = step_s * 1_000_000
+    at = ordinal(df, time)
+    rows = df.where(at.isNotNull() if align == "floor" else at % step == 0)
+    stamp = F.timestamp_micros((F.floor(at / step) * step).cast("long"))
+    return rows.select(*keys, stamp.cast(df.schema[time].dataType).alias(time))
+
+
 def _present(df: DataFrame, fast, slow, status, counter) -> dict[str, list[str]]:
     have = set(df.columns)
     classes = {"fast": fast, "slow": slow, "status": status, "counter": counter}

@@ -6,28 +6,24 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wattline.config import GAP_INSERTED, TripConfig
-from wattline.operators.series import Part, Series, attach, measure, ordinal, per_series
+from wattline.operators.series import Part, Series, measure, ordinal, per_series
 
 SECOND = 1_000_000
 
 
-def _number(
-    part: Part, df: DataFrame, present: Column | None, gap_break: int, step_us: int, min_rows: int
-) -> DataFrame:
-    """Add `_seq` (NULL outside any session) and `_open` (whether the session is long enough)."""
+def _number(part: Part, df: DataFrame, gap_break: int, step_us: int) -> DataFrame:
+    """Add `_prev`, the time of the row before, and `_seq`, the session's number in its series."""
     at = ordinal(df, part.series.time)
-    real = F.when(present, at) if present is not None else at
-    df = part.running(df, {"_prev": ("max", real, False)})
-    far = F.col("_prev").isNull() | (at - F.col("_prev") >= (gap_break + 1) * step_us)
-    starts = far if present is None else present & far
-    specs = {"_seq": ("sum", F.when(starts, 1).otherwise(0).cast("long"), True)}
-    df = part.running(df, specs)
-    if present is not None:
-        # padding rows belong to the session before them until the gap is one row short of a break
-        padded = F.col("_prev").isNotNull() & (at - F.col("_prev") <= (gap_break - 1) * step_us)
-        df = df.withColumn("_seq", F.when(present | padded, F.col("_seq")))
-    df = part.group_count(df, "_seq", "_rows")
-    return df.withColumn("_open", F.col("_rows") >= min_rows).drop("_prev")
+    df = part.running(df, {"_prev": ("max", at, False)})
+    return part.running(df, {"_seq": ("sum", _one(_far(at, gap_break, step_us)), True)})
+
+
+def _far(at: Column, gap_break: int, step_us: int) -> Column:
+    return F.col("_prev").isNull() | (at - F.col("_prev") >= (gap_break + 1) * step_us)
+
+
+def _one(condition: Column) -> Column:
+    return F.when(condition, 1).otherwise(0).cast("long")
 
 
 def sessions(
@@ -45,10 +41,9 @@ def sessions(
     step_us = int(step_s * SECOND)
 
     def build(part: Part, d: DataFrame) -> DataFrame:
-        d = _number(part, d, None, gap_break, step_us, min_rows)
-        return d.withColumn(name, F.when(F.col("_open"), trip_name(series.keys[-1], "_seq"))).drop(
-            "_seq", "_rows", "_open"
-        )
+        d = part.group_count(_number(part, d, gap_break, step_us), "_seq", "_rows")
+        named = F.when(F.col("_rows") >= min_rows, trip_name(series.keys[-1], "_seq"))
+        return d.withColumn(name, named).drop("_prev", "_seq", "_rows")
 
     return per_series(df, series, build)
 
@@ -69,61 +64,76 @@ def trips(
     check_file_gap: bool = False,
     count_padding: bool = True,
     series: Series | None = None,
+    real: DataFrame | None = None,
 ) -> DataFrame:
     """Add `trip_id` to gridded rows. Each (day, vehicle) is one file; a trip open at the end of a file
     goes on in the vehicle's next file. `state` holds one row per vehicle as `trip_state` returns it.
-    `series` may carry the row counts of the files, measured on the rows before the grid.
-
-    `check_file_gap` also ends a trip when the time between two files is a break. With
-    `count_padding=False` only real rows count towards the minimum length.
-    """
-    series = series or measure(df, Series((day, vehicle), time))
-    numbered = _file_sessions(df, series, flag, step_s, config, count_padding)
-    offsets = _file_offsets(numbered, series, step_s, config, state, check_file_gap)
-    joined = numbered.join(offsets.select(*series.keys, "_base"), list(series.keys), "left")
-    joined = joined.withColumn("_seq", F.col("_seq") + F.col("_base"))
-    named = F.when(F.col("_open") & F.col("_seq").isNotNull(), trip_name(vehicle, "_seq"))
-    return joined.withColumn("trip_id", named).drop("_seq", "_rows", "_open", "_base")
 
+    Of a gap that ends a trip all but the last rows a break needs still belong to it (padding). Files
+    are taken to begin and end with a real row.
 
-def _file_sessions(df, series, flag, step_s, config, count_padding) -> DataFrame:
+    `real` may give the real rows' keys and times, from before the grid was made: which trips a file
+    has follows from them alone, so the grid is not computed twice. `series` may carry the files' row
+    counts, measured on the same rows. `check_file_gap` also ends a trip when the time between two files
+    is a break. With `count_padding=False` only real rows count towards the minimum length.
+    """
+    step = step_s * SECOND
     present = F.coalesce(F.col(flag), F.lit(0)).bitwiseAND(GAP_INSERTED) == 0
+    if real is None:
+        real = df.where(present).select(day, vehicle, time)
+    series = series or measure(df, Series((day, vehicle), time))
+    found = file_sessions(real, series, step, config, count_padding)
+    files = file_offsets(found, series, step, config, state, check_file_gap)
 
     def build(part: Part, d: DataFrame) -> DataFrame:
-        d = _number(part, d, present, config.gap_break, step_s * SECOND, config.min_rows)
-        if not count_padding:
-            d = d.drop("_rows").withColumn("_real", F.when(present, F.col("_seq")))
-            d = part.group_count(d, "_real", "_rows")
-            # padding rows take the verdict of their session through its largest real count
-            d = part.running(d, {"_last": ("max", F.when(present, F.struct("_seq", "_rows")), True)})
-            d = d.withColumn("_rows", F.col("_last._rows"))
-            d = d.withColumn("_open", F.col("_rows") >= config.min_rows).drop("_real", "_last")
-        return d
-
-    return per_series(df, series, build)
+        at = ordinal(d, time)
+        d = part.running(d, {"_prev": ("max", F.when(present, at), False)})
+        starts = present & _far(at, config.gap_break, step)
+        d = part.running(d, {"_seq": ("sum", _one(starts), True)})
+        padded = F.col("_prev").isNotNull() & (at - F.col("_prev") <= (config.gap_break - 1) * step)
+        d = d.withColumn("_seq", F.when(present | padded, F.col("_seq")))
+        if count_padding:
+            return part.group_count(d, "_seq", "_rows").drop("_prev")
+        # padding rows take the count of the real rows before them
+        d = part.group_count(d.withColumn("_real", F.when(present, F.col("_seq"))), "_real", "_rows")
+        d = part.running(d, {"_last": ("max", F.when(present, F.struct("_seq", "_rows")), True)})
+        return d.withColumn("_rows", F.col("_last._rows")).drop("_prev", "_real", "_last")
+
+    numbered = per_series(df, series, build)
+    joined = numbered.join(files.select(*series.keys, "_base"), list(series.keys), "left")
+    joined = joined.withColumn("_seq", F.col("_seq") + F.col("_base"))
+    long_enough = F.col("_seq").isNotNull() & (F.col("_rows") >= config.min_rows)
+    return joined.withColumn("trip_id", F.when(long_enough, trip_name(vehicle, "_seq"))).drop("_seq", "_rows", "_base")
 
 
-def _file_summary(numbered: DataFrame, series: Series) -> DataFrame:
-    at = ordinal(numbered, series.time)
-    per_session = (
-        numbered.where(F.col("_seq").isNotNull())
-        .groupBy(*series.keys, "_seq")
-        .agg(F.min(at).alias("_start"), F.max(at).alias("_end"), F.max("_open").alias("_open"))
+def file_sessions(real: DataFrame, series: Series, step: int, config: TripConfig, count_padding: bool) -> DataFrame:
+    """The sessions of each file, from its real rows: first and last time, and whether long enough."""
+    at = ordinal(real, series.time)
+    numbered = per_series(real, series, lambda part, d: _number(part, d, config.gap_break, step))
+    fresh = F.col("_prev").isNull() | (at > F.col("_prev"))
+    found = numbered.groupBy(*series.keys, "_seq").agg(
+        F.min(at).alias("_start"), F.max(at).alias("_end"), F.count_if(fresh).alias("_real")
     )
-    return per_session.groupBy(*series.keys).agg(
+    last = F.max("_seq").over(Window.partitionBy(*series.keys))
+    padding = F.when(F.col("_seq") < last, config.gap_break - 1).otherwise(0)
+    ticks = F.floor((F.col("_end") - F.col("_start")) / step) + 1 + padding
+    rows = ticks if count_padding else F.col("_real")
+    return found.withColumn("_open", rows >= config.min_rows)
+
+
+def file_offsets(
+    found: DataFrame, series: Series, step: int, config: TripConfig, state: DataFrame | None, check_file_gap: bool
+) -> DataFrame:
+    """One row per file: `_base` is what to add to its session numbers, `_cont` is 1 where its first
+    session continues the trip open at the end of the vehicle's previous file."""
+    day, vehicle = series.keys
+    files = found.groupBy(*series.keys).agg(
         F.max("_seq").alias("_sessions"),
         F.max_by("_open", "_seq").alias("_last_open"),
         F.max_by("_start", "_seq").alias("_newest"),
         F.min("_start").alias("_first_at"),
         F.max("_end").alias("_last_at"),
     )
-
-
-def _file_offsets(numbered, series, step_s, config, state, check_file_gap) -> DataFrame:
-    """One row per file: `_base` is what to add to its session numbers, `_cont` is 1 where its first
-    session continues the trip open at the end of the vehicle's previous file."""
-    day, vehicle = series.keys
-    files = _file_summary(numbered, series)
     order = Window.partitionBy(vehicle).orderBy(day)
     open_before = F.lag("_last_open").over(order)
     end_before = F.lag("_last_at").over(order)
@@ -145,20 +155,19 @@ def _file_offsets(numbered, series, step_s, config, state, check_file_gap) -> Da
         files = files.withColumn("_state_start", F.lit(None).cast("long"))
     goes_on = F.coalesce(open_before, F.lit(False))
     if check_file_gap:
-        near = F.col("_first_at") - end_before < (config.gap_break + 1) * step_s * SECOND
+        near = F.col("_first_at") - end_before < (config.gap_break + 1) * step
         goes_on = goes_on & F.coalesce(near, F.lit(False))
-    files = files.withColumn("_cont", F.when(goes_on, 1).otherwise(0).cast("long"))
+    files = files.withColumn("_cont", _one(goes_on))
     upto_last = order.rowsBetween(Window.unboundedPreceding, -1)
     earlier = F.coalesce(F.sum(F.col("_sessions") - F.col("_cont")).over(upto_last), F.lit(0))
     return files.withColumn("_base", start + earlier - F.col("_cont"))
 
 
 def trip_state(
-    silver: DataFrame,
+    real: DataFrame,
     day: str = "dt",
     vehicle: str = "vehicle_id",
     time: str = "timestamp",
-    flag: str = "quality_flag",
     step_s: int = 1,
     config: TripConfig = TripConfig(),
     state: DataFrame | None = None,
@@ -168,11 +177,13 @@ def trip_state(
 ) -> DataFrame:
     """One row per vehicle after its last file: counter, open trip, when that trip began, last time.
 
-    Vehicles without a new file keep the row they had in `state`.
+    Computed from the keys and times of the real rows. Vehicles without a new file keep the row they
+    had in `state`.
     """
-    series = series or measure(silver, Series((day, vehicle), time))
-    numbered = _file_sessions(silver, series, flag, step_s, config, count_padding)
-    files = _file_offsets(numbered, series, step_s, config, state, check_file_gap)
+    step = step_s * SECOND
+    series = series or measure(real, Series((day, vehicle), time))
+    found = file_sessions(real, series, step, config, count_padding)
+    files = file_offsets(found, series, step, config, state, check_file_gap)
     order = Window.partitionBy(vehicle).orderBy(day)
     # a trip that spans files began in the first of them: skip files it runs right through
     through = (F.col("_sessions") == 1) & (F.col("_cont") == 1)

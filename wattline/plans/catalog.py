@@ -31,6 +31,9 @@ QUERIES: dict[str, Query] = {}
 
 HOUR = 3600
 USER = Series("user_id", "ts", "event_id")
+FILE = Series(("dt", "vehicle_id"), "timestamp")
+HOURLY = C.ResampleConfig(step_s=HOUR, fast_limit_s=5 * HOUR, slow_limit_s=24 * HOUR, status_limit_s=48 * HOUR)
+DAILY_TRIPS = C.TripConfig(gap_break=4, min_rows=2)
 
 
 def query(f: Query) -> Query:
@@ -100,30 +103,30 @@ def session_totals(spark, sf):
 FILE = Series(("dt", "vehicle_id"), "timestamp")
 
 
-def daily_files(spark, sf) -> tuple[DataFrame, Series]:
-    """Events as files: one per user and day, on an hourly grid; and how long the files are."""
-    e = events(spark, sf).withColumn("dt", F.date_format("ts", "yyyy-MM-dd"))
-    e = e.select(
-        "dt",
+def daily_events(spark, sf) -> DataFrame:
+    """Events as files: one per user and day."""
+    return events(spark, sf).select(
+        F.date_format("ts", "yyyy-MM-dd").alias("dt"),
         F.col("user_id").cast("string").alias("vehicle_id"),
         F.col("ts").alias("timestamp"),
         "reading",
         "quality_flag",
         F.col("fault_any").cast("double").alias("fault_share"),
     )
-    grid = R.resample(
-        e, FILE.keys, config=HOURLY, fast=[], slow=["reading"], status=[], counter=[], align="floor"
-    )
-    return grid, measure(e, FILE, step=HOUR * 1_000_000)
 
 
-HOURLY = C.ResampleConfig(step_s=HOUR, fast_limit_s=5 * HOUR, slow_limit_s=24 * HOUR, status_limit_s=48 * HOUR)
-DAILY_TRIPS = C.TripConfig(gap_break=4, min_rows=2)
+def daily_ticks(spark, sf) -> tuple[DataFrame, Series]:
+    """The hours with events, per file, and how long the files will be on the grid."""
+    e = daily_events(spark, sf)
+    return R.real_ticks(e, FILE.keys, step_s=HOUR, align="floor"), measure(e, FILE, step=HOUR * 1_000_000)
 
 
 def daily_trips(spark, sf) -> DataFrame:
-    grid, series = daily_files(spark, sf)
-    return T.trips(grid, step_s=HOUR, config=DAILY_TRIPS, series=series)
+    real, series = daily_ticks(spark, sf)
+    grid = R.resample(
+        daily_events(spark, sf), FILE.keys, config=HOURLY, fast=[], slow=["reading"], status=[], counter=[], align="floor"
+    )
+    return T.trips(grid, step_s=HOUR, config=DAILY_TRIPS, series=series, real=real)
 
 
 def silver(spark, sf) -> DataFrame:
@@ -140,8 +143,8 @@ def trips_across_files(spark, sf):
 
 @query
 def trip_state(spark, sf):
-    grid, series = daily_files(spark, sf)
-    out = T.trip_state(grid, step_s=HOUR, config=DAILY_TRIPS, series=series)
+    real, series = daily_ticks(spark, sf)
+    out = T.trip_state(real, step_s=HOUR, config=DAILY_TRIPS, series=series)
     return out.select(
         "vehicle_id",
         "trip_seq",

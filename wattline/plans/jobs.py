@@ -74,11 +74,12 @@ def ingest(spark: SparkSession, lake: Lake, days: Sequence[str], settings: Setti
     silver, series = gridded(valid, faults, settings)
     state = trip_state_before(spark, lake, days[0])
     step = settings.resample.step_s
-    with_trips = sessions.trips(silver, step_s=step, config=settings.trips, state=state, series=series)
+    real = resample.real_ticks(valid, KEYS, step_s=step)
+    with_trips = sessions.trips(silver, step_s=step, config=settings.trips, state=state, series=series, real=real)
     IO.write_table(with_trips, lake.at("silver"), days)
 
     written = IO.read_table(spark, lake.at("silver"), days)
-    after = sessions.trip_state(written, step_s=step, config=settings.trips, state=state, series=series)
+    after = sessions.trip_state(real, step_s=step, config=settings.trips, state=state, series=series)
     after.withColumn("as_of", F.lit(days[-1])).write.mode("overwrite").option(
         "partitionOverwriteMode", "dynamic"
     ).partitionBy("as_of").parquet(lake.at("state/trips"))

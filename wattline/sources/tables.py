@@ -118,19 +118,24 @@ def missing_files(df: DataFrame, days: Sequence[str], vehicles: Sequence[str]) -
     return wanted.join(df.select("dt", "vehicle_id").distinct(), ["dt", "vehicle_id"], "left_anti")
 
 
-def write_table(df: DataFrame, root: str, days: Sequence[str] | None = None, by: Sequence[str] = ("dt", "vehicle_id")) -> None:
+def write_table(
+    df: DataFrame,
+    root: str,
+    days: Sequence[str] | None = None,
+    by: Sequence[str] = ("dt", "vehicle_id"),
+    rebalance: bool = False,
+) -> None:
     """Replace the partitions the rows belong to. With `days`, partitions of those days that got no rows
-    this time are removed after the write has succeeded. A rerun leaves the same table."""
+    this time are removed after the write has succeeded. A rerun leaves the same table.
+
+    Rows that were windowed by file lie together already; `rebalance` is for rows that are scattered.
+    """
     spark = df.sparkSession
     started = int(time.time() * 1000)
     before = _partitions(spark, root, days) if days is not None else []
-    (
-        df.hint("rebalance", *[F.col(c) for c in by])
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*by)
-        .parquet(root)
-    )
+    if rebalance:
+        df = df.hint("rebalance", *[F.col(c) for c in by])
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(root)
     for path, newest in before:
         if newest < started - 1000 and _newest(spark, path) < started - 1000:
             _fs(spark, path).delete(_path(spark, path), True)
