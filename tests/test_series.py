@@ -119,9 +119,12 @@ def test_quantiles_cut_and_whole_equal_numpy(spark, rows):
 
 
 def test_drift_measures_cut_and_whole(rows):
-    ref, new = (drift._long(rows.where(c), ["x"]) for c in ("id < 3000", "id >= 2000"))
+    ref, new = (drift.feature_values(rows.where(c), ["x"]) for c in ("id < 3000", "id >= 2000"))
     pairs = drift.paired_counts(ref, new)
-    assert drift.ks(pairs, None).first() == drift.ks(pairs, 200).first()
+    whole, cut = (quantiles.value_series(ref.unionByName(new), ["feature"], max_rows=m) for m in (None, 200))
+    assert whole.long is None and cut.long.count() == 1
+    assert drift.ks(pairs, whole).first() == drift.ks(pairs, cut).first()
+    assert drift.psi(pairs, drift.edges(ref, whole), True).first() == drift.psi(pairs, drift.edges(ref, cut), True).first()
 
 
 def test_interval_flags_cut_and_whole(spark, rows):

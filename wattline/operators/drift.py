@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from wattline.config import Thresholds
 from wattline.operators.aggregates import unpivoted
-from wattline.operators.quantiles import cumulative, quantiles_of_counts, value_counts
-from wattline.operators.series import MAX_ROWS
+from wattline.operators.quantiles import cumulative, quantiles_of_counts, value_counts, value_series
+from wattline.operators.series import MAX_ROWS, Series
 
 # Quantiles a baseline keeps, points of a sketch, bins of the stability index.
 BASELINE_QUANTILES = {"p10": 0.10, "p25": 0.25, "p50": 0.50, "p75": 0.75, "p90": 0.90}
@@ -21,7 +21,10 @@ EPS = 1e-6
 MIN_VALUES = 10
 
 
-def _long(df: DataFrame, features: Sequence[str]) -> DataFrame:
+FEATURE = ("feature",)
+
+
+def feature_values(df: DataFrame, features: Sequence[str]) -> DataFrame:
     have = [f for f in features if f in df.columns]
     return unpivoted(df, have).withColumn("value", F.when(~F.isnan("value"), F.col("value")))
 
@@ -37,8 +40,9 @@ def _moments(long: DataFrame) -> DataFrame:
 
 def baseline(df: DataFrame, features: Sequence[str], max_rows: int | None = MAX_ROWS) -> DataFrame:
     """Distribution of each feature; one that is always NULL keeps its row."""
-    long = _long(df, features)
-    cuts = quantiles_of_counts(value_counts(long, ["feature"], "value"), ["feature"], BASELINE_QUANTILES, max_rows)
+    long = feature_values(df, features)
+    series = value_series(long, FEATURE, max_rows=max_rows)
+    cuts = quantiles_of_counts(value_counts(long, FEATURE, "value"), series, BASELINE_QUANTILES)
     return _moments(long).join(cuts, "feature", "left").select(
         "feature", "mean", "std", *BASELINE_QUANTILES, "null_rate", "n"
     )
@@ -58,16 +62,16 @@ def sketch_values(base: DataFrame, points: int = SKETCH_POINTS) -> DataFrame:
     return spread.select("feature", value.alias("value"))
 
 
-def edges(ref_counts: DataFrame, bins: int = PSI_BINS, max_rows: int | None = MAX_ROWS) -> DataFrame:
-    """Distinct quantiles of the reference, ascending, as one short array per feature."""
+def edges(ref: DataFrame, series: Series, bins: int = PSI_BINS) -> DataFrame:
+    """Distinct quantiles of the reference values, ascending, as one short array per feature."""
     names = {f"_e{i}": i / bins for i in range(bins + 1)}
-    cuts = quantiles_of_counts(ref_counts, ["feature"], names, max_rows)
+    cuts = quantiles_of_counts(value_counts(ref, FEATURE, "value"), series, names)
     return cuts.select("feature", F.array_sort(F.array_distinct(F.array(*names))).alias("edges"))
 
 
 def paired_counts(ref: DataFrame, new: DataFrame) -> DataFrame:
     """(feature, value, n_ref, n_new) for every distinct value on either side."""
-    a, b = value_counts(ref, ["feature"], "value", "n_ref"), value_counts(new, ["feature"], "value", "n_new")
+    a, b = value_counts(ref, FEATURE, "value", "n_ref"), value_counts(new, FEATURE, "value", "n_new")
     both = a.unionByName(b, allowMissingColumns=True)
     return both.groupBy("feature", "value").agg(
         F.coalesce(F.sum("n_ref"), F.lit(0)).alias("n_ref"), F.coalesce(F.sum("n_new"), F.lit(0)).alias("n_new")
@@ -107,9 +111,9 @@ def psi(pairs: DataFrame, cuts: DataFrame, open_ends: bool) -> DataFrame:
     return bins.groupBy("feature").agg(F.round(F.sum(counted), 4).alias("psi"))
 
 
-def ks(pairs: DataFrame, max_rows: int | None = MAX_ROWS) -> DataFrame:
+def ks(pairs: DataFrame, series: Series) -> DataFrame:
     """Two-sample Kolmogorov-Smirnov distance and its limiting p-value per feature."""
-    ranked = cumulative(pairs, ["feature"], ["n_ref", "n_new"], max_rows)
+    ranked = cumulative(pairs, series, ["n_ref", "n_new"])
     gap = F.abs(
         F.col("_upto_n_ref") / F.col("_total_n_ref") - F.col("_upto_n_new") / F.col("_total_n_new")
     )
@@ -149,18 +153,19 @@ def drift_report(
     features = [r[0] for r in base.select("feature").collect()]  # column names
     features = [f for f in features if f in new.columns]
     base = base.where(F.col("feature").isin(*features))
-    fresh = _long(new, features)
+    fresh = feature_values(new, features)
     sample = reference is not None
-    ref = _long(reference, features) if sample else sketch_values(base)
+    ref = feature_values(reference, features) if sample else sketch_values(base)
     pairs = paired_counts(ref, fresh)
-    cuts = edges(value_counts(ref, ["feature"], "value"), max_rows=max_rows)
+    series = value_series(ref.unionByName(fresh) if sample else fresh, FEATURE, max_rows=max_rows)
+    cuts = edges(ref, series)
     now = _moments(fresh).select(
         "feature", F.col("mean").alias("_mean"), F.col("null_rate").alias("_null"), F.col("n").alias("_n")
     )
     joined = (
         base.join(now, "feature", "inner")
         .join(psi(pairs, cuts, sample), "feature", "left")
-        .join(ks(pairs, max_rows), "feature", "left")
+        .join(ks(pairs, series), "feature", "left")
     )
     return drift_status(joined, thresholds)
 

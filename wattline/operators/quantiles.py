@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wattline.operators.series import MAX_ROWS, Part, Series, per_series
+from wattline.operators.series import MAX_ROWS, Part, Series, measure, per_series
 
 
 def value_counts(df: DataFrame, by: Sequence[str], value: str, name: str = "n") -> DataFrame:
@@ -21,14 +21,21 @@ def value_counts(df: DataFrame, by: Sequence[str], value: str, name: str = "n")
     )
 
 
-def cumulative(counts: DataFrame, by: Sequence[str], names: Sequence[str], max_rows: int | None = MAX_ROWS) -> DataFrame:
+def value_series(rows: DataFrame, by: Sequence[str], value: str = "value", max_rows: int | None = MAX_ROWS) -> Series:
+    """Which groups have many values, counted on the rows themselves: cheaper than counting distinct
+    values, of which there are at most as many."""
+    values = rows.select(*by, F.col(value).cast("double").alias("value"))
+    return measure(values.where(~F.isnan("value")), Series(tuple(by), "value", max_rows=max_rows))
+
+
+def cumulative(counts: DataFrame, series: Series, names: Sequence[str]) -> DataFrame:
     """Add for each count column its running sum in value order (`_upto_*`) and its group total."""
 
     def build(part: Part, d: DataFrame) -> DataFrame:
         d = part.running(d, {f"_upto_{n}": ("sum", F.col(n), True) for n in names})
         return part.whole(d, {f"_total_{n}": F.sum(n) for n in names})
 
-    return per_series(counts, Series(tuple(by), "value", max_rows=max_rows), build)
+    return per_series(counts, series, build)
 
 
 def exact_quantiles(
@@ -42,15 +49,15 @@ def exact_quantiles(
     keys = tuple(by) or ("_all",)
     if not by:
         df = df.withColumn("_all", F.lit(0))
-    return quantiles_of_counts(value_counts(df, keys, value), keys, quantiles, max_rows).drop(
-        *(() if by else ("_all",))
-    )
+    series = value_series(df, keys, value, max_rows)
+    out = quantiles_of_counts(value_counts(df, keys, value), series, quantiles)
+    return out if by else out.drop("_all")
 
 
-def quantiles_of_counts(
-    counts: DataFrame, by: Sequence[str], quantiles: Mapping[str, float], max_rows: int | None = MAX_ROWS
-) -> DataFrame:
-    ranked = cumulative(counts, by, ["n"], max_rows)
+def quantiles_of_counts(counts: DataFrame, series: Series, quantiles: Mapping[str, float]) -> DataFrame:
+    """The same from distinct values and their counts `n`."""
+    by = series.keys
+    ranked = cumulative(counts, series, ["n"])
 
     def place(p: float) -> Column:
         return (F.col("_total_n") - 1) * F.lit(float(p))

@@ -100,9 +100,6 @@ def session_totals(spark, sf):
     )
 
 
-FILE = Series(("dt", "vehicle_id"), "timestamp")
-
-
 def daily_events(spark, sf) -> DataFrame:
     """Events as files: one per user and day."""
     return events(spark, sf).select(
@@ -741,26 +738,31 @@ def drift_baseline(spark, sf):
 
 def drift_pairs(spark, sf, sample: bool):
     old, new = before_after(spark, sf)
-    fresh = drift._long(new, DRIFT_FEATURES)
-    ref = drift._long(old, DRIFT_FEATURES) if sample else drift.sketch_values(drift.baseline(old, DRIFT_FEATURES))
-    return ref, drift.paired_counts(ref, fresh)
+    fresh = drift.feature_values(new, DRIFT_FEATURES)
+    if sample:
+        ref = drift.feature_values(old, DRIFT_FEATURES)
+    else:
+        ref = drift.sketch_values(drift.baseline(old, DRIFT_FEATURES))
+    both = ref.unionByName(fresh) if sample else fresh
+    return ref, drift.paired_counts(ref, fresh), Q.value_series(both, drift.FEATURE)
 
 
 @query
 def psi_sample(spark, sf):
-    ref, pairs = drift_pairs(spark, sf, True)
-    return drift.psi(pairs, drift.edges(Q.value_counts(ref, ["feature"], "value")), True)
+    ref, pairs, series = drift_pairs(spark, sf, True)
+    return drift.psi(pairs, drift.edges(ref, series), True)
 
 
 @query
 def psi_sketch(spark, sf):
-    ref, pairs = drift_pairs(spark, sf, False)
-    return drift.psi(pairs, drift.edges(Q.value_counts(ref, ["feature"], "value")), False)
+    ref, pairs, series = drift_pairs(spark, sf, False)
+    return drift.psi(pairs, drift.edges(ref, series), False)
 
 
 @query
 def ks_test(spark, sf):
-    return rounded(drift.ks(drift_pairs(spark, sf, True)[1]))
+    _, pairs, series = drift_pairs(spark, sf, True)
+    return rounded(drift.ks(pairs, series))
 
 
 @query
