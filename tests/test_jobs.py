@@ -12,7 +12,7 @@ from wattline.sources import tables as IO
 
 DAYS = ["2026-02-23", "2026-02-24", "2026-02-25"]
 VEHICLES = ["007", "EV01"]
-QUICK = jobs.Settings(forecast=replace(C.ForecastConfig(), max_iter=4, max_depth=3))
+QUICK = jobs.Settings(forecast=replace(C.ForecastConfig(), max_iter=2, max_depth=2))
 
 
 @pytest.fixture(scope="module")
@@ -124,6 +124,23 @@ def test_train_evaluate_and_drift(spark, lake):
         model.load_run(spark, lake.at("models"), "soc_forecast", "v9__x__00000000")
 
 
+def test_study_writes_its_tables(spark, lake):
+    out = jobs.study(spark, lake, DAYS[0], ["EV01", "007"], n_val=1, settings=QUICK)
+    assert out["split_summary"].count() == 2
+    back = spark.read.option("header", True).csv(lake.at(f"reports/study/dt={DAYS[0]}/val_predictions"))
+    assert back.count() == out["val_predictions"].count() > 0
+    report = spark.read.option("header", True).csv(lake.at(f"reports/study/dt={DAYS[0]}/feature_constant_report"))
+    assert report.count() == len(C.FORECAST_FEATURES)
+    with pytest.warns(UserWarning, match="EV99"):
+        jobs.load_training(spark, lake, DAYS[:1], ["EV01", "EV99"], QUICK.forecast)
+
+
+def test_a_range_of_days():
+    assert jobs.day_range("2026-02-27", "2026-03-01") == ["2026-02-27", "2026-02-28", "2026-03-01"]
+    with pytest.raises(ValueError):
+        jobs.day_range("2026-03-01", "2026-02-27")
+
+
 def test_partitions_without_rows_are_replaced(spark, folder):
     df = spark.createDataFrame([("d1", "a", 1), ("d1", "b", 2), ("d2", "a", 3)], "dt string, vehicle_id string, x int")
     IO.write_table(df, folder + "/t")
@@ -145,3 +162,9 @@ def test_file_names_and_headers_are_checked(spark, folder):
         IO.read_raw(spark, folder + "/raw").select("vehicle_id").collect()
     with pytest.raises(FileNotFoundError):
         IO.read_raw(spark, folder + "/raw", ["2030-01-01"])
+    other = Path(folder) / "mixed" / "dt=2026-01-01"
+    other.mkdir(parents=True)
+    (other / "vehicle_id=a.csv").write_text("Timestamp,SOC (%)\n01/01/2026 00:00:00,5\n")
+    (other / "vehicle_id=b.csv").write_text("SOC (%),Timestamp\n5,01/01/2026 00:00:00\n")
+    with pytest.raises(Exception, match="header"):
+        IO.read_raw(spark, folder + "/mixed").collect()

@@ -26,7 +26,6 @@ def trip_rows(
     level_name: str = "soc",
 ) -> DataFrame:
     """One row per trip: extent, rows, change of `level`, fault seconds, peaks and energy."""
-    order = F.struct(time, *ties)
     out = [
         F.min(time).alias("trip_start_ts"),
         F.max(time).alias("trip_end_ts"),
@@ -35,9 +34,10 @@ def trip_rows(
     if vehicle:
         out.append(F.min(vehicle).alias(vehicle))
     if level:
-        # a struct keeps a NULL first or last reading, which is then the answer
-        out.append(F.min(F.struct(time, *ties, level)).getField(level).alias(f"{level_name}_start"))
-        out.append(F.max(F.struct(time, *ties, level)).getField(level).alias(f"{level_name}_end"))
+        # a NULL first or last reading is the answer, too; a plain time keeps this a hash aggregation
+        order = F.struct(time, *ties) if ties else F.col(time)
+        out.append(F.min_by(level, order).alias(f"{level_name}_start"))
+        out.append(F.max_by(level, order).alias(f"{level_name}_end"))
     if fault:
         out.append(F.sum(F.coalesce(F.col(fault), F.lit(0))).cast("long").alias("fault_seconds"))
     out += [F.max(p).alias(f"{p}_max") for p in peaks]
@@ -110,13 +110,17 @@ def ingest_manifest(
         F.min(time).alias("data_start_ts"),
         F.max(time).alias("data_end_ts"),
     )
+    # two narrow aggregations: distinct counts of two columns at once would triple the rows
     active = F.sum("fault_any") if "fault_any" in silver.columns else F.lit(0)
-    right = silver.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("silver_rows"),
-        (F.count(F.lit(1)) - F.count_distinct(time)).alias("silver_duplicate_timestamps"),
-        F.count_distinct("trip_id").alias("num_trips"),
-        F.coalesce(active, F.lit(0)).cast("long").alias("fault_active_rows"),
+    per_trip = silver.groupBy(*keys, "trip_id").agg(F.count(F.lit(1)).alias("_n"), active.alias("_f"))
+    right = per_trip.groupBy(*keys).agg(
+        F.sum("_n").alias("silver_rows"),
+        F.count("trip_id").alias("num_trips"),
+        F.coalesce(F.sum("_f"), F.lit(0)).cast("long").alias("fault_active_rows"),
     )
+    per_tick = silver.groupBy(*keys, time).agg((F.count(F.lit(1)) - 1).alias("_extra"))
+    doubled = per_tick.groupBy(*keys).agg(F.sum("_extra").alias("silver_duplicate_timestamps"))
+    right = right.join(doubled, keys, "left")
     out = left.join(right, keys, "left")
     if faults is None:
         return out.withColumn("num_fault_events", F.lit(0).cast("long"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattline.config import KNOWN_FAULT_CODES
@@ -94,39 +94,36 @@ def pre_event_stats(
 ) -> DataFrame:
     """Row count and mean of each signal in `[event - before_s, event)`, per event.
 
-    Time is cut into chunks as wide as the look-back, so a window covers the end of one chunk and the
-    start of the next. Prefix sums within a chunk are read at both window ends: work grows with rows
+    Time is cut into slots as wide as the look-back, so a window covers the end of one slot and the
+    start of the next. Running sums within a slot are read at both window ends: work grows with rows
     plus events, never with their product.
     """
     keys = series.keys
     width = int(before_s * SECOND)
     signals = list(signals)
 
-    def chunked(d: DataFrame) -> DataFrame:
-        return d.withColumn("_chunk", F.floor(F.col("_at") / width))
-
-    rows = chunked(df.select(*keys, *signals, ordinal(df, series.time).alias("_at"))).withColumns(
-        {"_one": F.lit(1), "_kind": F.lit(1)}
-    )
+    slot = F.floor(F.col("_at") / width)
+    rows = df.select(*keys, *signals, ordinal(df, series.time).alias("_at"), F.lit(1).alias("_one"), F.lit(1).alias("_kind"))
+    rows = rows.where(F.col("_at").isNotNull()).withColumn("_slot", slot)
     moment = ordinal(events, event_time)
     base = events.where(F.col(event_time).isNotNull()).select(*keys, event_id, moment.alias("_to"))
     ends = F.array(
         F.struct(F.col("_to").alias("_at"), F.lit(1).alias("_sign"), F.lit(0).alias("_shift")),
         F.struct((F.col("_to") - width).alias("_at"), F.lit(-1).alias("_sign"), F.lit(0).alias("_shift")),
-        # all of the earlier chunk: read just before the later chunk begins
+        # all of the earlier slot: read behind its last row
         F.struct(F.col("_to").alias("_at"), F.lit(1).alias("_sign"), F.lit(1).alias("_shift")),
     )
-    probes = base.select(*keys, event_id, F.inline(ends)).withColumn(
-        "_chunk", F.floor(F.col("_at") / width) - F.col("_shift")
-    )
+    probes = base.select(*keys, event_id, F.inline(ends)).withColumn("_slot", slot - F.col("_shift"))
     # probes sort before rows of the same time (rows at the event itself do not count)
-    probes = probes.withColumns({"_kind": F.lit(0)}).drop("_shift")
+    probes = probes.withColumn("_kind", F.lit(0)).drop("_shift")
     walk = rows.unionByName(probes, allowMissingColumns=True)
-    upto = Window.partitionBy(*keys, "_chunk").orderBy("_at", "_kind").rowsBetween(Window.unboundedPreceding, 0)
-    sums = [F.sum("_one").over(upto).alias("_rows")]
+    order = Series((*keys, "_slot"), "_at", ("_kind",), series.max_rows)
+    sums = {"_rows": ("sum", F.coalesce("_one", F.lit(0)), True)}
     for s in signals:
-        sums += [F.sum(s).over(upto).alias(f"_s_{s}"), F.count(s).over(upto).alias(f"_c_{s}")]
-    read = walk.select(*keys, event_id, "_kind", "_sign", *sums).where(F.col("_kind") == 0)
+        sums[f"_s_{s}"] = ("sum", F.coalesce(F.col(s), F.lit(0.0)), True)
+        sums[f"_c_{s}"] = ("sum", F.col(s).isNotNull().cast("int"), True)
+    walked = per_series(walk, order, lambda part, d: part.running(d, sums))
+    read = walked.where(F.col("_kind") == 0).select(*keys, event_id, "_sign", *sums)
 
     def net(name: str) -> Column:
         return F.sum(F.coalesce(F.col(name), F.lit(0)) * F.col("_sign"))

@@ -7,7 +7,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wattline.operators.series import Part, Series, ordinal, per_series
+from wattline.operators.series import Part, Series, ordinal, per_series, positions
 
 AGGS = ("mean", "std", "min", "max")
 # Above this many rows a frame is built by joining shorter frames instead of being re-read per row.
@@ -199,6 +199,11 @@ def plausible(source: str, label: str, max_jump: float) -> Column:
     return jump.isNull() | (jump <= max_jump)
 
 
+def drop_first(df: DataFrame, series: Series, rows: int, name: str = "position") -> DataFrame:
+    """Add each row's place in its series and drop the first `rows`, whose frames are not full yet."""
+    return positions(df, series, name).where(F.col(name) >= rows)
+
+
 def window_features(
     df: DataFrame,
     series: Series,

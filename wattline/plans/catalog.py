@@ -21,7 +21,7 @@ from wattline.operators import quantiles as Q
 from wattline.operators import resample as R
 from wattline.operators import sessions as T
 from wattline.operators import windows as W
-from wattline.operators.series import Series, measure, positions
+from wattline.operators.series import Series, measure
 from wattline.session import checkpoint_dir
 from wattline.sources import tables as IO
 from wattline.streaming import stream as streams
@@ -194,7 +194,7 @@ def future_label(spark, sf):
 @query
 def position(spark, sf):
     """Place in the series; the first three rows are dropped."""
-    return positions(events(spark, sf), USER).where(F.col("position") >= 3).select("event_id", "position")
+    return W.drop_first(events(spark, sf), USER, 3).select("event_id", "position")
 
 
 @query

@@ -6,8 +6,10 @@ files. A table that several later plans read is written once and read back.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
 from dataclasses import dataclass, field, replace
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +17,7 @@ from pyspark.sql import functions as F
 from wattline import config as C
 from wattline.functions import scalar as S
 from wattline.operators import aggregates as A
-from wattline.operators import clean, datasets, drift, evaluation, intervals, model, resample, sessions, windows
+from wattline.operators import clean, datasets, diagnostics, drift, evaluation, intervals, model, resample, sessions, windows
 from wattline.operators.series import Series, measure
 from wattline.session import checkpoint_dir
 from wattline.sources import tables as IO
@@ -63,7 +65,8 @@ def ingest(spark: SparkSession, lake: Lake, days: Sequence[str], settings: Setti
     """
     days = sorted(days)
     raw = clean.standardize(IO.read_raw(spark, lake.raw_files, days))
-    checked = clean.flagged(clean.parsed(raw))
+    IO.write_table(clean.flagged(clean.parsed(raw)), lake.at("staging/checked"), days)  # text is read once
+    checked = IO.read_table(spark, lake.at("staging/checked"), days)
     IO.write_json(clean.validation_report(checked), lake.at(f"reports/validation/{days[0]}_{days[-1]}"))
 
     valid = S.check_ranges(checked.where(F.col("timestamp").isNotNull()), C.RANGES).drop("_reversed")
@@ -171,8 +174,21 @@ def trip_table(rows: DataFrame, g: C.GoldConfig = C.GoldConfig(), across_days: b
 # ---- model
 
 
+def day_range(first: str, last: str) -> list[str]:
+    """All days from `first` to `last`, both included: a backfill is one job over such a list."""
+    a, b = date.fromisoformat(first), date.fromisoformat(last)
+    if b < a:
+        raise ValueError(f"{last} is before {first}")
+    return [str(a + timedelta(n)) for n in range((b - a).days + 1)]
+
+
 def load_training(spark: SparkSession, lake: Lake, days: Sequence[str], vehicles: Sequence[str] | None, f: C.ForecastConfig) -> DataFrame:
+    """Training rows of the days and vehicles; files that are absent are named in a warning."""
     rows = IO.read_table(spark, lake.at("gold/window_features"), list(days), vehicles)
+    if vehicles is not None:
+        absent = IO.missing_files(rows, days, vehicles).orderBy("dt", "vehicle_id").collect()  # days x vehicles
+        if absent:
+            warnings.warn(f"no feature rows for {[tuple(r) for r in absent]}")
     return datasets.training_rows(rows, f.features, f.target, f.drop_mask)
 
 
@@ -292,3 +308,52 @@ def _drift(spark, lake, run, rows, f, vehicles, reference_days) -> DataFrame:
         sample = load_training(spark, lake, reference_days, vehicles, f).select(*f.features)
     base = model.run_baseline(spark, run)
     return drift.drift_report(base, rows.select(*f.features), sample, f.thresholds)
+
+
+# ---- one day in depth
+
+
+def study(
+    spark: SparkSession,
+    lake: Lake,
+    day: str,
+    vehicles: Sequence[str] | None = None,
+    n_val: int = 20,
+    settings: Settings = Settings(),
+) -> dict[str, DataFrame]:
+    """Hold out the last trips of one day, fit on the rest, and write what there is to see as CSV: constant
+    features, baselines, scored rows, errors per trip, importances and suspicious rows."""
+    f = replace(settings.forecast, drop_mask=C.GAP_INSERTED)
+    rows = load_training(spark, lake, [day], vehicles, f)
+    names = {"speed": "motor_speed_rpm", "power": "output_power_kw", "current": "battery_current_a"}
+    rows = diagnostics.quiet_rows(rows, "soc_pct", f.target, **names)
+    split = datasets.split_last_trips(rows, n_val)
+    fit_rows, val_rows = (split.where(F.col("split") == s) for s in ("train", "val"))
+    checkpoint_dir(spark)
+    fitted = model.fit(fit_rows, val_rows, f)
+
+    scored = model.predict(fitted, split, f.target)
+    val = scored.where(F.col("split") == "val")
+    shown = [
+        "timestamp", "trip_id", "soc_pct", f.target, "battery_current_a", "output_power_kw", "motor_speed_rpm",
+        "quality_flag", "pred", "error", "abs_error",
+    ]
+    ties = ["timestamp", "trip_id"]
+    rolled = "soc_pct_roll_mean_60s"
+    out = {
+        "feature_constant_report": A.constant_report(rows, f.features),
+        "split_summary": datasets.split_summary(split),
+        "baselines": evaluation.baseline_maes(val, f.target, "soc_pct", rolled if rolled in val.columns else None),
+        "summary": evaluation.train_val_metrics(scored, f.target, "pred", t=f.thresholds),
+        "val_predictions": S.existing(val, shown),
+        "val_per_trip": evaluation.trip_summary(val, "trip_id", "soc_pct"),
+        "feature_importance": model.importance(fitted, spark, None),
+        "worst_rows": evaluation.worst_rows(S.existing(val, shown), 15, ties=ties),
+        "suspicious_rows": S.existing(diagnostics.contradictions(val), shown),
+        "level_jumps": S.existing(diagnostics.level_jumps(val, "soc_pct", f.target), [*shown, "level_change"]),
+        "tail_shares": evaluation.tail_shares(val),
+        "error_histogram": evaluation.histogram(val, "abs_error", 60),
+    }
+    for name, table in out.items():
+        IO.write_csv(table, lake.at(f"reports/study/dt={day}/{name}"))
+    return out
