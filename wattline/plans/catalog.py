@@ -42,6 +42,7 @@ def query(f: Query) -> Query:
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    spark.conf.set("spark.sql.session.timeZone", "UTC")  # the tables' times carry no zone
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
@@ -833,6 +834,21 @@ def file_fingerprints(spark, sf):
     return IO.fingerprints(spark, sf)
 
 
+@query
+def stored_days(spark, sf):
+    """Events written as a partitioned table, and a range of its days and two of its series read back."""
+    rows = events(spark, sf).select(
+        F.date_format("ts", "yyyy-MM-dd").alias("dt"), F.col("event_type").alias("vehicle_id"), "event_id", "value"
+    )
+    root = f"{checkpoint_dir(spark)}/tables/{uuid.uuid4().hex}"
+    IO.write_table(rows, root, rebalance=True)
+    back = IO.read_table(
+        spark, root, vehicles=["error", "view"], columns=["dt", "vehicle_id", "event_id", "absent"],
+        first_day="2024-01-05", last_day="2024-01-20",
+    )
+    return back
+
+
 @query
 def numeric_features(spark, sf):
     """Numeric columns that are not keys, with their NULL share."""

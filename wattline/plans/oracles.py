@@ -554,6 +554,8 @@ ORACLES["numeric_features"] = " UNION ALL ".join(
     f"SELECT '{c}' AS \"column\", round(avg(CASE WHEN {c} IS NULL THEN 1.0 ELSE 0.0 END), 6) AS null_rate FROM lineitem"
     for c in ("l_discount", "l_extendedprice", "l_quantity", "l_tax")
 )
+ORACLES["stored_days"] = """SELECT strftime(ts, '%Y-%m-%d') AS dt, event_type AS vehicle_id, event_id FROM events
+WHERE event_type IN ('error', 'view') AND ts >= TIMESTAMP '2024-01-05' AND ts < TIMESTAMP '2024-01-21'"""
 ORACLES["streamed_trips"] = f"""WITH {SESSIONS}, t AS (
   SELECT user_id, seq, min(ts) AS trip_start_ts, max(ts) AS trip_end_ts, count(*) AS rows FROM s GROUP BY user_id, seq
 ), mark AS (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 1 HOUR AS m FROM events)
