@@ -135,6 +135,17 @@ def test_study_writes_its_tables(spark, lake):
         jobs.load_training(spark, lake, DAYS[:1], ["EV01", "EV99"], QUICK.forecast)
 
 
+def test_fingerprints_are_sha256(spark, lake):
+    import hashlib
+
+    out = {r["file"]: r["sha256"] for r in IO.fingerprints(spark, lake.at("gold/trip_features"), DAYS[:1], ["EV01"]).collect()}
+    files = list(Path(lake.at(f"gold/trip_features/dt={DAYS[0]}/vehicle_id=EV01")).glob("*.parquet"))
+    assert len(out) == len(files) > 0
+    for f in files:
+        key = f"dt={DAYS[0]}/vehicle_id=EV01/{f.name}"
+        assert out[key] == "sha256:" + hashlib.sha256(f.read_bytes()).hexdigest()[:16]
+
+
 def test_a_range_of_days():
     assert jobs.day_range("2026-02-27", "2026-03-01") == ["2026-02-27", "2026-02-28", "2026-03-01"]
     with pytest.raises(ValueError):

@@ -4,9 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from wattline.functions.scalar import has_bits
 
@@ -84,7 +83,7 @@ def daily_rows(
         ((before - after) / F.greatest(before, F.lit(1))).alias("drop_pct"),
         "window_feature_rows",
         "trip_count",
-        flag_int(F.col("window_feature_rows") >= min_rows).alias("has_enough_rows"),
+        (F.col("window_feature_rows") >= min_rows).cast("int").alias("has_enough_rows"),
         "trip_groups_processed",
         F.col("trip_groups_processed").alias("window_parts_written"),
         (after - F.col("window_feature_rows")).alias("dropped_unrealistic_target_rows"),
@@ -92,10 +91,6 @@ def daily_rows(
     )
 
 
-def flag_int(condition: Column) -> Column:
-    return condition.cast("int")
-
-
 def ingest_manifest(
     raw: DataFrame,
     silver: DataFrame,
@@ -206,7 +201,3 @@ def null_rates(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame
     names = list(columns or df.columns)
     one = df.agg(*[F.avg(F.col(c).isNull().cast("double")).alias(c) for c in names])
     return one.unpivot([], names, "column", "null_rate")
-
-
-def numeric_columns(df: DataFrame) -> list[str]:
-    return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]

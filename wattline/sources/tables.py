@@ -8,7 +8,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattline.config import FAULT_HEADERS, HEADERS, TIME_FORMATS
+from wattline.config import FAULT_HEADERS, TIME_FORMATS
 from wattline.functions.scalar import add_missing, parse_time
 
 FILE_VEHICLE = r"(?i)vehicle_id=([^./]+)\.csv$"
@@ -223,5 +223,3 @@ def _partitions(spark: SparkSession, root: str, days: Sequence[str]) -> list[tup
             out.append((path, _newest(spark, path)))
     return out
 
-
-RAW_COLUMNS = tuple(HEADERS)
