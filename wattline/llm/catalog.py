@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from wattline.llm import language, suffix_tree
+from wattline.llm.common import remainder
 from wattline.llm.quality import compression_bands
 
 
@@ -11,9 +14,24 @@ def documents(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/documents.parquet")
 
 
+def op1_suffix_tree(spark: SparkSession, sf: str) -> DataFrame:
+    return suffix_tree.suffix_tree_scores(documents(spark, sf), remainder(F.col("doc_id"), 5) == 1)
+
+
 def op4_compression_bands(spark: SparkSession, sf: str) -> DataFrame:
     return compression_bands(documents(spark, sf))
 
 
-QUERIES = {"op4_compression_bands": op4_compression_bands}
+def op8_kneser_ney(spark: SparkSession, sf: str) -> DataFrame:
+    docs = documents(spark, sf)
+    held = remainder(F.col("doc_id"), 4) == 2
+    model = language.fit(docs.where(~held), "doc_id", "text", "lang")
+    return language.predict(docs, model, held_out=held)
+
+
+QUERIES = {
+    "op1_suffix_tree": op1_suffix_tree,
+    "op4_compression_bands": op4_compression_bands,
+    "op8_kneser_ney": op8_kneser_ney,
+}
 ORACLES: dict[str, str] = {}

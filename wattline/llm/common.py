@@ -7,14 +7,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattline.session import checkpoint_dir
 
-#: Rows of a batch that are worked on together in Python; bounds what a worker holds besides the batch itself.
-SLICE = 1024
+#: Bytes of text that are worked on together in Python; bounds what a worker holds besides the batch itself.
+SLICE = 1 << 20
 #: Remembered words of a task; the memory is emptied when it is full.
 REMEMBERED = 300_000
 
@@ -44,10 +45,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def slices(batches: Iterator[pa.RecordBatch], size: int = SLICE) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], text: int = 0, size: int = SLICE) -> Iterator[pa.RecordBatch]:
+    """Parts of the batches with about `size` bytes of the text column, a row at least."""
     for batch in batches:
-        for at in range(0, batch.num_rows, size):
-            yield batch.slice(at, size)
+        if batch.num_rows:
+            length = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
+            part = (np.cumsum(length + 64) - 1) // size
+            cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
+            for begin, end in zip(cuts, cuts[1:]):
+                yield batch.slice(begin, end - begin)
 
 
 def utf8(column: pa.Array) -> list[bytes]:
@@ -120,3 +126,59 @@ def signed(x: np.ndarray) -> np.ndarray:
 
 def each(parts: list[np.ndarray], kind=np.int64) -> np.ndarray:
     return np.concatenate(parts) if parts else np.empty(0, kind)
+
+
+def distinct(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct codes and how often each occurs."""
+    codes = np.sort(codes)
+    if not len(codes):
+        return codes, np.empty(0, np.int64)
+    begins = np.flatnonzero(np.concatenate([[True], codes[1:] != codes[:-1]]))
+    return codes[begins], np.diff(np.append(begins, len(codes)))
+
+
+def summed(codes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct codes and the sum of the counts of each."""
+    order = np.argsort(codes, kind="stable")
+    codes, counts = codes[order], counts[order]
+    if not len(codes):
+        return codes, counts
+    begins = np.flatnonzero(np.concatenate([[True], codes[1:] != codes[:-1]]))
+    return codes[begins], np.add.reduceat(counts, begins)
+
+
+class Tally:
+    """Counts of 64-bit codes by label within a task. It holds about `most` codes; what is over is given out to be
+    summed by Spark."""
+
+    def __init__(self, most: int = 4_000_000):
+        self.most, self.held, self.parts = most, 0, {}
+
+    def add(self, label, codes: np.ndarray) -> Iterator[tuple]:
+        part = distinct(codes)
+        self.parts.setdefault(label, []).append(part)
+        self.held += len(part[0])
+        if self.held > self.most:
+            self.sum()
+            if self.held > self.most // 2:
+                yield from self.rest()
+
+    def sum(self) -> None:
+        self.parts = {x: [summed(each([c for c, _ in p], np.uint64), each([n for _, n in p]))] for x, p in self.parts.items()}
+        self.held = sum(len(p[0][0]) for p in self.parts.values())
+
+    def rest(self) -> Iterator[tuple]:
+        """(label, codes, counts), and starts anew."""
+        self.sum()
+        for label, ((codes, counts),) in self.parts.items():
+            if len(codes):
+                yield label, codes, counts
+        self.parts, self.held = {}, 0
+
+
+def lookup(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whether each wanted key is among the sorted keys, and its place."""
+    if not len(keys):
+        return np.zeros(len(wanted), bool), np.zeros(len(wanted), np.int64)
+    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    return keys[at] == wanted, at

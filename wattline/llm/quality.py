@@ -111,7 +111,7 @@ def compression_bands(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
 
     def work(batches):
         packer = zstandard.ZstdCompressor(level=limits.level)
-        for b in slices(batches):
+        for b in slices(batches, 1):
             found = [measure(t, packer, limits) for t in b.column(1).to_pylist()]
             yield rows_of(fields, b.column(0), *([r[i] for r in found] for i in range(9)))
 
@@ -124,7 +124,7 @@ def quality_stage(docs: DataFrame, limits: Limits = Limits(), text: str = "text"
 
     def work(batches):
         packer = zstandard.ZstdCompressor(level=limits.level)
-        for b in slices(batches):
+        for b in slices(batches, at):
             yield b.filter(pa.array([measure(t, packer, limits)[-1] for t in b.column(at).to_pylist()], pa.bool_()))
 
     return docs.mapInArrow(work, docs.schema)
