@@ -128,6 +128,20 @@ def each(parts: list[np.ndarray], kind=np.int64) -> np.ndarray:
     return np.concatenate(parts) if parts else np.empty(0, kind)
 
 
+def rounded(n: str) -> Column:
+    """A count down to three digits, so that a histogram of counts has some thousand rows at most."""
+    step = F.pow(F.lit(10.0), F.greatest(F.floor(F.log10(n)) - 2, F.lit(0))).cast("long")
+    return F.col(n) - F.col(n) % step
+
+
+def least_count(df: DataFrame, most: int) -> int | None:
+    """The least count n from which on no more than `most` rows are left; None if there is none."""
+    by_count = sorted(df.groupBy(rounded("n").alias("n")).count().collect(), reverse=True)
+    above = np.cumsum([r[1] for r in by_count])
+    fits = np.flatnonzero(above <= most)
+    return by_count[fits[-1]][0] if len(fits) else None
+
+
 def distinct(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct codes and how often each occurs."""
     codes = np.sort(codes)
