@@ -7,7 +7,12 @@ from pyspark.sql import functions as F
 
 from wattline.llm import language, suffix_tree
 from wattline.llm.common import remainder
+from wattline.llm.edit_counts import edited_counts, redactions
+from wattline.llm.hash_index import exact_duplicates
+from wattline.llm.mixing import mix
+from wattline.llm.packing import pack
 from wattline.llm.quality import compression_bands
+from wattline.llm.token_files import token_table
 
 
 def documents(spark: SparkSession, sf: str) -> DataFrame:
@@ -18,10 +23,23 @@ def op1_suffix_tree(spark: SparkSession, sf: str) -> DataFrame:
     return suffix_tree.suffix_tree_scores(documents(spark, sf), remainder(F.col("doc_id"), 5) == 1)
 
 
+def op3_entropy_balancing(spark: SparkSession, sf: str) -> DataFrame:
+    return mix(documents(spark, sf))
+
+
 def op4_compression_bands(spark: SparkSession, sf: str) -> DataFrame:
     return compression_bands(documents(spark, sf))
 
 
+def op5_extendible_hash(spark: SparkSession, sf: str) -> DataFrame:
+    return exact_duplicates(documents(spark, sf))
+
+
+def op6_edited_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Tokens of every document before and after personal data are replaced by placeholders."""
+    return edited_counts(documents(spark, sf), redactions)
+
+
 def op8_kneser_ney(spark: SparkSession, sf: str) -> DataFrame:
     docs = documents(spark, sf)
     held = remainder(F.col("doc_id"), 4) == 2
@@ -29,9 +47,22 @@ def op8_kneser_ney(spark: SparkSession, sf: str) -> DataFrame:
     return language.predict(docs, model, held_out=held)
 
 
+def op9_token_files(spark: SparkSession, sf: str) -> DataFrame:
+    return token_table(documents(spark, sf))
+
+
+def op10_mixture_packing(spark: SparkSession, sf: str) -> DataFrame:
+    return pack(documents(spark, sf))
+
+
 QUERIES = {
     "op1_suffix_tree": op1_suffix_tree,
+    "op3_entropy_balancing": op3_entropy_balancing,
     "op4_compression_bands": op4_compression_bands,
+    "op5_extendible_hash": op5_extendible_hash,
+    "op6_edited_counts": op6_edited_counts,
     "op8_kneser_ney": op8_kneser_ney,
+    "op9_token_files": op9_token_files,
+    "op10_mixture_packing": op10_mixture_packing,
 }
 ORACLES: dict[str, str] = {}
