@@ -10,6 +10,7 @@ from wattline.llm.common import remainder
 from wattline.llm.edit_counts import edited_counts, redactions
 from wattline.llm.hash_index import exact_duplicates
 from wattline.llm.mixing import mix
+from wattline.llm.ngram_join import link_components
 from wattline.llm.packing import pack
 from wattline.llm.quality import compression_bands
 from wattline.llm.token_files import token_table
@@ -23,6 +24,10 @@ def op1_suffix_tree(spark: SparkSession, sf: str) -> DataFrame:
     return suffix_tree.suffix_tree_scores(documents(spark, sf), remainder(F.col("doc_id"), 5) == 1)
 
 
+def op2_grouped_prefix_join(spark: SparkSession, sf: str) -> DataFrame:
+    return link_components(documents(spark, sf), k=3, percent=90)
+
+
 def op3_entropy_balancing(spark: SparkSession, sf: str) -> DataFrame:
     return mix(documents(spark, sf))
 
@@ -57,6 +62,7 @@ def op10_mixture_packing(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     "op1_suffix_tree": op1_suffix_tree,
+    "op2_grouped_prefix_join": op2_grouped_prefix_join,
     "op3_entropy_balancing": op3_entropy_balancing,
     "op4_compression_bands": op4_compression_bands,
     "op5_extendible_hash": op5_extendible_hash,
