@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,6 +10,7 @@ from wattline.llm import language, suffix_tree
 from wattline.llm.common import remainder
 from wattline.llm.edit_counts import edited_counts, redactions
 from wattline.llm.hash_index import exact_duplicates
+from wattline.llm.line_dedup import deduplicated_lines
 from wattline.llm.mixing import mix
 from wattline.llm.ngram_join import link_components
 from wattline.llm.packing import pack
@@ -45,6 +47,10 @@ def op6_edited_counts(spark: SparkSession, sf: str) -> DataFrame:
     return edited_counts(documents(spark, sf), redactions)
 
 
+def op7_winnowed_lines(spark: SparkSession, sf: str) -> DataFrame:
+    return deduplicated_lines(documents(spark, sf))
+
+
 def op8_kneser_ney(spark: SparkSession, sf: str) -> DataFrame:
     docs = documents(spark, sf)
     held = remainder(F.col("doc_id"), 4) == 2
@@ -67,8 +73,12 @@ QUERIES = {
     "op4_compression_bands": op4_compression_bands,
     "op5_extendible_hash": op5_extendible_hash,
     "op6_edited_counts": op6_edited_counts,
+    "op7_winnowed_lines": op7_winnowed_lines,
     "op8_kneser_ney": op8_kneser_ney,
     "op9_token_files": op9_token_files,
     "op10_mixture_packing": op10_mixture_packing,
+    "pipeline": corpus_pipeline.run,
 }
 ORACLES: dict[str, str] = {}
+if corpus_pipeline.ORACLE_SQL:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL

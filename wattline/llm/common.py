@@ -45,6 +45,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: The column of `numbered`.
+ROW = "__row_number"
+
+
+def numbered(df: DataFrame) -> DataFrame:
+    """df as a stored table whose rows have a number of their own: ids may be NULL or repeat."""
+    return stored(df.withColumn(ROW, F.monotonically_increasing_id()), "numbered")
+
+
 def slices(batches: Iterator[pa.RecordBatch], text: int = 0, size: int = SLICE) -> Iterator[pa.RecordBatch]:
     """Parts of the batches with about `size` bytes of the text column, a row at least."""
     for batch in batches:

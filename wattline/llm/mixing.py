@@ -14,13 +14,14 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wattline.llm.common import columns, stored
+from wattline.llm.common import ROW, columns, numbered, stored
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: A tilt beyond this is as good as a rate of 0 or of the cap for a document of mean size.
 STEEPEST = 700.0
 #: Rates are rounded to whole multiples of 1 / UNIT.
 UNIT = 1 << 30
+COPIES = "__mix_copies"
 
 
 def words_of(text) -> F.Column:
@@ -88,13 +89,23 @@ def mix(docs: DataFrame, targets: dict | None = None, cap: float = 2.0, doc_id:
     rates passes a half. So each source's copies are right to within one, reruns agree, and no document exceeds the cap
     rounded up. Equal rows are documents of their own.
     """
-    base = columns(docs, doc_id=doc_id, source=source, text=text)
-    sized = base.select("doc_id", F.col("source").cast("string").alias("source"), words_of(F.col("text")).alias("size"), F.xxhash64("doc_id", "text").alias("draw"))
-    return _mixed(stored(sized, "sizes"), targets, cap, per_group, **rule).drop("draw")
+    base = columns(docs, doc_id=doc_id, source=source, text=text).withColumn("row", F.lit(0))
+    return _mixed(base, targets, cap, per_group, **rule).drop("draw", "row")
 
 
-def _mixed(sized: DataFrame, targets: dict | None, cap: float, per_group: int, **rule) -> DataFrame:
-    spark = sized.sparkSession
+def mixed_copies(docs: DataFrame, cap: float = 2.0, doc_id: str = "doc_id", text: str = "text", source: str = "source", per_group: int = 256, **rule) -> DataFrame:
+    """The documents with all their columns, each as often as `mix` takes it."""
+    rows = numbered(docs)
+    plan = _mixed(columns(rows, doc_id=doc_id, source=source, text=text, row=ROW), None, cap, per_group, **rule)
+    taken = plan.where("copies > 0").select(F.col("row").alias(ROW), F.array_repeat(F.lit(0), F.col("copies").cast("int")).alias(COPIES))
+    out = rows.join(taken, ROW).withColumn(COPIES, F.explode(COPIES))
+    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def _mixed(base: DataFrame, targets: dict | None, cap: float, per_group: int, **rule) -> DataFrame:
+    spark = base.sparkSession
+    sized = base.select("doc_id", "row", F.col("source").cast("string").alias("source"), words_of(F.col("text")).alias("size"), F.xxhash64("doc_id", "text").alias("draw"))
+    sized = stored(sized, "sizes")
     cells = stored(sized.groupBy("source", "size").agg(F.count("*").alias("n")), "cells")
     by_source = cells.groupBy("source").agg(F.sum(F.col("n") * F.col("size")).alias("size"), F.sum("n").alias("n")).collect()
     sizes = {r.source: (r["size"], r.n) for r in by_source}
@@ -118,4 +129,4 @@ def _mixed(sized: DataFrame, targets: dict | None, cap: float, per_group: int, *
     end = F.col("before") + F.sum("units").over(within) + UNIT // 2
     copies = F.expr(f"shiftright(`end`, {UNIT.bit_length() - 1}) - shiftright(`end` - units, {UNIT.bit_length() - 1})")
     out = placed.withColumn("end", end).withColumn("copies", copies)
-    return out.select("doc_id", "draw", "source", "size", "source_size", "target", "rate", "copies", (F.col("copies") * F.col("size")).alias("taken"))
+    return out.select("doc_id", "row", "draw", "source", "size", "source_size", "target", "rate", "copies", (F.col("copies") * F.col("size")).alias("taken"))

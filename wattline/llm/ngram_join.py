@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattline.llm.common import Hashes, Tally, arrow_table, columns, each, kind_of, lists_of, lookup, rows_of, shingles, signed, slices, stored, utf8
+from wattline.llm.common import ROW, Hashes, Tally, arrow_table, columns, each, kind_of, lists_of, lookup, numbered, rows_of, shingles, signed, slices, stored, utf8
 from wattline.llm.components import components
 from wattline.llm.hash_index import bit_set
 
@@ -282,3 +282,10 @@ def _links(base: DataFrame, real: DataFrame, members: DataFrame, k: int, percent
     size = (F.length("items") / 8).cast("long")
     rest = left.join(main, "token").join(sets, "node").select(F.col("token").alias("key"), "node", (F.col("home") != F.col("main")).alias("open"), "part", size.alias("size"), "items")
     return links.union(in_blocks(rest, percent))
+
+
+def one_of_each(docs: DataFrame, text: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
+    """The documents with all their columns, one of each component: the first as they are stored."""
+    rows = numbered(docs)
+    found = link_components(rows, ROW, text, k, percent)
+    return rows.join(found.where("doc_id = component_id").select(F.col("doc_id").alias(ROW)), ROW, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
