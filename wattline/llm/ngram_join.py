@@ -1,7 +1,7 @@
 """N-gram Jaccard join: a grouped prefix join of the documents' sets of word shingles.
 
 Shingles are 64-bit hashes in one order for all documents, rare ones first. Two sets that are similar enough share a
-shingle in their prefixes, the first few of each. Documents with the same prefix and size are one group, and groups stand
+shingle, and long sets several, in their prefixes, the first few of each. Documents with the same prefix and size are one group, and groups stand
 for their documents in the index by prefix shingle. Each group has a home, one of its shingles that others share. In a
 home, members are verified against its leader, then those that differ from it against all others, in blocks. Pairs that
 share a shingle but no home are verified last. Links are kept as far as components need them.
@@ -27,8 +27,13 @@ def sets_of(texts: list[bytes], k: int, hashes: Hashes) -> list[np.ndarray]:
     """Sorted distinct shingle hashes of each text, A-Z in lower case."""
     words = [t.lower().split() for t in texts]
     flat = hashes.of([w for x in words for w in x])
-    ends = np.cumsum([len(x) for x in words])
-    return [np.unique(shingles(flat[e - len(x) : e], k)) for x, e in zip(words, ends)]
+    every = shingles(flat, k) if len(flat) >= k else flat[:0]
+    out, begin = [], 0
+    for x in words:
+        end = begin + len(x)
+        out.append(np.unique(every[begin : end - k + 1]) if len(x) >= k else shingles(flat[begin:end], k))
+        begin = end
+    return out
 
 
 def node_of(s: np.ndarray) -> int:
@@ -71,21 +76,44 @@ def common_shingles(texts: DataFrame, k: int, share: float, window: int = 4_000_
     return code[order], n[order]
 
 
+def least_common(n: int, percent: int) -> int:
+    """The least size of an intersection with a set of size n that is similar enough."""
+    return -(-percent * n // 100)
+
+
+def shared_size(n: int, percent: int) -> int:
+    """How many shingles the prefix of a set of size n is to share: one, and one more for each third that it is longer."""
+    least = least_common(n, percent)
+    return min(1 + (n - least) // 3, least)
+
+
 def prefix_size(n: int, percent: int) -> int:
-    return n - -(-percent * n // 100) + 1
+    """Similar sets of sizes n and m share as many shingles of their prefixes as the smaller one's `shared_size`."""
+    return n - least_common(n, percent) + shared_size(n, percent)
+
+
+def needed(n: int, percent: int) -> int:
+    """Shingles of its prefix that a set of size n shares with any similar one, however small that may be."""
+    return shared_size(least_common(n, percent), percent)
+
+
+def text_hashes(texts: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, texts), np.uint64, len(texts))
 
 
 def signatures(base: DataFrame, k: int, percent: int, share: float) -> DataFrame:
-    """doc_id, n (size of the set), node, gid (name of size and prefix), prefix of each row of (doc_id, text)."""
+    """Of each row of (doc_id, text): doc_id, n (size of the set), node, gid (name of size and prefix), text_hash, prefix.
+    The prefix stands with a group's first row in a task only."""
     shared = base.sparkSession.sparkContext.broadcast(common_shingles(base.select("text"), k, share))
-    schema = f"doc_id {kind_of(base, 'doc_id')}, n long, node long, gid long, prefix array<long>"
+    schema = f"doc_id {kind_of(base, 'doc_id')}, n long, node long, gid long, text_hash long, prefix array<long>"
     fields = arrow_table(schema)
 
     def work(batches):
         common, count = shared.value
-        hashes = Hashes()
+        hashes, done = Hashes(), set()
         for b in slices(batches, 1):
-            sets = sets_of(utf8(b.column(1)), k, hashes)
+            texts = utf8(b.column(1))
+            sets = sets_of(texts, k, hashes)
             prefixes = []
             for s in sets:
                 hit, at = lookup(common, s)
@@ -94,32 +122,77 @@ def signatures(base: DataFrame, k: int, percent: int, share: float) -> DataFrame
             node = np.fromiter(map(node_of, sets), np.uint64, len(sets))
             sizes = np.array([len(s) for s in sets])
             gid = np.fromiter((xxhash.xxh3_64_intdigest(p.tobytes(), seed=len(s)) for p, s in zip(prefixes, sets)), np.uint64, len(sets))
+            for i, g in enumerate(gid.tolist()):
+                if g in done:
+                    prefixes[i] = prefixes[i][:0]
+                done.add(g)
+            if len(done) > 1_000_000:
+                done.clear()
             lengths = np.array([len(p) for p in prefixes])
-            yield rows_of(fields, b.column(0), sizes, signed(node), signed(gid), lists_of(signed(each(prefixes, np.uint64)), lengths, pa.int64()))
+            yield rows_of(fields, b.column(0), sizes, signed(node), signed(gid), signed(text_hashes(texts)), lists_of(signed(each(prefixes, np.uint64)), lengths, pa.int64()))
 
     return base.mapInArrow(work, schema)
 
 
-def whole_sets(base: DataFrame, k: int, nodes: DataFrame, bits: int) -> DataFrame:
-    """node, items (its hashes as bytes) for about the wanted nodes, once each."""
-    shared = base.sparkSession.sparkContext.broadcast(bit_set(nodes.select(F.col("node").alias("key")), bits))
+def in_bits(words: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Whether the keys (signed) are in a `bit_set`."""
+    place = keys % (len(words) << 6)
+    return (words[place >> 6] >> (place & 63).astype(np.uint64) & np.uint64(1)).astype(bool)
+
+
+def shared_postings(real: DataFrame, percent: int, bits: int) -> DataFrame:
+    """gid, n, place, token: the prefix shingles that a group shares with others, of groups that share enough of them."""
+    spark = real.sparkSession
+    tokens = real.select("gid", F.explode("prefix").alias("token")).groupBy("token").agg(F.min("gid").alias("a"), F.max("gid").alias("b")).where("a <> b")
+    tokens = stored(tokens.select("token"), "shared-shingles")
+    shared = spark.sparkContext.broadcast(bit_set(tokens.select(F.col("token").alias("key")), bits))
+    schema = "gid long, n long, place long, token long"
+    fields = arrow_table(schema)
+
+    def work(batches):
+        for b in batches:
+            size = b.column(1).to_numpy(zero_copy_only=False)
+            prefix = b.column(2)
+            flat, length = prefix.flatten().to_numpy(), np.diff(prefix.offsets.to_numpy())
+            row = np.repeat(np.arange(len(size)), length)
+            place = np.arange(len(flat)) - np.repeat(np.cumsum(length) - length, length)
+            hit = in_bits(shared.value, flat)
+            enough = np.bincount(row[hit], minlength=len(size)) >= np.array([needed(n, percent) for n in size.tolist()])
+            hit &= enough[row]
+            yield rows_of(fields, b.column(0).to_numpy(zero_copy_only=False)[row[hit]], size[row[hit]], place[hit], flat[hit])
+
+    likely = real.where(F.size("prefix") > 0).select("gid", "n", "prefix").mapInArrow(work, schema)
+    kept = likely.dropDuplicates(["gid", "token"]).join(tokens, "token")
+    least = f"(({percent} * n + 99) div 100)"
+    second = f"(({percent} * {least} + 99) div 100)"
+    need = F.expr(f"least(1 + ({least} - {second}) div 3, {second})")  # as `needed` says
+    for _ in range(2):  # what a group shares with groups that don't share enough themselves is no use
+        kept = stored(kept, "shared-postings")
+        sizes = kept.groupBy("gid", "n").agg(F.count("*").alias("own")).where(F.col("own") >= need)
+        kept = stored(kept.join(sizes.select("gid"), "gid", "left_semi"), "shared-postings")
+        kept = kept.join(kept.groupBy("token").agg(F.count("*").alias("df")).where("df > 1").select("token"), "token", "left_semi")
+    return stored(kept, "shared-postings")
+
+
+def whole_sets(base: DataFrame, k: int, texts: DataFrame, bits: int) -> DataFrame:
+    """node, items (the hashes of its set as bytes), once each, for about the texts with the wanted hashes (key)."""
+    shared = base.sparkSession.sparkContext.broadcast(bit_set(texts, bits))
     schema = "node long, items binary"
     fields = arrow_table(schema)
 
     def work(batches):
-        wanted, hashes, done = shared.value, Hashes(), set()
+        hashes, done = Hashes(), set()
         for b in slices(batches, 0):
-            rows = {}
-            for s in sets_of(utf8(b.column(0)), k, hashes):
-                node = node_of(s)
-                place = (node - (node >> 63 << 64)) % (len(wanted) << 6)
-                if wanted[place >> 6] >> np.uint64(place & 63) & np.uint64(1) and node not in done:
-                    rows[node] = s.tobytes()
-            done.update(rows)
+            texts = utf8(b.column(0))
+            own = signed(text_hashes(texts))
+            new = {h: i for i, h in enumerate(own.tolist()) if h not in done}
+            at = [i for i, hit in zip(new.values(), in_bits(shared.value, own[list(new.values())])) if hit]
+            done.update(own[at].tolist())
             if len(done) > 1_000_000:
                 done.clear()
-            if rows:
-                yield rows_of(fields, signed(np.fromiter(rows, np.uint64, len(rows))), list(rows.values()))
+            sets = [s for s in sets_of([texts[i] for i in at], k, hashes) if len(s)]
+            if sets:
+                yield rows_of(fields, signed(np.fromiter(map(node_of, sets), np.uint64, len(sets))), [s.tobytes() for s in sets])
 
     return base.select("text").mapInArrow(work, schema).groupBy("node").agg(F.any_value("items").alias("items"))
 
@@ -223,7 +296,7 @@ def in_blocks(rows: DataFrame, percent: int) -> DataFrame:
     return spread.groupBy("key", "i", "j", "against_closed").applyInArrow(block_links(percent), "a long, b long")
 
 
-def link_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = 5, percent: int = 80, share: float = 1e-6, bits: int = 1 << 23) -> DataFrame:
+def link_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = 5, percent: int = 80, share: float = 1e-6, bits: int = 1 << 23, token_bits: int = 1 << 25) -> DataFrame:
     """One row per row: doc_id, n_shingles and component_id, the least id that can be reached by links.
 
     The set of a text: its distinct shingles of k words (runs of characters other than ASCII white space, A-Z in lower
@@ -234,9 +307,9 @@ def link_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     base = columns(docs, doc_id=doc_id, text=text)
     found = stored(signatures(base, k, percent, share), "signatures")
     real = found.where("n > 0")
-    members = real.groupBy("gid", "node").agg(F.min("doc_id").alias("least"), F.count("*").alias("rows"))
+    members = real.groupBy("gid", "node").agg(F.min("doc_id").alias("least"), F.count("*").alias("rows"), F.any_value("text_hash").alias("text_hash"))
     members = stored(members, "members")
-    links = stored(_links(base, real, members, k, percent, bits), "links")
+    links = stored(_links(base, real, members, k, percent, bits, token_bits), "links")
     joined = components(links)
     nodes = members.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = nodes.groupBy("component").agg(F.min("least").alias("component_id"), F.sum("rows").alias("rows")).where("rows > 1")
@@ -246,19 +319,19 @@ def link_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     return out.select("doc_id", "n_shingles", F.when(alone, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
-def _links(base: DataFrame, real: DataFrame, members: DataFrame, k: int, percent: int, bits: int) -> DataFrame:
+def _links(base: DataFrame, real: DataFrame, members: DataFrame, k: int, percent: int, bits: int, token_bits: int) -> DataFrame:
     """Links (a, b) between nodes that make up the components."""
-    sizes = members.groupBy("gid").agg(F.count("*").alias("m"))
-    groups = real.groupBy("gid").agg(F.any_value("prefix").alias("prefix")).join(sizes, "gid")
-    groups = stored(groups.select("gid", "m", "prefix"), "groups")
-    postings = groups.select("gid", "m", F.posexplode("prefix").alias("place", "token"))
-    shared = postings.groupBy("token").agg(F.sum("m").alias("df")).where("df > 1")
-    kept = stored(postings.join(shared, "token"), "shared-postings")
-    # the home: the first shingle in the order that about as many members share as share any of the group's
-    top = kept.groupBy("gid").agg(F.max("df").alias("top"))
-    home = kept.join(top, "gid").where("2 * df >= top").groupBy("gid").agg(F.min_by("token", "place").alias("home"))
-    at_home = stored(members.select("gid", "node", "least").join(home, "gid"), "homes")
-    sets = stored(whole_sets(base, k, at_home, bits), "sets")
+    kept = shared_postings(real, percent, token_bits)
+    df = kept.groupBy("token").agg(F.count("*").alias("df"))
+    ranked = kept.join(df, "token")
+    # the home: the first shingle in the order that about as many groups share as share any of the group's; a group with
+    # several members that shares none is at home by itself
+    top = ranked.groupBy("gid").agg(F.max("df").alias("top"))
+    home = ranked.join(top, "gid").where("2 * df >= top").groupBy("gid").agg(F.min_by("token", "place").alias("home"))
+    several = members.groupBy("gid").agg(F.count("*").alias("m")).where("m > 1")
+    home = home.join(several, "gid", "full").select("gid", F.coalesce("home", "gid").alias("home"))
+    at_home = stored(members.select("gid", "node", "least", "text_hash").join(home, "gid"), "homes")
+    sets = stored(whole_sets(base, k, at_home.select(F.col("text_hash").alias("key")), bits), "sets")
     order = F.struct(F.col("least").isNull(), "least", "node")
     leaders = at_home.groupBy("home").agg(F.min_by("node", order).alias("leader"), F.count("*").alias("there")).where("there > 1")
     lead = stored(leaders.join(sets, leaders["leader"] == sets["node"]).select("home", "leader", F.col("items").alias("leader_items")), "leaders")
