@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 from tokenizers import Tokenizer
 
 #: Distinct words remembered by a worker.
 WORDS = 800_000
+#: Latin letters, and marks of ASCII behind them.
+MARKED = re.compile("([a-zA-ZÀ-ÖØ-öø-ÿ]+)([!-/:-@\\[-`{-~]*)")
 
 
 def default_path() -> str:
@@ -20,13 +24,17 @@ class WordEncoder:
     """Ids of whole texts, each followed by an end id, for tokenizers that split at ASCII white space and drop it.
 
     Then a text's ids are those of its words one after another, and each distinct word needs to be encoded once. With
-    `lower` (for tokenizers that lower-case) words that differ in A-Z only are one. What may be a special token, anything
-    with `<|`, is left in its case. A word that ends in one mark after a letter or digit of ASCII is encoded as both.
+    `lower` (for tokenizers that lower-case and part letters from marks) words that differ in A-Z only are one, and a word
+    of Latin letters with marks behind is encoded as both. What may be a special token, anything with `<|`, is left in
+    its case.
     """
 
     def __init__(self, path: str, end: int = 1, lower: bool = True):
         self.tokenizer = Tokenizer.from_file(path)
         self.end, self.lower = end, lower
+        suffix = self.tokenizer.model.end_of_word_suffix or "\n"
+        self.ends = np.zeros(1 << 16 if self.tokenizer.get_vocab_size() < 1 << 16 else self.tokenizer.get_vocab_size(), bool)
+        self.ends[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith(suffix)]] = True
         self.kind = np.uint16 if max(self.tokenizer.get_vocab_size() - 1, end) < 1 << 16 else np.uint32
         self.forget()
 
@@ -35,32 +43,62 @@ class WordEncoder:
         self.flat = np.full(1 << 16, self.end, self.kind)
         self.start, self.size, self.used = np.zeros(1 << 16, np.int64), np.ones(1 << 16, np.int32), 1
 
-    def put(self, word, ids) -> None:
-        at, n = len(self.place), len(ids)
-        while self.used + n > len(self.flat):
+    def put(self, words: list[bytes], ids: np.ndarray, sizes: np.ndarray) -> None:
+        """Remember the ids of new words, one after another in `ids`."""
+        at, end = len(self.place), self.used + len(ids)
+        while end > len(self.flat):
             self.flat = np.resize(self.flat, 2 * len(self.flat))
-        if at >= len(self.start):
-            self.start, self.size = np.resize(self.start, 2 * at), np.resize(self.size, 2 * at)
-        self.flat[self.used : self.used + n] = ids
-        self.start[at], self.size[at] = self.used, n
-        self.used += n
-        self.place[word] = at
-
-    def ids_of(self, at: int) -> np.ndarray:
-        return self.flat[self.start[at] : self.start[at] + self.size[at]]
+        while at + len(words) > len(self.start):
+            self.start, self.size = np.resize(self.start, 2 * len(self.start)), np.resize(self.size, 2 * len(self.size))
+        self.flat[self.used : end] = ids
+        self.start[at : at + len(words)] = self.used + np.cumsum(sizes) - sizes
+        self.size[at : at + len(words)] = sizes
+        self.used = end
+        self.place.update(zip(words, range(at, at + len(words))))
+
+    def gather(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words at these places one after another, and the size of each."""
+        size = self.size[at].astype(np.int64)
+        ends = np.cumsum(size)
+        return self.flat[np.repeat(self.start[at] - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)], size
 
     def learn(self, words: set) -> None:
         if len(self.place) + len(words) > WORDS:
             self.forget()
         new = [w for w in words if w not in self.place]
-        marked = [w for w in new if w[-1:] in b".,!?;:" and len(w) > 1 and w[-2:-1].isalnum() and w[-2:-1].isascii()]
-        marked_set = set(marked)
-        plain = {w for w in new if w not in marked_set} | {x for w in marked for x in (w[:-1], w[-1:])}
-        plain = [w for w in plain if w not in self.place]
-        for w, e in zip(plain, self.tokenizer.encode_batch_fast([w.decode() for w in plain], add_special_tokens=False)):
-            self.put(w, e.ids)
-        for w in marked:
-            self.put(w, np.concatenate([self.ids_of(self.place[w[:-1]]), self.ids_of(self.place[w[-1:]])]))
+        whole, single, split = [], set(), {}
+        for w in new:
+            if not self.lower or b"<|" in w:
+                whole.append(w)
+            elif w.isalpha():
+                single.add(w)
+            elif m := MARKED.fullmatch(w.decode()):
+                split[w] = [x.lower().encode() for x in m.groups() if x]
+            else:
+                whole.append(w)
+        for parts in split.values():
+            single.update(parts)
+        self.encode_single([w for w in single if w not in self.place])
+        self.encode_whole([w for w in whole if w not in self.place])
+        split = {w: x for w, x in split.items() if w not in self.place}
+        ids, sizes = self.gather(np.fromiter((self.place[x] for y in split.values() for x in y), np.int64))
+        ends = np.concatenate([[0], np.cumsum([len(x) for x in split.values()], dtype=np.int64)])
+        self.put(list(split), ids, np.diff(np.concatenate([[0], np.cumsum(sizes)])[ends]))
+
+    def encode_single(self, words: list[bytes], at_once: int = 500) -> None:
+        """Words that are one run of letters or of marks: encoded together, for each ends with a token of an end."""
+        groups = [words[i : i + at_once] for i in range(0, len(words), at_once)]
+        for own, e in zip(groups, self.tokenizer.encode_batch_fast([b" ".join(g).decode() for g in groups], add_special_tokens=False)):
+            ids = np.array(e.ids, self.kind)
+            ends = np.flatnonzero(self.ends[ids]) + 1
+            if len(ends) == len(own):
+                self.put(own, ids, np.diff(ends, prepend=0))
+            else:
+                self.encode_whole(own)
+
+    def encode_whole(self, words: list[bytes]) -> None:
+        for w, e in zip(words, self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)):
+            self.put([w], np.array(e.ids, self.kind), np.array([len(e.ids)]))
 
     def words(self, text: bytes) -> list:
         low = text.lower() if self.lower and b"<|" not in text else text
@@ -74,12 +112,9 @@ class WordEncoder:
         except KeyError:
             self.learn({w for d in docs for w in d if w is not None})
             at = [np.fromiter(map(self.place.__getitem__, d), np.int64, len(d)) for d in docs]
-        word = np.concatenate(at) if at else np.empty(0, np.int64)
-        size = self.size[word].astype(np.int64)
+        ids, size = self.gather(np.concatenate(at) if at else np.empty(0, np.int64))
         ends = np.cumsum(size)
-        total = int(ends[-1]) if len(ends) else 0
-        ids = self.flat[np.repeat(self.start[word] - (ends - size), size) + np.arange(total)]
-        last = np.cumsum([len(d) for d in docs])
+        last = np.cumsum([len(d) for d in docs], dtype=np.int64)
         return ids, np.diff(ends[last - 1], prepend=0) if len(docs) else size
 
 
