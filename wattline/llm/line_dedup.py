@@ -143,6 +143,7 @@ def repeated_runs(base: DataFrame, gram: int, window: int) -> DataFrame:
     marks = lines.select("doc_id", "text_hash", F.explode(F.arrays_zip("places", "grams")).alias("f")).select("doc_id", "text_hash", F.col("f.places").alias("at"), F.col("f.grams").alias("gram"))
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash", "at")
     firsts = marks.groupBy("gram").agg(F.min(order).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
+    firsts = stored(firsts, "first-places")  # a table of its own, so that Spark can split a gram with many places
     later = marks.join(firsts, "gram").where(order != F.col("first"))
     by_pair = later.groupBy("doc_id", "text_hash", F.col("first.doc_id").alias("first_doc"), F.col("first.text_hash").alias("first_hash")).agg(
         F.sort_array(F.collect_list(F.struct("at", F.col("first.at").alias("first_at")))).alias("places")
