@@ -115,3 +115,14 @@ def test_components_of_chains_stars_and_cycles(spark):
     got = {r.node: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     want = {**dict.fromkeys(range(100, 161), 100), **dict.fromkeys(range(500, 560), 500), **dict.fromkeys(range(700, 720), 700), -5: -5, 4: -5, 9: -5}
     assert got == want
+
+
+@pytest.mark.parametrize("paired", [0, 3, 10_000])
+def test_pairs_and_blocks_give_the_same(spark, monkeypatch, paired):
+    from wattline.llm import ngram_join
+
+    monkeypatch.setattr(ngram_join, "PAIRED", paired)
+    rows = variants(seed=21, bases=4, copies=45)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted(tuple(r) for r in link_components(docs, k=2, percent=70).collect())
+    assert got == plain_components(rows, 2, 70)

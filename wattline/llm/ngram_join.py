@@ -21,6 +21,8 @@ from wattline.llm.hash_index import bit_set
 
 #: Rows and bytes of sets in a block of members that are verified together.
 BLOCK_ROWS, BLOCK_BYTES = 128, 1 << 21
+#: Members of a shingle up to which they are paired rather than dealt into blocks.
+PAIRED = 64
 
 
 def sets_of(texts: list[bytes], k: int, hashes: Hashes) -> list[np.ndarray]:
@@ -97,6 +99,13 @@ def needed(n: int, percent: int) -> int:
     return shared_size(least_common(n, percent), percent)
 
 
+def needed_sql(n: str, percent: int) -> str:
+    """`needed` of a column."""
+    least = f"(({percent} * {n} + 99) div 100)"
+    second = f"(({percent} * {least} + 99) div 100)"
+    return f"least(1 + ({least} - {second}) div 3, {second})"
+
+
 def text_hashes(texts: list[bytes]) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh3_64_intdigest, texts), np.uint64, len(texts))
 
@@ -143,7 +152,7 @@ def in_bits(words: np.ndarray, keys: np.ndarray) -> np.ndarray:
 def shared_postings(real: DataFrame, percent: int, bits: int) -> DataFrame:
     """gid, n, place, token: the prefix shingles that a group shares with others, of groups that share enough of them."""
     spark = real.sparkSession
-    tokens = real.select("gid", F.explode("prefix").alias("token")).groupBy("token").agg(F.min("gid").alias("a"), F.max("gid").alias("b")).where("a <> b")
+    tokens = real.select(F.explode("prefix").alias("token")).groupBy("token").agg(F.count("*").alias("rows")).where("rows > 1")
     tokens = stored(tokens.select("token"), "shared-shingles")
     shared = spark.sparkContext.broadcast(bit_set(tokens.select(F.col("token").alias("key")), bits))
     schema = "gid long, n long, place long, token long"
@@ -163,10 +172,8 @@ def shared_postings(real: DataFrame, percent: int, bits: int) -> DataFrame:
 
     likely = real.where(F.size("prefix") > 0).select("gid", "n", "prefix").mapInArrow(work, schema)
     kept = likely.dropDuplicates(["gid", "token"]).join(tokens, "token")
-    least = f"(({percent} * n + 99) div 100)"
-    second = f"(({percent} * {least} + 99) div 100)"
-    need = F.expr(f"least(1 + ({least} - {second}) div 3, {second})")  # as `needed` says
-    for _ in range(2):  # what a group shares with groups that don't share enough themselves is no use
+    need = F.expr(needed_sql("n", percent))
+    for _ in range(2):  # what a group shares with itself, or with groups that don't share enough, is no use
         kept = stored(kept, "shared-postings")
         sizes = kept.groupBy("gid", "n").agg(F.count("*").alias("own")).where(F.col("own") >= need)
         kept = stored(kept.join(sizes.select("gid"), "gid", "left_semi"), "shared-postings")
@@ -216,6 +223,22 @@ def against_leader(rows: DataFrame, percent: int) -> DataFrame:
     return rows.select("home", "node", "items", "leader", "leader_items").mapInArrow(work, schema)
 
 
+def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of nodes whose sets are similar."""
+    own = pairs.join(sets.select(F.col("node").alias("a"), F.col("items").alias("x")), "a").join(sets.select(F.col("node").alias("b"), F.col("items").alias("y")), "b")
+    schema = "a long, b long"
+    fields = arrow_table(schema)
+
+    def work(batches):
+        for b in slices(batches, 2):
+            x, y = ([np.frombuffer(v, np.uint64) for v in b.column(i).to_pylist()] for i in (2, 3))
+            common = np.array([lookup(v, u)[0].sum() for u, v in zip(x, y)])
+            ok = pa.array(similar(common, np.array([len(v) for v in x]), np.array([len(v) for v in y]), percent))
+            yield rows_of(fields, b.column(0).filter(ok), b.column(1).filter(ok))
+
+    return own.select("a", "b", "x", "y").mapInArrow(work, schema)
+
+
 def overlaps(a: list[np.ndarray], b: list[np.ndarray], width: int = 4096) -> np.ndarray:
     """Size of the intersection of each set of a with each of b, from products of membership matrices."""
     x, y = each(a, np.uint64), each(b, np.uint64)
@@ -347,14 +370,30 @@ def _links(base: DataFrame, real: DataFrame, members: DataFrame, k: int, percent
     # pairs that share a shingle, but neither a home nor a component
     joined = components(links)
     placed = at_home.join(joined, "node", "left").select("gid", "node", "home", F.coalesce("component", "node").alias("part"))
-    placed = stored(kept.select("gid", "token").join(placed, "gid"), "placed")
-    open_tokens = placed.groupBy("token").agg(F.min("part").alias("p"), F.max("part").alias("q"), F.min("home").alias("h"), F.max("home").alias("i")).where("p <> q and h <> i")
-    left = placed.join(open_tokens.select("token"), "token")
-    of_home = left.groupBy("token", "home").agg(F.count("*").alias("n"))
+    placed = stored(kept.select("gid", "n", "token").join(placed, "gid"), "placed")
+    open_tokens = placed.groupBy("token").agg(
+        F.min("part").alias("p"), F.max("part").alias("q"), F.min("home").alias("h"), F.max("home").alias("i"), F.count("*").alias("df")
+    ).where("p <> q and h <> i")
+    left = stored(placed.join(open_tokens.select("token", "df"), "token"), "open-postings")
+    few, many = left.where(F.col("df") <= PAIRED), left.where(F.col("df") > PAIRED)
+    # a shingle of few members: pairs, if they share enough of them, or could with the others
+    others = many.groupBy("node").agg(F.count("*").alias("others"))
+    few = few.join(others, "node", "left").select("token", "node", "n", "home", "part", F.coalesce("others", F.lit(0)).alias("others"))
+    x, y = (few.select("token", *[F.col(c).alias(side + c) for c in few.columns if c != "token"]) for side in "xy")
+    met = x.join(y, "token").where(
+        (F.col("xnode") < F.col("ynode")) & (F.col("xhome") != F.col("yhome")) & (F.col("xpart") != F.col("ypart"))
+        & (100 * F.least("xn", "yn") >= percent * F.greatest("xn", "yn"))
+    )
+    met = met.groupBy("xnode", "ynode").agg(F.count("*").alias("shared"), *[F.max(c).alias(c) for c in ("xn", "yn", "xothers", "yothers")])
+    enough = F.greatest(F.expr(needed_sql("xn", percent)), F.expr(needed_sql("yn", percent)))
+    met = met.where(F.col("shared") + F.least("xothers", "yothers") >= enough)
+    paired = verified(met.select(F.col("xnode").alias("a"), F.col("ynode").alias("b")), sets, percent)
+    # a shingle of many: those at home elsewhere than most, in blocks
+    of_home = many.groupBy("token", "home").agg(F.count("*").alias("n"))
     main = of_home.groupBy("token").agg(F.max_by("home", F.struct("n", "home")).alias("main"))
     size = (F.length("items") / 8).cast("long")
-    rest = left.join(main, "token").join(sets, "node").select(F.col("token").alias("key"), "node", (F.col("home") != F.col("main")).alias("open"), "part", size.alias("size"), "items")
-    return links.union(in_blocks(rest, percent))
+    rest = many.join(main, "token").join(sets, "node").select(F.col("token").alias("key"), "node", (F.col("home") != F.col("main")).alias("open"), "part", size.alias("size"), "items")
+    return links.union(paired).union(in_blocks(rest, percent))
 
 
 def one_of_each(docs: DataFrame, text: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
