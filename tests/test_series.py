@@ -160,3 +160,38 @@ def test_histogram_matches_numpy(rows):
     out = evaluation.histogram(rows, "x", 17).orderBy("bin").collect()
     assert [r["rows"] for r in out] == counts.tolist()
     assert [round(r["bin_start"], 6) for r in out] == [round(float(e), 6) for e in edges[:-1]]
+
+
+def chunk_sizes(df, series):
+    from wattline.operators.series import _chunked
+
+    chunks = _chunked(df, measure(df, series)).where("_chunk > 0")
+    return [r["count"] for r in chunks.groupBy(*series.keys, "_chunk").count().collect()]
+
+
+def test_chunks_hold_equal_numbers_of_rows(spark):
+    rows = [("far", i, i, float(i)) for i in range(9_999)] + [("far", 10**9, 0, 1.0)]  # one far time
+    rows += [("none", None if i % 2 else i, i, 1.0) for i in range(8_000)]  # half without a time
+    rows += [("equal", i if i % 4 == 0 else 77, i, 1.0) for i in range(8_000)]  # most at one time
+    rows += [(None, i // 3, i, 1.0) for i in range(5_000)] + [("short", i, i, 1.0) for i in range(900)]
+    df = spark.createDataFrame(rows, "k string, t long, id long, x double")
+    series = Series("k", "t", "id", max_rows=1000)
+    sizes = chunk_sizes(df, series)
+    assert sum(sizes) == 31_000 and max(sizes) <= 2 * 250
+    values = spark.createDataFrame([(1, 0.001 * i) for i in range(9_999)] + [(1, 1e12)], "k int, v double")
+    assert max(chunk_sizes(values, Series("k", "v", max_rows=1000))) <= 2 * 250
+    whole = Series("k", "t", "id")
+    for f in (positions, lambda d, s: windows.lags(d, s, ["x"], [1, 60])):
+        assert sorted(map(str, f(df, series).select(*f(df, whole).columns).collect())) == sorted(map(str, f(df, whole).collect()))
+
+
+def test_chained_operators_on_long_series_read_the_table_once_each(spark, rows):
+    measured = measure(rows, CUT)
+
+    def scans(df):
+        return df._jdf.queryExecution().executedPlan().toString().count("InMemoryTableScan")
+
+    one = sessions.sessions(rows, measured, 300, min_rows=20)
+    two = windows.window_features(one, measured, ["x"], [5], ["mean"], [1], "x", 12, "y")
+    assert scans(one) == 0 and scans(two) == 0  # both read stored tables
+    assert two.count() == windows.window_features(rows, WHOLE, ["x"], [5], ["mean"], [1], "x", 12, "y").count()

@@ -132,3 +132,53 @@ def test_spans_break_after_the_gap(spark):
     df = spark.createDataFrame([("v", t) for t in (0, 10, 20, 31, 32)], "k string, s long").withColumn("ts", F.timestamp_seconds("s"))
     out = sessions.spans(df, Series("k", "ts"), 10).orderBy("span").collect()
     assert [r["rows"] for r in out] == [3, 2]
+
+
+def walked_with_gaps(rng, days):
+    """Files whose first and last rows may be gap rows."""
+    files, at = [], 0
+    for d in range(days):
+        at += rng.choice([1, 40])
+        rows = [GAP_INSERTED] * rng.choice([0, 0, 2, 4, 7])
+        for _ in range(rng.randint(1, 4)):
+            rows += [0] * rng.randint(8, 14) + [GAP_INSERTED] * rng.choice([1, 4, 5, 9])
+        files.append((f"2026-01-{d + 1:02d}", [(at + i, f) for i, f in enumerate(rows)]))
+        at += len(rows)
+    return files
+
+
+def test_gap_rows_at_the_ends_of_files(spark):
+    rng = random.Random(23)
+    vehicles = {f"V{v}": walked_with_gaps(rng, 4) for v in range(25)}
+    config = TripConfig(gap_break=5, min_rows=6)
+    rows = [(day, v, s, f) for v, files in vehicles.items() for day, r in files for s, f in r]
+    df = frame(spark, rows)
+    bounds = df.groupBy("dt", "vehicle_id").agg((F.min("s") * 1_000_000).alias("_lo"), (F.max("s") * 1_000_000).alias("_hi"))
+    found = {(r["dt"], r["vehicle_id"], r["s"]): r["trip_id"] for r in sessions.trips(df, config=config).collect()}
+    days = sorted({r[0] for r in rows})
+    states = {(r["as_of"], r["vehicle_id"]): r for r in sessions.trip_states(real(df), days, config=config, bounds=bounds).collect()}
+    for v, files in vehicles.items():
+        for upto in range(1, len(files) + 1):
+            want, seq, open_id = walk(files[:upto], 5, 6)
+            state = states[files[upto - 1][0], v]
+            assert (state["trip_seq"], state["open_trip_id"]) == (seq, f"{v}_{open_id:06d}" if open_id else None)
+        for day, r in files:
+            for s, _ in r:
+                n = want[day].get(s)
+                assert found[day, v, s] == (f"{v}_{n:06d}" if n else None), (v, day, s)
+
+
+def test_any_day_can_be_run_again(spark):
+    rng = random.Random(8)
+    vehicles = {f"V{v}": random_files(rng, 4) for v in range(8)}
+    config = TripConfig(gap_break=5, min_rows=6)
+    rows = [(day, v, s, f) for v, files in vehicles.items() for day, r in files for s, f in r if (day, v) != ("2026-01-02", "V0")]
+    whole = {(r["dt"], r["vehicle_id"], r["s"]): r["trip_id"] for r in sessions.trips(frame(spark, rows), config=config).collect()}
+    days = sorted({r[0] for r in rows})
+    states = sessions.trip_states(real(frame(spark, rows)), days, config=config).cache()
+    assert states.where("vehicle_id = 'V0'").count() == len(days)  # also of the day without a file
+    for before, day in zip(days, days[1:]):
+        one = frame(spark, [r for r in rows if r[0] == day])
+        state = states.where(F.col("as_of") == before).drop("as_of")
+        for r in sessions.trips(one, config=config, state=state).collect():
+            assert whole[r["dt"], r["vehicle_id"], r["s"]] == r["trip_id"]

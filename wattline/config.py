@@ -254,6 +254,14 @@ TIME_FORMATS = (
     "d/M/yyyy",
     "d-M-yyyy",
     "yyyy-MM-dd",
+    "yyyy/MM/dd H:mm:ss[.SSSSSS][.SSS]",
+    "yyyy/MM/dd H:mm",
+    "d/M/yyyy h:mm:ss a",
+    "d/M/yyyy h:mm a",
+    "d MMM yyyy H:mm:ss",
+    "d-MMM-yyyy H:mm:ss",
+    "d/M/yy H:mm:ss",
+    "d/M/yy H:mm",
 )
 
 

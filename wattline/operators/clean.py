@@ -16,6 +16,7 @@ from wattline.config import (
     REQUIRED_COLUMNS,
     SOFT_RANGE_BREACH,
     TIME_ANOMALY,
+    TIME_FORMATS,
     ZERO_IS_MISSING,
     Range,
 )
@@ -60,6 +61,7 @@ def parsed(
     numeric: Sequence[str] = NUMERIC_SIGNALS,
     required: Sequence[str] = REQUIRED_COLUMNS,
     zero_missing: Sequence[str] = ZERO_IS_MISSING,
+    time_formats: Sequence[str] = TIME_FORMATS,
 ) -> DataFrame:
     """Typed columns; unreadable values and placeholder zeros become NULL. Rows are all kept."""
     require(df, required, "raw rows")
@@ -67,7 +69,7 @@ def parsed(
     for c in zero_missing:
         if c in made:
             made[c] = F.nullif(made[c], F.lit(0.0))
-    made[time] = parse_time(time)
+    made[time] = parse_time(time, time_formats)
     if "quality_flag" in df.columns:
         made["quality_flag"] = F.coalesce(F.col("quality_flag").try_cast("int"), F.lit(0))
     else:

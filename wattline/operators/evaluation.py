@@ -132,8 +132,8 @@ def worst_rows(df: DataFrame, k: int, score: str = "abs_error", ties: Sequence[s
 
 
 def worst_row(df: DataFrame, score: str = "abs_error", ties: Sequence[str] = ()) -> DataFrame:
-    """The single worst row, found by combining, without a sort."""
-    best = F.max_by(F.struct(*df.columns), F.struct(F.col(score), *[-F.col(t) for t in ties]))
+    """The single worst row, found by combining, without a sort; ties in the order of `ties`, of any type."""
+    best = F.min_by(F.struct(*df.columns), F.struct(-F.col(score), *ties))
     return df.where(F.col(score).isNotNull()).agg(best.alias("w")).select("w.*")
 
 

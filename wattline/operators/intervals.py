@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,7 +12,6 @@ from wattline.config import KNOWN_FAULT_CODES
 from wattline.functions.scalar import fault_code
 from wattline.operators.series import Part, Series, ordinal, per_series
 
-MAX_CODES = 1_000
 SECOND = 1_000_000
 
 
@@ -24,12 +24,15 @@ def clean_faults(
     return out.where(keep & (F.col(end).isNull() | (F.col(end) >= F.col(start))))
 
 
+def code_universe(faults: DataFrame, code: str = "code", known: Sequence[str] = KNOWN_FAULT_CODES) -> DataFrame:
+    """Known codes and the clean codes seen, one row each."""
+    listed = faults.sparkSession.createDataFrame([(c,) for c in known], f"{code} string")
+    return faults.select(code).where(F.col(code) != "").union(listed).distinct()
+
+
 def fault_codes(faults: DataFrame, code: str = "code", known: Sequence[str] = KNOWN_FAULT_CODES) -> list[str]:
-    """Known codes and the codes seen. They become columns, so their number must be small."""
-    seen = [r[0] for r in faults.select(code).distinct().limit(MAX_CODES + 1).collect() if r[0]]
-    if len(seen) > MAX_CODES:
-        raise ValueError(f"more than {MAX_CODES} fault codes; they cannot all be columns")
-    return sorted({*known, *seen})
+    """The code universe as names. Each becomes a column of the flagged rows."""
+    return sorted(r[0] for r in code_universe(faults, code, known).collect())
 
 
 def interval_flags(
@@ -68,7 +71,8 @@ def interval_flags(
         .unionByName(ends(first, 0, 1), allowMissingColumns=True)
         .unionByName(ends(last, 2, -1), allowMissingColumns=True)
     )
-    order = Series(keys, "_at", ("_kind",), series.max_rows)
+    # the rows' own measure serves: ends of intervals only add to them
+    order = replace(series, time="_at", ties=("_kind",), finer=())
 
     def build(part: Part, d: DataFrame) -> DataFrame:
         step = {f"_open{i}": ("sum", F.coalesce(F.col(f"_d{i}"), F.lit(0)), True) for i in range(len(codes))}

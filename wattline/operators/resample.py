@@ -94,6 +94,18 @@ def resample(
     return out.withColumn(time, stamp.cast(kind)).drop("_t")
 
 
+def grid_bounds(
+    df: DataFrame, keys: Sequence[str], time: str = "timestamp", step_s: int = 1, align: str = "exact"
+) -> DataFrame:
+    """First and last tick of each key's grid, as `_lo` and `_hi` in microseconds."""
+    step = step_s * 1_000_000
+    at = ordinal(df, time)
+    last = F.floor if align == "floor" else F.ceil
+    return df.where(at.isNotNull()).groupBy(*keys).agg(
+        (F.floor(F.min(at) / step) * step).cast("long").alias("_lo"), (last(F.max(at) / step) * step).cast("long").alias("_hi")
+    )
+
+
 def real_ticks(
     df: DataFrame, keys: Sequence[str], time: str = "timestamp", step_s: int = 1, align: str = "exact"
 ) -> DataFrame:

@@ -1,17 +1,20 @@
 """Ordered work per series that does not need a whole series in one task.
 
 Most series are short: they are windowed by their key, with one shuffle. A series with more than
-`max_rows` rows is cut along its order into chunks. Running values then add up what the earlier
-chunks hold (one small row per chunk), and row frames read a copied margin of the neighbouring block.
-
-Which series are long is measured once, by a count per key. Only the `MAX_LONG` largest are treated as
-long, so that list has a fixed size bound and can be broadcast; any other series holds less than
-1/MAX_LONG of all rows. Operators measure what they are given; where their input is costly, measure a
-base table once and pass the result on.
+`max_rows` rows is cut along its order into chunks of about a quarter of that many rows. Running values
+then add up what the earlier chunks hold (one small row per chunk), and row frames read a copied margin
+of the neighbouring block.
+
+Which series are long is measured once, by a count per key. They are cut at quantiles of their rows, so
+that outliers and bursts don't matter; a value that fills more than a chunk by itself (or rows without
+one) is cut on along the ties. Operators measure what they are given; where their input is costly,
+measure a base table once and pass the result on. An operator on a table with long series stores its
+input first, in the checkpoint folder: its plan reads that table, and not all that led to it, again.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, field, replace
 from functools import reduce
@@ -20,8 +23,11 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MAX_LONG = 100_000
+from wattline.session import stored
+
 MAX_ROWS = 4_000_000
+#: Room for the places of one level of cuts in a chunk's number.
+LEVEL = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -33,7 +39,9 @@ class Series:
     ties: tuple[str, ...] = ()
     max_rows: int | None = MAX_ROWS
     measured: bool = False
+    #: the long series with the bounds of their chunks, and the bounds by tie of chunks that need more cuts
     long: DataFrame | None = field(default=None, compare=False, repr=False)
+    finer: tuple[DataFrame, ...] = field(default=(), compare=False, repr=False)
 
     def __post_init__(self):
         object.__setattr__(self, "keys", _names(self.keys))
@@ -90,24 +98,76 @@ def measure(df: DataFrame, series: Series, step: int | None = None) -> Series:
     )
     if step:
         counted = counted.withColumn("_n", F.ceil((F.col("_hi") - F.col("_lo")) / step) + 1)
-    largest = (
-        counted.where(F.col("_n") > series.max_rows)
-        .orderBy(F.col("_n").desc(), *series.keys)
-        .limit(MAX_LONG)
-    )
-    found = largest.select(
-        *series.keys,
-        F.col("_lo"),
-        (F.col("_hi") - F.col("_lo")).cast("double").alias("_span"),
-        F.ceil(F.col("_n") * 4 / series.max_rows).alias("_chunks"),
+    target = max(1, series.max_rows // 4)
+    most = counted.agg(F.max("_n")).first()[0] or 0
+    if most <= series.max_rows:
+        return replace(series, measured=True, long=None)
+    pieces = math.ceil(most / target)
+    own = counted.where(F.col("_n") > series.max_rows).withColumn("_pieces", F.ceil(F.col("_n") / target))
+    if step:
+        width = (F.col("_hi") - F.col("_lo")) / F.col("_pieces")
+        bounds = F.transform(F.sequence(F.lit(1), F.col("_pieces").cast("int")), lambda i: (F.col("_lo") + width * i).cast("long"))
+        return replace(series, measured=True, long=stored(own.select(*series.keys, bounds.alias("_bounds")), "long-series"))
+    rows = attach(df.select(*series.keys, at.alias("_at"), *series.ties), own.select(*series.keys, "_pieces"), series.keys, "inner")
+    long = stored(_bounds(rows, series.keys, "_at", pieces), "long-series")
+    found = replace(series, measured=True, long=long)
+    for level, tie in enumerate(series.ties):
+        if not _numeric(df, tie):
+            break
+        # rows of one value are cut on along the next tie
+        single = _chunked(df, found).where(_one_value(level))
+        heavy = single.groupBy(*series.keys, "_chunk").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > target)
+        heavy = stored(heavy.withColumn("_pieces", F.ceil(F.col("_n") / target)), "heavy-chunks")
+        pieces = heavy.agg(F.max("_pieces")).first()[0]
+        if pieces is None:
+            break
+        keys = (*series.keys, "_chunk")
+        rows = attach(single.select(*keys, ordinal(df, tie).alias("_at")), heavy.select(*keys, "_pieces"), keys, "inner")
+        found = replace(found, finer=(*found.finer, stored(_bounds(rows, keys, "_at", pieces), "finer-bounds")))
+    return found
+
+
+def _numeric(df: DataFrame, name: str) -> bool:
+    return isinstance(df.schema[name].dataType, (T.NumericType, T.TimestampType, T.TimestampNTZType, T.DateType))
+
+
+def _bounds(rows: DataFrame, keys: Sequence[str], at: str, pieces: int) -> DataFrame:
+    """For each key the values at which its rows fall into `_pieces` parts of equal counts."""
+    cuts = F.array(*[F.lit(i / pieces) for i in range(1, pieces)]) if pieces > 1 else F.array(F.lit(0.5))
+    found = rows.groupBy(*keys).agg(
+        F.percentile_approx(at, cuts, F.lit(max(10_000, 50 * pieces))).alias("_quantiles"), F.max("_pieces").alias("_pieces")
     )
-    rows = found.collect()  # at most MAX_LONG
-    long = df.sparkSession.createDataFrame(rows, found.schema) if rows else None
-    return replace(series, measured=True, long=long)
+    every = F.greatest(F.floor(F.lit(pieces) / F.col("_pieces")), F.lit(1))
+    thinned = F.filter("_quantiles", lambda x, i: (i + 1) % every == 0)
+    return found.select(*keys, F.array_distinct(thinned).alias("_bounds"))
+
+
+def _place(at: Column, bounds: Column) -> Column:
+    """Where a value lies among sorted bounds: 1 for NULL, even between two bounds, odd on one."""
+    below = F.size(F.filter(bounds, lambda b: b < at)) + F.size(F.filter(bounds, lambda b: b <= at))
+    return F.when(at.isNull(), 1).otherwise(below + 2).cast("long")
+
+
+def _one_value(level: int) -> Column:
+    """Whether a chunk's rows have the same order value and, further down, the same ties."""
+    return (F.col("_chunk") > 0) & (F.col("_chunk") % 2 == 1)
+
+
+def _chunked(df: DataFrame, series: Series) -> DataFrame:
+    """df with `_chunk`: 0 for short series, else a number that grows along the order."""
+    out = attach(df, series.long, series.keys)
+    here = _place(ordinal(df, series.time), F.col("_bounds"))
+    out = out.withColumn("_chunk", F.when(F.col("_bounds").isNull(), 0).otherwise(here).cast("long")).drop("_bounds")
+    for tie, bounds in zip(series.ties, series.finer):
+        out = attach(out, bounds, (*series.keys, "_chunk"))
+        # chunks that are not cut here get an even number: they have no single value, or few rows
+        within = F.when(F.col("_bounds").isNull(), 0).otherwise(_place(ordinal(df, tie), F.col("_bounds")))
+        out = out.withColumn("_chunk", F.when(F.col("_chunk") == 0, 0).otherwise(F.col("_chunk") * LEVEL + within)).drop("_bounds")
+    return out
 
 
 class Part:
-    """One side of a split: short series, or long series with a `_chunk` column."""
+    """A table to work on: of short series only, or with a `_chunk` column."""
 
     def __init__(self, series: Series, chunked: bool):
         self.series = series
@@ -127,7 +187,7 @@ class Part:
 
         inputs = {f"_in_{name}": e for name, (_, e, _) in specs.items()}
         df = df.withColumns(inputs)
-        per_chunk = df.groupBy(*local.keys).agg(
+        per_chunk = df.where("_chunk > 0").groupBy(*local.keys).agg(
             *[calls[f](f"_in_{name}").alias(f"_at_{name}") for name, (f, _, _) in specs.items()]
         )
         before = (
@@ -193,7 +253,7 @@ class Part:
             over = Window.partitionBy(*self.series.keys)
             return df.select("*", *[e.over(over).alias(n) for n, e in specs.items()])
         totals = df.groupBy(*self.series.keys).agg(*[e.alias(n) for n, e in specs.items()])
-        return attach(df, F.broadcast(totals), self.series.keys)  # at most MAX_LONG rows
+        return attach(df, totals, self.series.keys)
 
     def group_count(self, df: DataFrame, group: str, name: str) -> DataFrame:
         """Add the number of rows that share `group` within the series."""
@@ -205,24 +265,12 @@ class Part:
 
 
 def per_series(df: DataFrame, series: Series, build: Callable[[Part, DataFrame], DataFrame]) -> DataFrame:
-    """Apply `build` to the short series and, chunked, to the long ones if there are any."""
+    """Apply `build` to all series, cut into chunks if some are long."""
     if not series.measured:
         series = measure(df, series)
     if series.long is None:
         return build(Part(series, False), df)
-    listed = F.broadcast(prefixed(series.long, series.keys, "_l_"))  # at most MAX_LONG rows
-    match = same(series.keys, "_l_")
-    short = df.join(listed, match, "left_anti")
-    share = (ordinal(df, series.time) - F.col("_lo")) / F.greatest("_span", F.lit(1e-9))
-    chunk = F.floor(share * F.col("_chunks")).cast("long")
-    cut = (
-        df.join(listed, match, "inner")
-        .withColumn("_chunk", F.coalesce(chunk, F.lit(-1)))
-        .drop("_lo", "_span", "_chunks", *["_l_" + k for k in series.keys])
-    )
-    left = build(Part(series, False), short)
-    right = build(Part(series, True), cut).drop("_chunk")
-    return left.unionByName(right)
+    return build(Part(series, True), stored(_chunked(df, series), "chunked")).drop("_chunk")
 
 
 def positions(df: DataFrame, series: Series, name: str = "position") -> DataFrame:

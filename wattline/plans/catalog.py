@@ -121,10 +121,11 @@ def daily_ticks(spark, sf) -> tuple[DataFrame, Series]:
 
 def daily_trips(spark, sf) -> DataFrame:
     real, series = daily_ticks(spark, sf)
+    bounds = R.grid_bounds(daily_events(spark, sf), FILE.keys, step_s=HOUR, align="floor")
     grid = R.resample(
         daily_events(spark, sf), FILE.keys, config=HOURLY, fast=[], slow=["reading"], status=[], counter=[], align="floor"
     )
-    return T.trips(grid, step_s=HOUR, config=DAILY_TRIPS, series=series, real=real)
+    return T.trips(grid, step_s=HOUR, config=DAILY_TRIPS, series=series, real=real, bounds=bounds)
 
 
 def silver(spark, sf) -> DataFrame:
@@ -292,9 +293,7 @@ def fault_flags(spark, sf):
 @query
 def fault_code_universe(spark, sf):
     """Known codes and codes seen (here the cleaned brand names of parts)."""
-    parts = table(spark, sf, "part").select(S.fault_code("p_brand").alias("code")).distinct()
-    known = spark.createDataFrame([(c,) for c in C.KNOWN_FAULT_CODES], "code string")
-    return parts.where(F.col("code") != "").union(known).distinct()
+    return intervals.code_universe(table(spark, sf, "part").select(S.fault_code("p_brand").alias("code")))
 
 
 def pre_event(spark, sf) -> DataFrame:

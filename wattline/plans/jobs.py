@@ -61,37 +61,40 @@ class Settings:
 def ingest(spark: SparkSession, lake: Lake, days: Sequence[str], settings: Settings = Settings()) -> DataFrame:
     """Raw files of the given days to validated and gridded tables; returns the manifest.
 
-    The trip state is kept per day: a rerun starts from the state before its first day.
+    The trip state is kept after each day, so any day can be run again by itself.
     """
     days = sorted(days)
     raw = clean.standardize(IO.read_raw(spark, lake.raw_files, days))
-    IO.write_table(clean.flagged(clean.parsed(raw)), lake.at("staging/checked"), days)  # text is read once
-    checked = IO.read_table(spark, lake.at("staging/checked"), days)
+    checked = clean.flagged(clean.parsed(raw, time_formats=settings.time_formats))
+    checked = rewritten(spark, checked, lake.at("staging/checked"), days)  # text is parsed once
     IO.write_json(clean.validation_report(checked), lake.at(f"reports/validation/{days[0]}_{days[-1]}"))
 
     valid = S.check_ranges(checked.where(F.col("timestamp").isNotNull()), C.RANGES).drop("_reversed")
-    IO.write_table(valid, lake.at("raw_parquet"), days)
-    valid = IO.read_table(spark, lake.at("raw_parquet"), days)
+    valid = rewritten(spark, valid, lake.at("raw_parquet"), days)
 
     faults = intervals.clean_faults(IO.read_faults(spark, lake.fault_files, days, settings.time_formats))
     silver, series = gridded(valid, faults, settings)
     state = trip_state_before(spark, lake, days[0])
     step = settings.resample.step_s
     real = resample.real_ticks(valid, KEYS, step_s=step)
-    with_trips = sessions.trips(silver, step_s=step, config=settings.trips, state=state, series=series, real=real)
-    IO.write_table(with_trips, lake.at("silver"), days)
-
-    written = IO.read_table(spark, lake.at("silver"), days)
-    after = sessions.trip_state(real, step_s=step, config=settings.trips, state=state, series=series)
-    after.withColumn("as_of", F.lit(days[-1])).write.mode("overwrite").option(
-        "partitionOverwriteMode", "dynamic"
-    ).partitionBy("as_of").parquet(lake.at("state/trips"))
+    bounds = resample.grid_bounds(valid, KEYS, step_s=step)
+    options = {"step_s": step, "config": settings.trips, "state": state, "series": series, "bounds": bounds}
+    with_trips = sessions.trips(silver, real=real, **options)
+    written = rewritten(spark, with_trips, lake.at("silver"), days)
+    after = sessions.trip_states(real, days, **options)
+    after.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("as_of").parquet(lake.at("state/trips"))
 
     manifest = A.ingest_manifest(valid, written, faults)
     IO.write_json(manifest, lake.at(f"reports/ingest/{days[0]}_{days[-1]}"))
     return manifest
 
 
+def rewritten(spark: SparkSession, df: DataFrame, path: str, days: Sequence[str]) -> DataFrame:
+    """The days of a table, replaced by df and read back with its columns; df may have no rows."""
+    IO.write_table(df, path, days)
+    return IO.read_table(spark, path, days, schema=df.schema)
+
+
 def gridded(valid: DataFrame, faults: DataFrame, settings: Settings = Settings()) -> tuple[DataFrame, Series]:
     """Validated rows on the regular grid with fault flags; and how long the files' grids are."""
     order = [c for c in clean.FILE_ORDER if c in valid.columns]
@@ -122,14 +125,10 @@ def gold(spark: SparkSession, lake: Lake, days: Sequence[str], settings: Setting
     g = settings.gold
     days = sorted(days)
     silver = IO.read_table(spark, lake.at("silver"), days)
-    IO.write_table(feature_rows(silver, g, wanted), lake.at("gold/window_features"), days)
-
-    rows = IO.read_table(spark, lake.at("gold/window_features"), days)
-    IO.write_table(trip_table(rows, g), lake.at("gold/trip_features"), days)
-    trip_rows = IO.read_table(spark, lake.at("gold/trip_features"), days)
+    rows = rewritten(spark, feature_rows(silver, g, wanted), lake.at("gold/window_features"), days)
+    trip_rows = rewritten(spark, trip_table(rows, g), lake.at("gold/trip_features"), days)
     daily = A.daily_rows(silver, rows, trip_rows, g.drop_mask, g.daily_min_rows)
-    IO.write_table(daily, lake.at("gold/daily_stats"), days)
-    daily = IO.read_table(spark, lake.at("gold/daily_stats"), days)
+    daily = rewritten(spark, daily, lake.at("gold/daily_stats"), days)
     IO.write_json(A.gold_totals(daily), lake.at(f"reports/gold/{days[0]}_{days[-1]}"))
     return daily
 
@@ -186,9 +185,9 @@ def load_training(spark: SparkSession, lake: Lake, days: Sequence[str], vehicles
     """Training rows of the days and vehicles; files that are absent are named in a warning."""
     rows = IO.read_table(spark, lake.at("gold/window_features"), list(days), vehicles)
     if vehicles is not None:
-        absent = IO.missing_files(rows, days, vehicles).orderBy("dt", "vehicle_id").collect()  # days x vehicles
+        absent = IO.missing_files(rows, days, vehicles).orderBy("dt", "vehicle_id").limit(20).collect()
         if absent:
-            warnings.warn(f"no feature rows for {[tuple(r) for r in absent]}")
+            warnings.warn(f"no feature rows for {[tuple(r) for r in absent]}" + " and maybe others" * (len(absent) == 20))
     return datasets.training_rows(rows, f.features, f.target, f.drop_mask)
 
 

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import os
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def get_session(app: str = "wattline", master: str | None = None, **conf: str) -> SparkSession:
@@ -16,6 +17,7 @@ def get_session(app: str = "wattline", master: str | None = None, **conf: str) -
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        .config("spark.sql.sources.partitionColumnTypeInference.enabled", "false")  # 007 is a vehicle, not a number
     )
     if master:
         builder = builder.master(master)
@@ -40,3 +42,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     fresh = os.path.join(tempfile.mkdtemp(prefix="wattline-"), "checkpoints")
     spark.sparkContext.setCheckpointDir(fresh)
     return fresh
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """df as a table of its own in the checkpoint folder: it cuts the plan and is read by column."""
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-import time
+import uuid
 from collections.abc import Iterable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from wattline.config import FAULT_HEADERS, TIME_FORMATS
 from wattline.functions.scalar import add_missing, parse_time
@@ -36,26 +38,42 @@ def existing_paths(spark: SparkSession, patterns: Iterable[str]) -> list[str]:
     return [p for p in patterns if _glob(spark, p)]
 
 
-def read_raw(spark: SparkSession, root: str, days: Sequence[str] | None = None) -> DataFrame:
-    """All columns of the raw files as text, plus day, vehicle and the row's place in its file.
+def _by_header(spark: SparkSession, paths: Sequence[str]) -> list[DataFrame]:
+    """The CSV files, all columns as text: one table for each header that occurs, however files order or
+    extend their columns."""
+    place = F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
+    lines = spark.read.text(list(paths)).select("value", _decoded_path().alias("file"), place.alias("at"))
+    first = lines.groupBy("file").agg(F.min_by("value", "at").alias("header"))
+    found = first.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files")).orderBy("header").collect()
+    out = []
+    for _, files in found:
+        schema = spark.read.option("header", True).csv(files[0]).schema
+        everything = list(paths) if len(found) == 1 else files
+        out.append(spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(everything))
+    return out
 
-    The header of every file is checked against the first one's, so that a different column order is an
-    error and not shifted data; read such files as a group of their own and union the groups by name.
+
+def read_raw(spark: SparkSession, root: str, days: Sequence[str] | None = None) -> DataFrame:
+    """All columns of the raw files as text, by the names in each file's header, plus day, vehicle and the
+    row's place in its file. Files are read once for their headers and once for their rows; a column that
+    a file lacks is NULL there.
     """
     paths = existing_paths(spark, day_paths(root, days))
     if not paths:
         raise FileNotFoundError(f"no raw files under {root} for {days or 'any day'}")
-    header = spark.read.option("header", True).csv(_first_file(spark, paths[0])).schema
-    rows = spark.read.schema(header).option("header", True).option("enforceSchema", False).csv(paths)
     path = _decoded_path()
-    return rows.select(
-        *[F.col(f"`{n}`") for n in header.names],
-        F.regexp_extract(path, FOLDER_DAY, 1).alias("dt"),
-        vehicle_of(path).alias("vehicle_id"),
-        F.col("_metadata.file_path").alias("_file"),
-        F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_row"),
-    )
+    tables = [
+        rows.select(
+            *[F.col(f"`{n}`") for n in rows.columns],
+            F.regexp_extract(path, FOLDER_DAY, 1).alias("dt"),
+            vehicle_of(path).alias("vehicle_id"),
+            F.col("_metadata.file_path").alias("_file"),
+            F.col("_metadata.file_block_start").alias("_block"),
+            F.monotonically_increasing_id().alias("_row"),
+        )
+        for rows in _by_header(spark, paths)
+    ]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
 
 
 def read_faults(
@@ -68,10 +86,9 @@ def read_faults(
     paths = existing_paths(spark, day_paths(root, days))
     if not paths:
         return empty
-    header = spark.read.option("header", True).csv(_first_file(spark, paths[0])).schema
-    rows = spark.read.schema(header).option("header", True).option("enforceSchema", False).csv(paths)
     path = _decoded_path()
-    rows = rows.withColumns({"dt": F.regexp_extract(path, FOLDER_DAY, 1), "vehicle_id": vehicle_of(path)})
+    tables = [rows.withColumns({"dt": F.regexp_extract(path, FOLDER_DAY, 1), "vehicle_id": vehicle_of(path)}) for rows in _by_header(spark, paths)]
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
     rows = add_missing(rows.withColumnsRenamed(FAULT_HEADERS), FAULT_HEADERS.values(), kind="string")
     return rows.select(
         "dt",
@@ -90,20 +107,30 @@ def read_table(
     columns: Sequence[str] | None = None,
     first_day: str | None = None,
     last_day: str | None = None,
+    schema: StructType | None = None,
 ) -> DataFrame:
-    """A partitioned table, pruned to days, an inclusive range of days, vehicles, and the columns it has."""
-    df = spark.read.option("mergeSchema", True).parquet(root)
+    """A partitioned table, pruned to days, an inclusive range of days, vehicles, and the columns it has.
+
+    Only the folders of wanted days are looked into. Without a `schema` the columns are those of any of
+    their files; with one, days without a folder give no rows instead of an error.
+    """
+    if days is None and first_day is None and last_day is None:
+        paths = [root]
+    else:
+        listed = {f.split("=", 1)[1] for f in folders(spark, root) if f.startswith("dt=")}
+        wanted = [d for d in sorted(listed) if (days is None or d in days) and (first_day or d) <= d <= (last_day or d)]
+        paths = [f"{root}/dt={d}" for d in wanted]
+    if not paths and schema is None:
+        raise FileNotFoundError(f"{root} has none of the days asked for")
+    if not paths:
+        return spark.createDataFrame([], schema)
+    reader = spark.read.option("basePath", root)
+    df = (reader.schema(schema) if schema is not None else reader.option("mergeSchema", True)).parquet(*paths)
     types = dict(df.dtypes)
     if types.get("vehicle_id", "string") != "string":
         raise ValueError("set spark.sql.sources.partitionColumnTypeInference.enabled=false: vehicle ids are text")
     if types.get("dt", "string") != "string":
         df = df.withColumn("dt", F.col("dt").cast("string"))
-    if days is not None:
-        df = df.where(F.col("dt").isin(*days))
-    if first_day is not None:
-        df = df.where(F.col("dt") >= first_day)
-    if last_day is not None:
-        df = df.where(F.col("dt") <= last_day)
     if vehicles is not None:
         df = df.where(F.col("vehicle_id").isin(*vehicles))
     if columns is not None:
@@ -114,7 +141,8 @@ def read_table(
 def missing_files(df: DataFrame, days: Sequence[str], vehicles: Sequence[str]) -> DataFrame:
     """The wanted (day, vehicle) pairs the table has no rows for."""
     spark = df.sparkSession
-    wanted = spark.createDataFrame([(d, v) for d in days for v in vehicles], "dt string, vehicle_id string")
+    each_vehicle = F.explode(F.array(*[F.lit(v) for v in vehicles])) if vehicles else F.explode(F.array().cast("array<string>"))
+    wanted = spark.createDataFrame([(d,) for d in days], "dt string").withColumn("vehicle_id", each_vehicle)
     return wanted.join(df.select("dt", "vehicle_id").distinct(), ["dt", "vehicle_id"], "left_anti")
 
 
@@ -125,25 +153,38 @@ def write_table(
     by: Sequence[str] = ("dt", "vehicle_id"),
     rebalance: bool = False,
 ) -> None:
-    """Replace the partitions the rows belong to. With `days`, partitions of those days that got no rows
-    this time are removed after the write has succeeded. A rerun leaves the same table.
+    """Replace the partitions the rows belong to. With `days` those days are replaced as a whole: afterwards
+    they have the partitions of these rows and no others. A rerun leaves the same table.
 
-    Rows that were windowed by file lie together already; `rebalance` is for rows that are scattered.
+    With `days` the rows are written beside the table and each day is then moved into place; a day's old
+    rows go after its new ones are there. Rows that were windowed by file lie together already; `rebalance`
+    is for rows that are scattered.
     """
     spark = df.sparkSession
-    started = int(time.time() * 1000)
-    before = _partitions(spark, root, days) if days is not None else []
     if rebalance:
         df = df.hint("rebalance", *[F.col(c) for c in by])
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(root)
-    for path, newest in before:
-        if newest < started - 1000 and _newest(spark, path) < started - 1000:
-            _fs(spark, path).delete(_path(spark, path), True)
+    if days is None:
+        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(root)
+        return
+    if by[0] != "dt":
+        raise ValueError("days are the first level of folders")
+    mark = uuid.uuid4().hex[:12]
+    draft, old = f"{root}/_draft_{mark}", f"{root}/_old_{mark}"
+    df.write.partitionBy(*by).parquet(draft)
+    fresh = {f for f in folders(spark, draft) if f.startswith("dt=")}
+    _fs(spark, root).mkdirs(_path(spark, old))
+    for day in sorted(fresh | {f"dt={d}" for d in days}):
+        if exists(spark, f"{root}/{day}"):
+            rename(spark, f"{root}/{day}", f"{old}/{day}")
+        if day in fresh:
+            rename(spark, f"{draft}/{day}", f"{root}/{day}")
+    for done in (old, draft):
+        _fs(spark, root).delete(_path(spark, done), True)
 
 
 def write_json(df: DataFrame, path: str) -> None:
-    """A small report as JSON lines."""
-    df.coalesce(1).write.mode("overwrite").json(path)
+    """A report as JSON lines."""
+    df.write.mode("overwrite").json(path)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -151,24 +192,25 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def fingerprints(spark: SparkSession, root: str, days: Sequence[str] | None = None, vehicles: Sequence[str] | None = None) -> DataFrame:
-    """First 16 hex digits of the SHA-256 of every Parquet file, by path below `root`.
+    """First 16 hex digits of the SHA-256 of every Parquet file, by path below `root`. Only files of the
+    wanted days and vehicles are listed and read.
 
     One row holds a whole file, so files must stay under 2 GB.
     """
+    names = [f"vehicle_id={{{','.join(vehicles)}}}"] if vehicles is not None else []
+    patterns = ["/".join([root, f"dt={d}", *names]) for d in days] if days is not None else ["/".join([root, "dt=*", *names]) if names else root]
+    paths = patterns if patterns == [root] else existing_paths(spark, patterns)
+    if not paths:
+        return spark.createDataFrame([], "file string, sha256 string")
     # recursiveFileLookup keeps the folder names out of the columns
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.parquet")
-        .load(root)
+        .load(paths)
     )
     path = F.url_decode(F.replace(F.col("path"), F.lit("+"), F.lit("%2B")))
-    tail = F.regexp_extract(path, r"((?:dt=[^/]+/)?(?:vehicle_id=[^/]+/)?[^/]+)$", 1)
-    out = files.withColumn("file", tail)
-    if days is not None:
-        out = out.where(F.regexp_extract("file", r"dt=([^/]+)", 1).isin(*days))
-    if vehicles is not None:
-        out = out.where(F.regexp_extract("file", r"vehicle_id=([^/]+)", 1).isin(*vehicles))
+    out = files.withColumn("file", F.regexp_extract(path, r"((?:dt=[^/]+/)?(?:vehicle_id=[^/]+/)?[^/]+)$", 1))
     digest = F.concat(F.lit("sha256:"), F.substring(F.sha2("content", 256), 1, 16))
     return out.select("file", digest.alias("sha256"))
 
@@ -189,10 +231,6 @@ def _glob(spark: SparkSession, pattern: str) -> list[str]:
     return [s.getPath().toString() for s in found] if found else []
 
 
-def _first_file(spark: SparkSession, pattern: str) -> str:
-    return sorted(_glob(spark, pattern))[0]
-
-
 def exists(spark: SparkSession, path: str) -> bool:
     return _fs(spark, path).exists(_path(spark, path))
 
@@ -207,19 +245,3 @@ def folders(spark: SparkSession, root: str) -> list[str]:
 def rename(spark: SparkSession, old: str, new: str) -> None:
     if not _fs(spark, old).rename(_path(spark, old), _path(spark, new)):
         raise OSError(f"could not move {old} to {new}")
-
-
-def _newest(spark: SparkSession, folder: str) -> int:
-    fs = _fs(spark, folder)
-    if not fs.exists(_path(spark, folder)):
-        return 0
-    return max((s.getModificationTime() for s in fs.listStatus(_path(spark, folder))), default=0)
-
-
-def _partitions(spark: SparkSession, root: str, days: Sequence[str]) -> list[tuple[str, int]]:
-    out = []
-    for d in days:
-        for path in _glob(spark, f"{root}/dt={d}/*"):
-            out.append((path, _newest(spark, path)))
-    return out
-
