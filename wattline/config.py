@@ -314,8 +314,9 @@ class ForecastConfig:
     drop_mask: int = GAP_INSERTED | HARD_RANGE_BREACH | TIME_ANOMALY
     micro_min_rows: int = 60
     micro_min_range: float = 3.0
-    max_iter: int = 200
-    max_depth: int = 5
+    max_iter: int = 800
+    max_depth: int = 6
+    patience: int = 30
     step_size: float = 0.05
     subsample: float = 0.8
     feature_subset: str = "0.8"

@@ -6,13 +6,15 @@ import hashlib
 import json
 import re
 import time
+from collections.abc import Sequence
 from dataclasses import asdict, dataclass
 from datetime import datetime, timezone
 
+from pyspark import SparkContext
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.pipeline import Pipeline
-from pyspark.ml.regression import GBTRegressor
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,14 +24,13 @@ from wattline.sources.tables import exists, folders, rename
 
 
 def fit(train: DataFrame, val: DataFrame | None, config: ForecastConfig = ForecastConfig()) -> PipelineModel:
-    """Boosted trees on the rows without NULLs; with validation rows, boosting stops when they no longer
-    improve."""
+    """Boosted trees on the rows without NULLs.
+
+    With validation rows the model keeps the rounds up to the one with the least mean absolute error on them
+    that is not followed by a better one within `patience` rounds.
+    """
     names = list(config.features)
     need = [*names, config.target]
-    rows = train.select(*need, F.lit(False).alias("_val"))
-    if val is not None:
-        rows = rows.unionByName(val.select(*need, F.lit(True).alias("_val")))
-    rows = rows.dropna()
     trees = GBTRegressor(
         featuresCol="features",
         labelCol=config.target,
@@ -42,10 +43,45 @@ def fit(train: DataFrame, val: DataFrame | None, config: ForecastConfig = Foreca
         minInstancesPerNode=config.min_instances,
         seed=config.seed,
     )
-    if val is not None:
-        trees = trees.setValidationIndicatorCol("_val")
     assembler = VectorAssembler(inputCols=names, outputCol="features", handleInvalid="keep")
-    return Pipeline(stages=[assembler, trees]).fit(rows)
+    fitted = Pipeline(stages=[assembler, trees]).fit(train.select(*need).dropna())
+    if val is None:
+        return fitted
+    rows = fitted.stages[0].transform(val.select(*need).dropna())
+    if rows.isEmpty():
+        return fitted
+    errors = fitted.stages[1].evaluateEachIteration(rows, "absolute")
+    return PipelineModel([fitted.stages[0], first_rounds(fitted.stages[1], best_round(errors, config.patience))])
+
+
+def best_round(errors: Sequence[float], patience: int) -> int:
+    """The number of rounds after which the error is least, looking on for at most `patience` rounds without a
+    better one."""
+    best = 0
+    for i, e in enumerate(errors):
+        if e < errors[best]:
+            best = i
+        elif i - best >= patience:
+            break
+    return best + 1
+
+
+def first_rounds(model: GBTRegressionModel, rounds: int) -> GBTRegressionModel:
+    """The model of the first rounds only."""
+    if rounds >= model.getNumTrees:
+        return model
+    gateway, jvm, whole = SparkContext._gateway, SparkContext._jvm, model._java_obj
+    kind = jvm.org.apache.spark.ml.regression
+    trees = gateway.new_array(kind.DecisionTreeRegressionModel, rounds)
+    weights = gateway.new_array(jvm.double, rounds)
+    for i, (tree, weight) in enumerate(zip(whole.trees()[:rounds], list(whole.treeWeights())[:rounds])):
+        trees[i], weights[i] = tree, float(weight)
+    cut = GBTRegressionModel(kind.GBTRegressionModel(whole.uid(), trees, weights, model.numFeatures))
+    return model._copyValues(cut)
+
+
+def rounds_kept(model: PipelineModel) -> int:
+    return model.stages[-1].getNumTrees
 
 
 def predict(model: PipelineModel, df: DataFrame, target: str | None = None, lo: float = 0, hi: float = 100) -> DataFrame:
@@ -114,6 +150,7 @@ def save_run(
         f"{draft}/feature_set",
     )
     stamp = {"task": config.task, "run_id": run_id, "trained_at": datetime.now(timezone.utc).isoformat()}
+    stamp["rounds"] = rounds_kept(model)
     _write_object(spark, {**stamp, **fingerprint}, f"{draft}/data_fingerprint")
     _write_object(spark, asdict(config), f"{draft}/config")
     file_hashes.write.mode("overwrite").json(f"{draft}/file_hashes")

@@ -154,6 +154,14 @@ def trip_state(spark, sf):
     )
 
 
+@query
+def trip_state_by_day(spark, sf):
+    """The state after each file, from which the next day can be run by itself."""
+    real, series = daily_ticks(spark, sf)
+    out = T.trip_states(real, step_s=HOUR, config=DAILY_TRIPS, series=series)
+    return out.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("open_trip_start_ts", "last_ts")})
+
+
 @query
 def span_cluster(spark, sf):
     faults = events(spark, sf).where(F.col("fault_any") == 1)
@@ -174,6 +182,19 @@ def rolling_stats(spark, sf):
     return rounded(out.select("event_id", *[c for c in out.columns if "_roll_" in c]))
 
 
+@query
+def rolling_skewed(spark, sf):
+    """One series holds nearly all rows, and one of its times is far from all others."""
+    e = events(spark, sf).withColumns(
+        {
+            "user_id": F.when(F.col("event_id") % 50 == 0, F.col("user_id")).otherwise(F.lit(0).cast("long")),
+            "ts": F.when(F.col("event_id") == 7, F.lit("2099-01-01").cast("timestamp_ntz")).otherwise(F.col("ts")),
+        }
+    )
+    out = W.rolling(e, Series("user_id", "ts", "event_id", max_rows=1_000), ["value"], [3, 10, 60])
+    return rounded(out.select("event_id", *[c for c in out.columns if "_roll_" in c]))
+
+
 @query
 def rolling_sparse(spark, sf):
     """Frames with missing readings, filled from five readings on."""
@@ -267,6 +288,12 @@ def fill_forward(spark, sf):
     return out.select("user_id", "ts", "reading", "event_type", "quality_flag")
 
 
+@query
+def fill_counter(spark, sf):
+    out = hourly(spark, sf, counter=["reading"])
+    return out.select("user_id", "ts", "reading", "quality_flag")
+
+
 # ---- intervals
 
 
@@ -820,6 +847,19 @@ def fit_predict(spark, sf):
     return rounded(model.predict(fitted, df, "y").select(*LINE, "y", "pred", "error"))
 
 
+STUMP = C.ForecastConfig(
+    features=("l_linenumber",), target="l_quantity", max_iter=1, max_depth=1, subsample=1.0, feature_subset="all", min_instances=1
+)
+
+
+@query
+def fit_stump(spark, sf):
+    """One tree with one split, scored on all order lines."""
+    checkpoint_dir(spark)
+    df = table(spark, sf, "lineitem")
+    return rounded(model.predict(model.fit(df, None, STUMP), df).select(*LINE, "pred"))
+
+
 @query
 def feature_importance(spark, sf):
     return rounded(model.importance(fitted_model(spark, sf)[0], spark))
@@ -848,6 +888,37 @@ def stored_days(spark, sf):
     return back
 
 
+@query
+def replaced_days(spark, sf):
+    """Events written as a partitioned table, then two of its days replaced by other rows, and all read back."""
+    rows = events(spark, sf).select(
+        F.date_format("ts", "yyyy-MM-dd").alias("dt"), F.col("event_type").alias("vehicle_id"), "event_id", "value"
+    )
+    days = ["2024-01-05", "2024-01-06"]
+    root = f"{checkpoint_dir(spark)}/tables/{uuid.uuid4().hex}"
+    IO.write_table(rows, root, rebalance=True)
+    other = rows.where(F.col("dt").isin(*days) & (F.col("vehicle_id") == "error")).withColumn("value", F.col("value") * 2)
+    IO.write_table(other, root, days, rebalance=True)
+    return IO.read_table(spark, root, columns=["dt", "vehicle_id", "event_id", "value"])
+
+
+@query
+def cleaned_rows(spark, sf):
+    """Vendor headers, readings as text with placeholders, an absent column and a 0/1 flag."""
+    raw = table(spark, sf, "lineitem").select(
+        *LINE,
+        F.when(F.col("l_linenumber") == 3, "n/a").otherwise(F.col("l_quantity").cast("string")).alias("Quantity"),
+        F.when(F.col("l_linenumber") == 2, "NaN").otherwise(F.col("l_tax").cast("string")).alias("Tax rate"),
+        F.when(F.col("l_returnflag") == "R", 1).when(F.col("l_returnflag") == "A", 0).alias("Returned"),
+    )
+    named = clean.standardize(raw, {"Quantity": "quantity", "Tax rate": "tax", "Returned": "returned"})
+    S.require(named, ["quantity", "tax"], "order lines")
+    typed = named.withColumns(
+        {"quantity": S.number("quantity"), "tax": F.nullif(S.number("tax"), F.lit(0.0)), "returned": S.truthy("returned")}
+    )
+    return S.ordered_columns(S.add_missing(typed, ["speed", "tax"], 0, "int"), LINE)
+
+
 @query
 def numeric_features(spark, sf):
     """Numeric columns that are not keys, with their NULL share."""

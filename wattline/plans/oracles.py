@@ -88,6 +88,15 @@ SELECT l.vehicle_id, l.seq::BIGINT AS trip_seq,
 FROM lasts l JOIN starts s ON l.vehicle_id = s.vehicle_id AND l.seq = s.number
 JOIN ends ON ends.vehicle_id = l.vehicle_id"""
 
+ORACLES["trip_state_by_day"] = f"""WITH {FILES}, starts AS (
+  SELECT vehicle_id, number, min(ts) AS start FROM silver WHERE number IS NOT NULL GROUP BY ALL
+), ends AS (SELECT dt, vehicle_id, max(ts) AS last_ts FROM silver GROUP BY ALL)
+SELECT f.vehicle_id, (f.base + f.n)::BIGINT AS trip_seq,
+  CASE WHEN f.last_open THEN printf('%s_%06d', f.vehicle_id, (f.base + f.n)::BIGINT) END AS open_trip_id,
+  CASE WHEN f.last_open THEN s.start END AS open_trip_start_ts, e.last_ts, f.dt, f.dt AS as_of
+FROM fil3 f JOIN starts s ON f.vehicle_id = s.vehicle_id AND f.base + f.n = s.number
+JOIN ends e ON e.vehicle_id = f.vehicle_id AND e.dt = f.dt"""
+
 
 def _spans(source: str, gap_us: int, having: str) -> str:
     return f"""a AS (
@@ -120,6 +129,10 @@ def _rolling(signal: str, widths, enough: int | None, digits: int = 6) -> str:
 
 
 ORACLES["rolling_stats"] = f"WITH {EVENTS} SELECT event_id,\n  {_rolling('value', (3, 10, 60), None)} FROM e"
+ORACLES["rolling_skewed"] = f"""WITH e AS (
+  SELECT event_id, CASE WHEN event_id % 50 = 0 THEN user_id ELSE 0 END AS user_id,
+    CASE WHEN event_id = 7 THEN TIMESTAMP '2099-01-01' ELSE ts END AS ts, value FROM events)
+SELECT event_id, {_rolling('value', (3, 10, 60), None)} FROM e"""
 ORACLES["rolling_sparse"] = f"WITH {EVENTS} SELECT event_id,\n  {_rolling('reading', (20, 60), 5, 8)} FROM e"
 
 ORACLES["lags"] = (
@@ -202,6 +215,11 @@ SELECT user_id, ts, round(CASE WHEN can_r THEN pv ELSE reading END, 6) AS readin
   CASE WHEN can_e THEN ev ELSE event_type END AS event_type,
   flag | CASE WHEN can_r OR can_e THEN 2 ELSE 0 END AS quality_flag FROM c"""
 
+ORACLES["fill_counter"] = f"""WITH {GRID}, c AS (
+  SELECT *, coalesce(reading IS NULL AND ts - pt <= INTERVAL 24 HOUR, false) AS can FROM k)
+SELECT user_id, ts, round(CASE WHEN can THEN pv ELSE reading END, 6) AS reading,
+  flag | CASE WHEN can THEN 2 ELSE 0 END AS quality_flag FROM c"""
+
 FAULTS = f"""{EVENTS}, flt AS (
   SELECT user_id, event_id AS fault_id, ts AS activated_at, event_type AS code,
     CASE WHEN NOT (event_type = 'purchase' AND value > 300) THEN ts + INTERVAL 2 HOUR END AS fixed_at
@@ -564,3 +582,17 @@ WHERE rows >= 2 AND epoch_us(trip_end_ts) + 14400999999 <= epoch_us(m)"""
 ORACLES["trip_sets"] = f"""WITH {SESSIONS}
 SELECT trip_id, count(*) AS errors, NULL::DOUBLE AS total FROM s WHERE trip_id IS NOT NULL AND fault_any = 1 GROUP BY trip_id
 UNION ALL SELECT trip_id, NULL, round(sum(value), 6) FROM s WHERE trip_id IS NOT NULL AND fault_any = 0 GROUP BY trip_id"""
+
+ORACLES["fit_stump"] = """WITH s AS (
+  SELECT l_linenumber AS v, count(*) AS n, sum(l_quantity) AS t FROM lineitem GROUP BY 1
+), c AS (
+  SELECT v, sum(n) OVER (ORDER BY v) AS nl, sum(t) OVER (ORDER BY v) AS tl, sum(n) OVER () AS n, sum(t) OVER () AS t FROM s
+), best AS (
+  SELECT v, tl / nl AS lo, (t - tl) / (n - nl) AS hi FROM c WHERE nl < n
+  ORDER BY tl * tl / nl + (t - tl) * (t - tl) / (n - nl) DESC LIMIT 1)
+SELECT l_orderkey, l_linenumber, round(CASE WHEN l_linenumber <= v THEN lo ELSE hi END, 6) AS pred FROM lineitem, best"""
+ORACLES["replaced_days"] = """SELECT strftime(ts, '%Y-%m-%d') AS dt, event_type AS vehicle_id, event_id,
+  CASE WHEN strftime(ts, '%Y-%m-%d') IN ('2024-01-05', '2024-01-06') THEN value * 2 ELSE value END AS value FROM events
+WHERE event_type = 'error' OR strftime(ts, '%Y-%m-%d') NOT IN ('2024-01-05', '2024-01-06')"""
+ORACLES["cleaned_rows"] = """SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber <> 3 THEN l_quantity END AS quantity,
+  CASE WHEN l_linenumber <> 2 AND l_tax <> 0 THEN l_tax END AS tax, l_returnflag = 'R' AS returned, 0 AS speed FROM lineitem"""
