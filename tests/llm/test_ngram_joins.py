@@ -5,7 +5,7 @@ import pytest
 from conftest import SF
 
 from wattline.llm.components import components
-from wattline.llm.ngram_join import link_components, needed, one_of_each, prefix_size
+from wattline.llm.ngram_join import link_components, needed, one_of_each, pair_needed, prefix_size
 
 
 def shingle_set(text, k):
@@ -97,6 +97,7 @@ def test_prefixes_of_similar_sets_share_what_is_needed():
         if b and 100 * common >= percent * (len(a) + len(b) - common):
             shared = len(set(a[: prefix_size(len(a), percent)]) & set(b[: prefix_size(len(b), percent)]))
             assert shared >= max(needed(len(a), percent), needed(len(b), percent), 1)
+            assert shared >= pair_needed(len(a), len(b), percent)
 
 
 def test_one_of_each_keeps_every_group(spark):

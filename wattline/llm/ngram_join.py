@@ -106,6 +106,21 @@ def needed_sql(n: str, percent: int) -> str:
     return f"least(1 + ({least} - {second}) div 3, {second})"
 
 
+def pair_needed(n: int, m: int, percent: int) -> int:
+    """Shingles of their prefixes that similar sets of these sizes share: all but those of the intersection that may lie
+    behind the prefix of one of them, the one whose prefix ends first in the order."""
+    common = -(-percent * (n + m) // (100 + percent))
+    return min(shared_size(x, percent) + common - least_common(x, percent) for x in (n, m))
+
+
+def pair_needed_sql(n: str, m: str, percent: int) -> str:
+    """`pair_needed` of two columns."""
+    common = f"(({percent} * ({n} + {m}) + {99 + percent}) div {100 + percent})"
+    least = "(({p} * {x} + 99) div 100)"
+    own = [f"least(1 + ({x} - {least.format(p=percent, x=x)}) div 3, {least.format(p=percent, x=x)}) + {common} - {least.format(p=percent, x=x)}" for x in (n, m)]
+    return f"least({own[0]}, {own[1]})"
+
+
 def text_hashes(texts: list[bytes]) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh3_64_intdigest, texts), np.uint64, len(texts))
 
@@ -319,7 +334,7 @@ def in_blocks(rows: DataFrame, percent: int) -> DataFrame:
     return spread.groupBy("key", "i", "j", "against_closed").applyInArrow(block_links(percent), "a long, b long")
 
 
-def link_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = 5, percent: int = 80, share: float = 1e-6, bits: int = 1 << 23, token_bits: int = 1 << 25) -> DataFrame:
+def link_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = 5, percent: int = 80, share: float = 2e-7, bits: int = 1 << 23, token_bits: int = 1 << 25) -> DataFrame:
     """One row per row: doc_id, n_shingles and component_id, the least id that can be reached by links.
 
     The set of a text: its distinct shingles of k words (runs of characters other than ASCII white space, A-Z in lower
@@ -361,34 +376,35 @@ def _links(base: DataFrame, real: DataFrame, members: DataFrame, k: int, percent
     present = at_home.join(sets, "node").select("home", "node", "items").join(lead, "home")
     checked = stored(against_leader(present, percent), "against-leaders")
     first = checked.where("linked and node <> leader").select(F.col("node").alias("a"), F.col("leader").alias("b"))
-    # homes where some differ from the leader: those against all
-    apart = checked.where("not linked").select("home").distinct()
+    # large homes where some differ from the leader: those against all
+    large = leaders.where(F.col("there") > PAIRED).select("home")
+    apart = checked.where("not linked").select("home").distinct().join(large, "home")
     rows = checked.join(apart, "home").join(sets, "node").select(
         F.col("home").alias("key"), "node", (~F.col("linked")).alias("open"), F.lit(None).cast("long").alias("part"), "size", "items"
     )
     links = stored(first.union(in_blocks(rows, percent)), "home-links")
-    # pairs that share a shingle, but neither a home nor a component
+    # what shares a shingle, but neither a large home nor a component
     joined = components(links)
     placed = at_home.join(joined, "node", "left").select("gid", "node", "home", F.coalesce("component", "node").alias("part"))
+    placed = placed.join(large.withColumn("large", F.lit(True)), "home", "left").select("gid", "node", "home", "part", F.coalesce("large", F.lit(False)).alias("large"))
     placed = stored(kept.select("gid", "n", "token").join(placed, "gid"), "placed")
-    open_tokens = placed.groupBy("token").agg(
-        F.min("part").alias("p"), F.max("part").alias("q"), F.min("home").alias("h"), F.max("home").alias("i"), F.count("*").alias("df")
-    ).where("p <> q and h <> i")
+    open_tokens = placed.groupBy("token").agg(F.min("part").alias("p"), F.max("part").alias("q"), F.count("*").alias("df")).where("p <> q")
     left = stored(placed.join(open_tokens.select("token", "df"), "token"), "open-postings")
     few, many = left.where(F.col("df") <= PAIRED), left.where(F.col("df") > PAIRED)
     # a shingle of few members: pairs, if they share enough of them, or could with the others
     others = many.groupBy("node").agg(F.count("*").alias("others"))
-    few = few.join(others, "node", "left").select("token", "node", "n", "home", "part", F.coalesce("others", F.lit(0)).alias("others"))
+    few = few.join(others, "node", "left").select("token", "node", "n", "home", "large", "part", F.coalesce("others", F.lit(0)).alias("others"))
     x, y = (few.select("token", *[F.col(c).alias(side + c) for c in few.columns if c != "token"]) for side in "xy")
     met = x.join(y, "token").where(
-        (F.col("xnode") < F.col("ynode")) & (F.col("xhome") != F.col("yhome")) & (F.col("xpart") != F.col("ypart"))
+        (F.col("xnode") < F.col("ynode")) & (F.col("xpart") != F.col("ypart")) & ~(F.col("xlarge") & (F.col("xhome") == F.col("yhome")))
         & (100 * F.least("xn", "yn") >= percent * F.greatest("xn", "yn"))
     )
     met = met.groupBy("xnode", "ynode").agg(F.count("*").alias("shared"), *[F.max(c).alias(c) for c in ("xn", "yn", "xothers", "yothers")])
-    enough = F.greatest(F.expr(needed_sql("xn", percent)), F.expr(needed_sql("yn", percent)))
-    met = met.where(F.col("shared") + F.least("xothers", "yothers") >= enough)
+    met = met.where(F.col("shared") + F.least("xothers", "yothers") >= F.expr(pair_needed_sql("xn", "yn", percent)))
     paired = verified(met.select(F.col("xnode").alias("a"), F.col("ynode").alias("b")), sets, percent)
     # a shingle of many: those at home elsewhere than most, in blocks
+    crossing = many.groupBy("token").agg(F.min("home").alias("h"), F.max("home").alias("i")).where("h <> i").select("token")
+    many = many.join(crossing, "token")
     of_home = many.groupBy("token", "home").agg(F.count("*").alias("n"))
     main = of_home.groupBy("token").agg(F.max_by("home", F.struct("n", "home")).alias("main"))
     size = (F.length("items") / 8).cast("long")
