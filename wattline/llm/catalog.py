@@ -13,6 +13,7 @@ from wattline.llm.hash_index import exact_duplicates
 from wattline.llm.line_dedup import deduplicated_lines
 from wattline.llm.mixing import mix
 from wattline.llm.ngram_join import link_components
+from wattline.llm.oracles import ORACLES
 from wattline.llm.packing import pack
 from wattline.llm.quality import compression_bands
 from wattline.llm.token_files import token_table
@@ -79,6 +80,5 @@ QUERIES = {
     "op10_mixture_packing": op10_mixture_packing,
     "pipeline": corpus_pipeline.run,
 }
-ORACLES: dict[str, str] = {}
 if corpus_pipeline.ORACLE_SQL:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
