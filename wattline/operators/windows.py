@@ -10,8 +10,6 @@ from pyspark.sql import functions as F
 from wattline.operators.series import Part, Series, ordinal, per_series, positions
 
 AGGS = ("mean", "std", "min", "max")
-# Above this many rows a frame is built by joining shorter frames instead of being re-read per row.
-SLIDING_MAX = 16
 
 
 def rolling_columns(
@@ -157,9 +155,8 @@ def rolling(
     signals = [s for s in signals if s in df.columns]
 
     def build(part: Part, d: DataFrame) -> DataFrame:
-        make = rolling_joined if max(windows) > SLIDING_MAX else rolling_columns
         return part.frames(
-            d, lambda x, s: make(x, s, signals, windows, aggs, min_periods), back=max(windows) - 1
+            d, lambda x, s: rolling_joined(x, s, signals, windows, aggs, min_periods), back=max(windows) - 1
         )
 
     return per_series(df, series, build) if signals else df
