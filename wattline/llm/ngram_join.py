@@ -83,10 +83,17 @@ def least_common(n: int, percent: int) -> int:
     return -(-percent * n // 100)
 
 
+def step(percent: int) -> int:
+    """A prefix is longer than one shared shingle asks for by one part in `step`: from 90 % on, where prefixes are short,
+    twice as long, else by a third. The longer it is, the more shingles have to be shared, and the fewer sets that share
+    some by chance are looked at."""
+    return 1 if percent >= 90 else 3
+
+
 def shared_size(n: int, percent: int) -> int:
-    """How many shingles the prefix of a set of size n is to share: one, and one more for each third that it is longer."""
+    """How many shingles the prefix of a set of size n is to share: one, and one more for each that it is longer."""
     least = least_common(n, percent)
-    return min(1 + (n - least) // 3, least)
+    return min(1 + (n - least) // step(percent), least)
 
 
 def prefix_size(n: int, percent: int) -> int:
@@ -103,7 +110,7 @@ def needed_sql(n: str, percent: int) -> str:
     """`needed` of a column."""
     least = f"(({percent} * {n} + 99) div 100)"
     second = f"(({percent} * {least} + 99) div 100)"
-    return f"least(1 + ({least} - {second}) div 3, {second})"
+    return f"least(1 + ({least} - {second}) div {step(percent)}, {second})"
 
 
 def pair_needed(n: int, m: int, percent: int) -> int:
@@ -117,7 +124,7 @@ def pair_needed_sql(n: str, m: str, percent: int) -> str:
     """`pair_needed` of two columns."""
     common = f"(({percent} * ({n} + {m}) + {99 + percent}) div {100 + percent})"
     least = "(({p} * {x} + 99) div 100)"
-    own = [f"least(1 + ({x} - {least.format(p=percent, x=x)}) div 3, {least.format(p=percent, x=x)}) + {common} - {least.format(p=percent, x=x)}" for x in (n, m)]
+    own = [f"least(1 + ({x} - {least.format(p=percent, x=x)}) div {step(percent)}, {least.format(p=percent, x=x)}) + {common} - {least.format(p=percent, x=x)}" for x in (n, m)]
     return f"least({own[0]}, {own[1]})"
 
 
