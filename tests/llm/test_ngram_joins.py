@@ -127,3 +127,64 @@ def test_pairs_and_blocks_give_the_same(spark, monkeypatch, paired):
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     got = sorted(tuple(r) for r in link_components(docs, k=2, percent=70).collect())
     assert got == plain_components(rows, 2, 70)
+
+
+def by_hash(n):
+    """Words in the order of their shingles' hashes."""
+    from wattline.llm.common import Hashes, shingles
+
+    words = [f"h{i}" for i in range(n)]
+    codes = shingles(Hashes().of([w.encode() for w in words]), 1).tolist()
+    return [w for _, w in sorted(zip(codes, words))]
+
+
+def apart(spark, parts):
+    """The rows of each part, all of one length, in a task of its own, so that no task sees a shingle often and ranks it."""
+    return spark.createDataFrame(spark.sparkContext.parallelize([r for p in parts for r in p], len(parts)), "doc_id long, text string")
+
+
+@pytest.mark.parametrize("joined", [False, True])
+def test_members_of_small_groups_that_differ_from_the_leader(spark, joined):
+    """Triples with one prefix: the first differs from the others, which are similar; alone or beside a text that shares
+    two shingles of their prefix."""
+    words = by_hash(6000)
+    front, back = iter(words[:1200]), iter(words[1200:])
+
+    def some(side, n):
+        return [next(side) for _ in range(n)]
+
+    parts = [[] for _ in range(4)]
+    for i in range(40):
+        prefix, mine, theirs, last = some(front, 6), some(back, 14), some(back, 13), some(back, 2)
+        parts[0].append((i, " ".join(prefix + mine)))
+        parts[1].append((100 + i, " ".join(prefix + theirs + last[:1])))
+        parts[2].append((200 + i, " ".join(prefix + theirs + last[1:])))
+        if joined:
+            parts[3].append((300 + i, " ".join(prefix[:2] + some(front, 4) + some(back, 14))))
+    parts = [p for p in parts if p]
+    got = sorted(tuple(r) for r in link_components(apart(spark, parts), k=1, percent=80).collect())
+    want = plain_components([r for p in parts for r in p], 1, 80)
+    assert sum(c != i for i, _, c in want) == 40
+    assert got == want
+
+
+def test_members_of_a_small_main_home(spark, monkeypatch):
+    """Two similar texts of different prefixes share only shingles of more rows than are paired, and are both at the home
+    of most of them, which is small."""
+    from wattline.llm import ngram_join
+
+    monkeypatch.setattr(ngram_join, "PAIRED", 4)
+    words = by_hash(4000)
+    common, front, back = words[1:5], iter(words[5:400]), iter(words[1000:])
+
+    def some(side, n):
+        return [next(side) for _ in range(n)]
+
+    theirs = some(back, 14)
+    rows = [common + some(front, 2) + (theirs if i in (1, 2) else some(back, 14)) for i in range(4)]
+    rows += [words[:1] + common + some(front, 1) + some(back, 14) for _ in range(4)]
+    parts = [[(i, " ".join(w))] for i, w in enumerate(rows)]
+    got = sorted(tuple(r) for r in link_components(apart(spark, parts), k=1, percent=80).collect())
+    want = plain_components([r for p in parts for r in p], 1, 80)
+    assert sum(c != i for i, _, c in want) == 1
+    assert got == want

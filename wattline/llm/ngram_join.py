@@ -3,8 +3,8 @@
 Shingles are 64-bit hashes in one order for all documents, rare ones first. Two sets that are similar enough share a
 shingle, and long sets several, in their prefixes, the first few of each. Documents with the same prefix and size are one group, and groups stand
 for their documents in the index by prefix shingle. Each group has a home, one of its shingles that others share. In a
-home, members are verified against its leader, then those that differ from it against all others, in blocks. Pairs that
-share a shingle but no home are verified last. Links are kept as far as components need them.
+home, members are verified against its leader, then those that differ from it against all others, in blocks: all of a
+large home, and of a small one those of their group. Pairs that share a shingle but no such block are verified last. Links are kept as far as components need them.
 """
 
 from __future__ import annotations
@@ -383,14 +383,18 @@ def _links(base: DataFrame, real: DataFrame, members: DataFrame, k: int, percent
     present = at_home.join(sets, "node").select("home", "node", "items").join(lead, "home")
     checked = stored(against_leader(present, percent), "against-leaders")
     first = checked.where("linked and node <> leader").select(F.col("node").alias("a"), F.col("leader").alias("b"))
-    # large homes where some differ from the leader: those against all
-    large = leaders.where(F.col("there") > PAIRED).select("home")
-    apart = checked.where("not linked").select("home").distinct().join(large, "home")
-    rows = checked.join(apart, "home").join(sets, "node").select(
-        F.col("home").alias("key"), "node", (~F.col("linked")).alias("open"), F.lit(None).cast("long").alias("part"), "size", "items"
+    # homes where some differ from the leader: those against all of a large home; in a small one against all of their
+    # group, whose members share more than the shingles that other groups share, too
+    is_large = F.col("there") > PAIRED
+    large = leaders.where(is_large).select("home")
+    apart = checked.where("not linked").select("home").distinct().join(leaders.select("home", "there"), "home")
+    within = checked.join(apart, "home").join(at_home.select("node", "gid"), "node").join(several, "gid", "left")
+    within = within.where(is_large | ((F.col("m") > 1) & (F.col("there") > 2)))
+    rows = within.withColumn("key", F.when(is_large, F.col("home")).otherwise(F.col("gid"))).join(sets, "node").select(
+        "key", "node", (~F.col("linked")).alias("open"), F.lit(None).cast("long").alias("part"), "size", "items"
     )
     links = stored(first.union(in_blocks(rows, percent)), "home-links")
-    # what shares a shingle, but neither a large home nor a component
+    # what shares a shingle, but neither a large home nor a group nor a component
     joined = components(links)
     placed = at_home.join(joined, "node", "left").select("gid", "node", "home", F.coalesce("component", "node").alias("part"))
     placed = placed.join(large.withColumn("large", F.lit(True)), "home", "left").select("gid", "node", "home", "part", F.coalesce("large", F.lit(False)).alias("large"))
@@ -400,22 +404,22 @@ def _links(base: DataFrame, real: DataFrame, members: DataFrame, k: int, percent
     few, many = left.where(F.col("df") <= PAIRED), left.where(F.col("df") > PAIRED)
     # a shingle of few members: pairs, if they share enough of them, or could with the others
     others = many.groupBy("node").agg(F.count("*").alias("others"))
-    few = few.join(others, "node", "left").select("token", "node", "n", "home", "large", "part", F.coalesce("others", F.lit(0)).alias("others"))
+    few = few.join(others, "node", "left").select("token", "node", "n", "gid", "home", "large", "part", F.coalesce("others", F.lit(0)).alias("others"))
     x, y = (few.select("token", *[F.col(c).alias(side + c) for c in few.columns if c != "token"]) for side in "xy")
     met = x.join(y, "token").where(
-        (F.col("xnode") < F.col("ynode")) & (F.col("xpart") != F.col("ypart")) & ~(F.col("xlarge") & (F.col("xhome") == F.col("yhome")))
+        (F.col("xnode") < F.col("ynode")) & (F.col("xpart") != F.col("ypart")) & (F.col("xgid") != F.col("ygid")) & ~(F.col("xlarge") & (F.col("xhome") == F.col("yhome")))
         & (100 * F.least("xn", "yn") >= percent * F.greatest("xn", "yn"))
     )
     met = met.groupBy("xnode", "ynode").agg(F.count("*").alias("shared"), *[F.max(c).alias(c) for c in ("xn", "yn", "xothers", "yothers")])
     met = met.where(F.col("shared") + F.least("xothers", "yothers") >= F.expr(pair_needed_sql("xn", "yn", percent)))
     paired = verified(met.select(F.col("xnode").alias("a"), F.col("ynode").alias("b")), sets, percent)
-    # a shingle of many: those at home elsewhere than most, in blocks
+    # a shingle of many: those at home elsewhere than most, and those of small homes, in blocks
     crossing = many.groupBy("token").agg(F.min("home").alias("h"), F.max("home").alias("i")).where("h <> i").select("token")
     many = many.join(crossing, "token")
     of_home = many.groupBy("token", "home").agg(F.count("*").alias("n"))
     main = of_home.groupBy("token").agg(F.max_by("home", F.struct("n", "home")).alias("main"))
     size = (F.length("items") / 8).cast("long")
-    rest = many.join(main, "token").join(sets, "node").select(F.col("token").alias("key"), "node", (F.col("home") != F.col("main")).alias("open"), "part", size.alias("size"), "items")
+    rest = many.join(main, "token").join(sets, "node").select(F.col("token").alias("key"), "node", ((F.col("home") != F.col("main")) | ~F.col("large")).alias("open"), "part", size.alias("size"), "items")
     return links.union(paired).union(in_blocks(rest, percent))
 
 
