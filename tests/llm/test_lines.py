@@ -93,3 +93,18 @@ def test_windows_select_their_least_gram():
         # equal runs have equal grams wherever they stand
         again, other = fingerprints(np.concatenate([hashes[:1], hashes]), np.concatenate([words[:1], words]), np.concatenate([[1], ends + 1])[: len(words) + 1], 10, 25) if len(words) else (place, value)
         assert set(other.tolist()) == set(value.tolist())
+
+
+def test_passages_around_a_frequent_line(spark):
+    """The line stands first in a document without the passage that two later ones share."""
+    rng = random.Random(13)
+
+    def line(n):
+        return " ".join(f"u{rng.randrange(10**6)}" for _ in range(n))
+
+    docs = []
+    for i in range(0, 120, 3):
+        common, own = line(30), line(30)
+        docs += [(i, f"{line(40)}\n{common}\n{line(40)}"), *((i + j, f"{line(40)}\n{common}\n{own}\n{line(40)}") for j in (1, 2))]
+    got = {r.doc_id: r.n_deleted for r in deduplicated_lines(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == {i: 2 if i % 3 == 2 else 0 for i in range(120)}

@@ -3,8 +3,9 @@
 A line is a line of the text, or a sentence of it: long lines are cut after a sentence's end, so that a passage within a
 line is a run of lines too. A gram is the shortest run of lines from a line on with enough words; a window is one with
 more. Each window selects its least gram, so any run of lines with a window's words that two documents share gives both
-the same fingerprint. Each fingerprint is joined to its first place in the corpus, the match is extended both ways line by
-line, and the run is deleted where it stands later.
+the same fingerprint. Each fingerprint is joined to its first place in the corpus, and to the first place of each whole
+window that selects it, as a frequent line's first place may be in a document that shares no more than that line. The
+match is extended both ways line by line, and the run is deleted where it stands later.
 """
 
 from __future__ import annotations
@@ -56,9 +57,14 @@ def fingerprints(hashes: np.ndarray, words: np.ndarray, ends: np.ndarray, gram:
 
     ends: the end of the document of each line.
     """
+    return selected(hashes, words, ends, gram, window)[:2]
+
+
+def selected(hashes: np.ndarray, words: np.ndarray, ends: np.ndarray, gram: int, window: int) -> tuple[np.ndarray, ...]:
+    """`fingerprints`, and of each window the place of the gram that it selects, and the window's hash."""
     n = len(hashes)
     if not n:
-        return np.empty(0, np.int64), hashes
+        return np.empty(0, np.int64), hashes, np.empty(0, np.int64), hashes
     before = np.concatenate([[0], np.cumsum(words)])
     gram_end = np.searchsorted(before, before[:-1] + gram)  # the first end with enough words
     window_end = np.searchsorted(before, before[:-1] + window)
@@ -77,13 +83,16 @@ def fingerprints(hashes: np.ndarray, words: np.ndarray, ends: np.ndarray, gram:
         chosen[own] = np.minimum(table[first[own]], table[last[own] - (1 << level) + 1])
         table = np.minimum(table, np.concatenate([table[1 << level :], np.full(min(1 << level, n), 2**64 - 1, np.uint64)])[:n])
         level += 1
-    place = np.unique(chosen & np.uint64((1 << PLACES) - 1)).astype(np.int64)
-    return place, value[place]
+    of_window = (chosen & np.uint64((1 << PLACES) - 1)).astype(np.int64)
+    place, until = np.unique(of_window), window_end[first]
+    whole = mixed((sums[until] - sums[first]) * powers(INVERSE, n - 1)[first] + (until - first).astype(np.uint64))
+    return place, value[place], of_window, whole
 
 
 def line_rows(docs: DataFrame, gram: int, window: int) -> DataFrame:
-    """Per row of (doc_id, text): text_hash, hashes and words of its lines, places and hashes of its fingerprints."""
-    schema = f"doc_id {kind_of(docs, 'doc_id')}, text_hash long, hashes array<long>, words array<int>, places array<int>, grams array<long>"
+    """Per row of (doc_id, text): text_hash, hashes and words of its lines, places and hashes of its fingerprints, and
+    those of its windows (the place of the gram that each selects)."""
+    schema = f"doc_id {kind_of(docs, 'doc_id')}, text_hash long, hashes array<long>, words array<int>, places array<int>, grams array<long>, window_places array<int>, windows array<long>"
     fields = arrow_table(schema)
 
     def work(batches):
@@ -94,13 +103,14 @@ def line_rows(docs: DataFrame, gram: int, window: int) -> DataFrame:
             flat = np.fromiter((xxhash.xxh3_64_intdigest(x) for d in lines for x in d), np.uint64, n.sum())
             words = np.fromiter((len(x.split()) for d in lines for x in d), np.int32, n.sum())
             ends = np.cumsum(n)
-            place, value = fingerprints(flat, words, np.repeat(ends, n), gram, window)
-            of = np.searchsorted(ends, place, "right")
-            found = np.bincount(of, minlength=len(n))
+            place, value, of_window, whole = selected(flat, words, np.repeat(ends, n), gram, window)
+            of, window_of = (np.searchsorted(ends, x, "right") for x in (place, of_window))
+            found, windows = (np.bincount(x, minlength=len(n)) for x in (of, window_of))
             texts_hash = np.fromiter(map(xxhash.xxh3_64_intdigest, texts), np.uint64, len(texts))
             yield rows_of(
                 fields, b.column(0), signed(texts_hash), lists_of(signed(flat), n, pa.int64()), lists_of(words, n, pa.int32()),
                 lists_of((place - (ends - n)[of]).astype(np.int32), found, pa.int32()), lists_of(signed(value), found, pa.int64()),
+                lists_of((of_window - (ends - n)[window_of]).astype(np.int32), windows, pa.int32()), lists_of(signed(whole), windows, pa.int64()),
             )
 
     return docs.mapInArrow(work, schema)
@@ -145,8 +155,13 @@ def repeated_runs(base: DataFrame, gram: int, window: int) -> DataFrame:
     firsts = marks.groupBy("gram").agg(F.min(order).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
     firsts = stored(firsts, "first-places")  # a table of its own, so that Spark can split a gram with many places
     later = marks.join(firsts, "gram").where(order != F.col("first"))
+    # the first place of a whole window may be a later one than that of its gram
+    wholes = lines.select("doc_id", "text_hash", F.explode(F.arrays_zip("window_places", "windows")).alias("f")).select("doc_id", "text_hash", F.col("f.window_places").alias("at"), F.col("f.windows").alias("window"))
+    first_wholes = wholes.groupBy("window").agg(F.min(order).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
+    first_wholes = stored(first_wholes, "first-windows")
+    later = later.drop("gram").unionByName(wholes.join(first_wholes, "window").where(order != F.col("first")).drop("window"))
     by_pair = later.groupBy("doc_id", "text_hash", F.col("first.doc_id").alias("first_doc"), F.col("first.text_hash").alias("first_hash")).agg(
-        F.sort_array(F.collect_list(F.struct("at", F.col("first.at").alias("first_at")))).alias("places")
+        F.sort_array(F.collect_set(F.struct("at", F.col("first.at").alias("first_at")))).alias("places")
     )
     pairs = stored(by_pair, "pairs")
     own = lines.select("doc_id", "text_hash", "hashes")
@@ -179,7 +194,7 @@ def deduplicated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     """One row per row: doc_id, text without later repeated runs, n_lines, n_deleted and deleted_words.
 
     Documents are ordered by id (NULL last) and a hash of their text; in them lines by place. A run of lines is deleted
-    as far as it matches the first place of one of its fingerprints, if the lines so found make up `window_words` words
+    as far as it matches the first place of one of its fingerprints or windows, if the lines so found make up `window_words` words
     or more; a shorter one stays. Lines are equal without the white space around them and the case of A-Z. Rows that are
     equal in id and text are one document, and all lose the same. A NULL text stays NULL.
     """
