@@ -1,5 +1,6 @@
 import random
 from collections import Counter
+from string import ascii_letters, ascii_lowercase, digits
 
 import zstandard
 from conftest import SF
@@ -63,3 +64,31 @@ def test_repetitive_and_incompressible_chunks_are_rejected():
     assert not measure(noise, packer, Limits())[-1]
     blank = "".join(f"{i % 97} " for i in range(4000))
     assert not measure(good + blank * 2, packer, Limits())[-1]
+
+
+def noise(rng, kind, size):
+    """Words of eight base64 characters, hex digits, or of 2 to 8 random letters."""
+    out = ""
+    while len(out) < size:
+        alphabet, n = {"base64": (ascii_letters + digits + "+/", 8), "hex": ("0123456789abcdef", 8), "letters": (ascii_lowercase, rng.randint(2, 8))}[kind]
+        out += "".join(rng.choices(alphabet, k=n)) + " "
+    return out[:size]
+
+
+def test_noise_of_few_symbols_is_rejected():
+    """Each kind from the length on from which good documents compress better by more than the margin."""
+    rng = random.Random(8)
+    packer = zstandard.ZstdCompressor(level=3)
+    for kind, least in (("base64", 470), ("letters", 4200), ("hex", 8300)):
+        for size in (470, 700, 1500, 3000, 4200, 6000, 8300, 12000, 24000, 50000):
+            found = measure(noise(rng, kind, size), packer, Limits())
+            assert not found[5] and (size < least or not found[-1]), (kind, size, found)
+
+
+def test_labelled_good_documents_are_not_too_dense(spark):
+    sf = "/root/testdata/sf0.01"
+    labels = spark.read.parquet(f"{sf}/labels.parquet").where("quality = 1").select("doc_id")
+    docs = spark.read.parquet(f"{sf}/documents.parquet").join(labels, "doc_id").select("text").collect()
+    packer = zstandard.ZstdCompressor(level=3)
+    found = [m for m in (measure(r.text, packer, Limits()) for r in docs) if not m[5]]
+    assert found and all(m[-1] for m in found)
