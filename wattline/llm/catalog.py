@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from wattline.llm import language, suffix_tree
 from wattline.llm.common import remainder
+from wattline.llm.conversations import conversation_table, damaged
 from wattline.llm.edit_counts import edited_counts, redactions
 from wattline.llm.hash_index import exact_duplicates
 from wattline.llm.line_dedup import deduplicated_lines
@@ -67,6 +68,12 @@ def op10_mixture_packing(spark: SparkSession, sf: str) -> DataFrame:
     return pack(documents(spark, sf))
 
 
+def op13_structure_repair(spark: SparkSession, sf: str) -> DataFrame:
+    """Every conversation after the damage that its checksums ask for, and its repair."""
+    turns = spark.read.parquet(f"{sf}/conversations.parquet")
+    return conversation_table(damaged(turns), every=turns)
+
+
 QUERIES = {
     "op1_suffix_tree": op1_suffix_tree,
     "op2_grouped_prefix_join": op2_grouped_prefix_join,
@@ -78,6 +85,7 @@ QUERIES = {
     "op8_kneser_ney": op8_kneser_ney,
     "op9_token_files": op9_token_files,
     "op10_mixture_packing": op10_mixture_packing,
+    "op13_structure_repair": op13_structure_repair,
     "pipeline": corpus_pipeline.run,
 }
 if corpus_pipeline.ORACLE_SQL:
