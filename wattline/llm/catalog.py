@@ -17,6 +17,7 @@ from wattline.llm.ngram_join import link_components
 from wattline.llm.oracles import ORACLES
 from wattline.llm.packing import pack
 from wattline.llm.quality import compression_bands
+from wattline.llm.spelling import spelling_variants
 from wattline.llm.token_files import token_table
 
 
@@ -68,6 +69,10 @@ def op10_mixture_packing(spark: SparkSession, sf: str) -> DataFrame:
     return pack(documents(spark, sf))
 
 
+def op11_trie_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    return spelling_variants(documents(spark, sf))
+
+
 def op13_structure_repair(spark: SparkSession, sf: str) -> DataFrame:
     """Every conversation after the damage that its checksums ask for, and its repair."""
     turns = spark.read.parquet(f"{sf}/conversations.parquet")
@@ -85,6 +90,7 @@ QUERIES = {
     "op8_kneser_ney": op8_kneser_ney,
     "op9_token_files": op9_token_files,
     "op10_mixture_packing": op10_mixture_packing,
+    "op11_trie_pairs": op11_trie_pairs,
     "op13_structure_repair": op13_structure_repair,
     "pipeline": corpus_pipeline.run,
 }

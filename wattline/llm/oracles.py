@@ -22,3 +22,41 @@ SELECT doc_id, len(s) AS n_shingles, component_id FROM s JOIN c ON doc_id = a"""
 ORACLES["op5_extendible_hash"] = f"""WITH t AS (SELECT doc_id, {LOWER} AS t FROM documents)
 SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
   doc_id = max(doc_id) OVER (PARTITION BY t) AS kept, sha256(t) AS text_sha256 FROM t"""
+
+#: The remainders of the CRC-32 polynomial 0xEDB88320 for four bits.
+CRC_NIBBLES = (
+    "[0, 498536548, 997073096, 651767980, 1994146192, 1802195444, 1303535960, 1342533948, "
+    "3988292384, 4027552580, 3604390888, 3412177804, 2607071920, 2262029012, 2685067896, 3183342108]"
+)
+
+
+def crc32(text: str) -> str:
+    """SQL for the unsigned crc32 of a text's UTF-8, four bits at a time, the lower ones of a byte first."""
+    nibbles = f"list_transform(range(1, strlen({text}) * 2 + 1), lambda i: instr('123456789ABCDEF', substr(hex({text}), CASE WHEN i % 2 = 1 THEN i + 1 ELSE i - 1 END, 1))::BIGINT)"
+    step = f"xor(c >> 4, ({CRC_NIBBLES})[(xor(c, b) & 15) + 1])"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {nibbles}), lambda c, b: {step}), 4294967295)"
+
+
+ORACLES["op11_trie_pairs"] = f"""WITH RECURSIVE r AS (
+  SELECT doc_id, w, count(*) AS c FROM (
+    SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-z\u00C0-\u00FF]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS w
+    FROM documents) GROUP BY doc_id, w
+), h AS (SELECT w, c, {crc32("(doc_id || ':' || w)")} AS h FROM r
+), v AS (
+  SELECT word, sum(c)::BIGINT AS n FROM (
+    SELECT CASE WHEN h % 97 = 0 THEN substr(w, 1, (h % length(w))::INT) || substr(w, (h % length(w))::INT + 2) ELSE w END AS word, c FROM h)
+  WHERE length(word) >= 5 GROUP BY word HAVING sum(c) >= 3
+), i AS (SELECT word, unnest(range(0, length(word))) AS i FROM v
+), d AS (SELECT word, substr(word, 1, i::INT) AS a, substr(word, i::INT + 2) AS b FROM i
+), x AS (SELECT DISTINCT d.word, v.word AS near FROM d JOIN v ON v.word = d.a || d.b
+), e AS (SELECT word, near FROM x UNION ALL SELECT near, word FROM x
+  UNION ALL SELECT p.word, q.word FROM d p JOIN d q ON p.a = q.a AND p.b = q.b AND p.word <> q.word
+), k AS (
+  SELECT e.word, e.near, v.n, row_number() OVER (PARTITION BY e.word ORDER BY v.n DESC, e.near) AS k, count(*) OVER (PARTITION BY e.word) AS n_near
+  FROM e JOIN v ON v.word = e.near
+), f AS (
+  SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN k.n >= 2 * v.n THEN near END AS form, CASE WHEN k.n >= 2 * v.n THEN k.n END AS form_n
+  FROM v LEFT JOIN k ON k.word = v.word AND k.k = 1
+), t AS (SELECT word, word AS root FROM f UNION ALL SELECT t.word, f.form FROM t JOIN f ON f.word = t.root AND f.form IS NOT NULL)
+SELECT f.word, f.form, t.root, f.n, f.n_near, f.form_n FROM f JOIN t ON t.word = f.word
+WHERE NOT EXISTS (SELECT 1 FROM f g WHERE g.word = t.root AND g.form IS NOT NULL)"""
