@@ -13,4 +13,4 @@ def test_query_equals_sql(spark, name):
 
 
 def test_one_query_for_each_operator():
-    assert sorted(n.split("_")[0] for n in QUERIES) == sorted([*(f"op{i}" for i in range(1, 11)), "pipeline"])
+    assert sorted(n.split("_")[0] for n in QUERIES) == sorted([*(f"op{i}" for i in range(1, 14)), "pipeline"])

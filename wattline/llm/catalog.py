@@ -6,7 +6,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattline.llm import language, suffix_tree
+from wattline.llm import language, suffix_tree, toxicity
 from wattline.llm.common import remainder
 from wattline.llm.conversations import conversation_table, damaged
 from wattline.llm.edit_counts import edited_counts, redactions
@@ -73,6 +73,12 @@ def op11_trie_pairs(spark: SparkSession, sf: str) -> DataFrame:
     return spelling_variants(documents(spark, sf))
 
 
+def op12_compression_distance(spark: SparkSession, sf: str) -> DataFrame:
+    docs, held = documents(spark, sf), remainder(F.col("doc_id"), 3) == 1
+    model = toxicity.fit(docs, spark.read.parquet(f"{sf}/labels.parquet"), ~held)
+    return toxicity.scores(docs, model, held)
+
+
 def op13_structure_repair(spark: SparkSession, sf: str) -> DataFrame:
     """Every conversation after the damage that its checksums ask for, and its repair."""
     turns = spark.read.parquet(f"{sf}/conversations.parquet")
@@ -91,6 +97,7 @@ QUERIES = {
     "op9_token_files": op9_token_files,
     "op10_mixture_packing": op10_mixture_packing,
     "op11_trie_pairs": op11_trie_pairs,
+    "op12_compression_distance": op12_compression_distance,
     "op13_structure_repair": op13_structure_repair,
     "pipeline": corpus_pipeline.run,
 }
