@@ -255,25 +255,6 @@ def test_streamed_validation(spark, folder):
     assert [(r["soc_pct"], r["quality_flag"]) for r in rows] == [(None, 24)]
 
 
-def test_boosting_keeps_the_best_rounds(spark):
-    from wattline import config as C
-    from wattline.operators import model
-
-    assert model.best_round([5, 4, 3, 3.5, 3.4, 2], 2) == 3
-    assert model.best_round([5, 4, 3, 3.5, 3.4, 2], 3) == 6
-    assert model.best_round([1.0], 30) == 1
-    rows = spark.range(3000).selectExpr("cast(id % 60 as double) AS a", "cast(id % 7 as double) AS b", "id")
-    rows = rows.withColumn("y", F.col("a") / 2 + F.sin("b") * 3 + F.pmod(F.xxhash64("id"), F.lit(100)) / 50)
-    config = C.ForecastConfig(features=("a", "b"), target="y", max_iter=40, max_depth=3, subsample=1.0, feature_subset="all", patience=5)
-    train, val = rows.where("id % 3 <> 0"), rows.where("id % 3 = 0")
-    kept = model.fit(train, val, config)
-    assert 5 < model.rounds_kept(kept) <= 40
-    whole = model.fit(train, None, config)
-    errors = whole.stages[1].evaluateEachIteration(whole.stages[0].transform(val), "absolute")
-    got = kept.transform(val).agg(F.avg(F.abs(F.col("pred") - F.col("y")))).first()[0]
-    assert abs(got - errors[model.rounds_kept(kept) - 1]) < 1e-9
-
-
 def test_worst_row_with_text_and_time_ties(spark):
     df = spark.createDataFrame([(3.0, "b", 1), (3.0, "a", 2), (1.0, "c", 3)], "abs_error double, k string, v int")
     assert evaluation.worst_row(df, ties=["k"]).first()["v"] == 2

@@ -319,7 +319,10 @@ class ForecastConfig:
     patience: int = 30
     step_size: float = 0.05
     subsample: float = 0.8
-    feature_subset: str = "0.8"
+    column_share: float = 0.8
     min_instances: int = 10
+    l1: float = 0.1
+    l2: float = 1.0
+    bins: int = 256
     seed: int = 42
     thresholds: Thresholds = field(default_factory=Thresholds)

@@ -1,4 +1,4 @@
-"""Distributed boosted-tree forecasts and their versioned runs."""
+"""Forecasts of boosted trees and their versioned runs."""
 
 from __future__ import annotations
 
@@ -6,101 +6,27 @@ import hashlib
 import json
 import re
 import time
-from collections.abc import Sequence
 from dataclasses import asdict, dataclass
 from datetime import datetime, timezone
 
-from pyspark import SparkContext
-from pyspark.ml import PipelineModel
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.pipeline import Pipeline
-from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattline.config import ForecastConfig
+from wattline.operators import boosting
+from wattline.operators.boosting import BoostedTrees
 from wattline.operators.evaluation import scored
-from wattline.sources.tables import exists, folders, rename
-
-
-def fit(train: DataFrame, val: DataFrame | None, config: ForecastConfig = ForecastConfig()) -> PipelineModel:
-    """Boosted trees on the rows without NULLs.
-
-    With validation rows the model keeps the rounds up to the one with the least mean absolute error on them
-    that is not followed by a better one within `patience` rounds.
-    """
-    names = list(config.features)
-    need = [*names, config.target]
-    trees = GBTRegressor(
-        featuresCol="features",
-        labelCol=config.target,
-        predictionCol="pred",
-        maxIter=config.max_iter,
-        maxDepth=config.max_depth,
-        stepSize=config.step_size,
-        subsamplingRate=config.subsample,
-        featureSubsetStrategy=config.feature_subset,
-        minInstancesPerNode=config.min_instances,
-        seed=config.seed,
-    )
-    assembler = VectorAssembler(inputCols=names, outputCol="features", handleInvalid="keep")
-    fitted = Pipeline(stages=[assembler, trees]).fit(train.select(*need).dropna())
-    if val is None:
-        return fitted
-    rows = fitted.stages[0].transform(val.select(*need).dropna())
-    if rows.isEmpty():
-        return fitted
-    errors = fitted.stages[1].evaluateEachIteration(rows, "absolute")
-    return PipelineModel([fitted.stages[0], first_rounds(fitted.stages[1], best_round(errors, config.patience))])
-
-
-def best_round(errors: Sequence[float], patience: int) -> int:
-    """The number of rounds after which the error is least, looking on for at most `patience` rounds without a
-    better one."""
-    best = 0
-    for i, e in enumerate(errors):
-        if e < errors[best]:
-            best = i
-        elif i - best >= patience:
-            break
-    return best + 1
-
-
-def first_rounds(model: GBTRegressionModel, rounds: int) -> GBTRegressionModel:
-    """The model of the first rounds only."""
-    if rounds >= model.getNumTrees:
-        return model
-    gateway, jvm, whole = SparkContext._gateway, SparkContext._jvm, model._java_obj
-    kind = jvm.org.apache.spark.ml.regression
-    trees = gateway.new_array(kind.DecisionTreeRegressionModel, rounds)
-    weights = gateway.new_array(jvm.double, rounds)
-    for i, (tree, weight) in enumerate(zip(whole.trees()[:rounds], list(whole.treeWeights())[:rounds])):
-        trees[i], weights[i] = tree, float(weight)
-    cut = GBTRegressionModel(kind.GBTRegressionModel(whole.uid(), trees, weights, model.numFeatures))
-    return model._copyValues(cut)
-
-
-def rounds_kept(model: PipelineModel) -> int:
-    return model.stages[-1].getNumTrees
-
-
-def predict(model: PipelineModel, df: DataFrame, target: str | None = None, lo: float = 0, hi: float = 100) -> DataFrame:
+from wattline.sources.tables import create, exists, folders, rename
+
+
+def predict(model: BoostedTrees, df: DataFrame, target: str | None = None, lo: float = 0, hi: float = 100) -> DataFrame:
     """Predictions clipped to the level's range; with `target`, also the error."""
-    out = model.transform(df).drop("features")
+    out = boosting.predict(model, df)
     if target is None:
         return out.withColumn("pred", F.least(F.greatest("pred", F.lit(float(lo))), F.lit(float(hi))))
     return scored(out, target, "pred", lo, hi)
 
 
-def importance(model: PipelineModel, spark: SparkSession, top: int | None = 20) -> DataFrame:
-    """Feature importances, largest first. One row per feature column."""
-    names = model.stages[0].getInputCols()
-    weights = [float(w) for w in model.stages[1].featureImportances.toArray()]
-    rows = spark.createDataFrame(list(zip(names, weights)), "feature string, importance double")
-    out = rows.orderBy(F.col("importance").desc(), "feature")
-    return out if top is None else out.limit(top)
-
-
 # ---- versioned runs
 
 RUN_NAME = re.compile(r"^v(\d+)__(.+)__([0-9a-f]{8})$")
@@ -112,8 +38,11 @@ def run_versions(spark: SparkSession, root: str, task: str) -> list[tuple[int, s
 
 
 def next_run_id(spark: SparkSession, root: str, task: str, last_day: str) -> str:
+    """An id with a number of its own: trainers that start together claim it by making a file, which only one can."""
     versions = run_versions(spark, root, task)
     number = versions[-1][0] + 1 if versions else 1
+    while not create(spark, f"{root}/{task}/_claimed/{number}"):
+        number += 1
     digest = hashlib.sha256(f"{task}|{last_day}|{time.time_ns()}".encode()).hexdigest()[:8]
     return f"v{number}__{last_day}__{digest}"
 
@@ -122,7 +51,7 @@ def next_run_id(spark: SparkSession, root: str, task: str, last_day: str) -> str
 class Run:
     run_id: str
     path: str
-    model: PipelineModel
+    model: BoostedTrees
     features: list[str]
     target: str
 
@@ -131,7 +60,7 @@ def save_run(
     spark: SparkSession,
     root: str,
     run_id: str,
-    model: PipelineModel,
+    model: BoostedTrees,
     config: ForecastConfig,
     fingerprint: dict,
     file_hashes: DataFrame,
@@ -143,14 +72,14 @@ def save_run(
     if exists(spark, final):
         raise FileExistsError(final)
     draft = f"{root}/{config.task}/_draft_{run_id}"
-    model.write().overwrite().save(f"{draft}/model")
+    model.save(spark, f"{draft}/model")
     _write_object(
         spark,
         {"task": config.task, "target": config.target, "features": list(config.features), "n_features": len(config.features)},
         f"{draft}/feature_set",
     )
     stamp = {"task": config.task, "run_id": run_id, "trained_at": datetime.now(timezone.utc).isoformat()}
-    stamp["rounds"] = rounds_kept(model)
+    stamp["rounds"] = len(model.trees)
     _write_object(spark, {**stamp, **fingerprint}, f"{draft}/data_fingerprint")
     _write_object(spark, asdict(config), f"{draft}/config")
     file_hashes.write.mode("overwrite").json(f"{draft}/file_hashes")
@@ -180,7 +109,7 @@ def load_run(spark: SparkSession, root: str, task: str, run_id: str | None = Non
     if not exists(spark, path):
         raise FileNotFoundError(path)
     features = read_object(spark, f"{path}/feature_set")
-    return Run(run_id, path, PipelineModel.load(f"{path}/model"), features["features"], features["target"])
+    return Run(run_id, path, BoostedTrees.load(spark, f"{path}/model"), features["features"], features["target"])
 
 
 def run_baseline(spark: SparkSession, run: Run) -> DataFrame:

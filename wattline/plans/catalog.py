@@ -16,15 +16,18 @@ from pyspark.sql import functions as F
 from wattline import config as C
 from wattline.functions import scalar as S
 from wattline.operators import aggregates as A
-from wattline.operators import clean, datasets, diagnostics, drift, evaluation, intervals, model
+from wattline.operators import boosting, clean, datasets, diagnostics, drift, evaluation, intervals, model
 from wattline.operators import quantiles as Q
 from wattline.operators import resample as R
 from wattline.operators import sessions as T
 from wattline.operators import windows as W
 from wattline.operators.series import Series, measure
+from wattline.plans import jobs
 from wattline.session import checkpoint_dir
 from wattline.sources import tables as IO
+from wattline.streaming import loads
 from wattline.streaming import stream as streams
+from wattline.streaming import trips as state_trips
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -317,6 +320,21 @@ def fault_flags(spark, sf):
     return out.select("event_id", "fault_error", "fault_purchase", "fault_any")
 
 
+@query
+def many_code_flags(spark, sf):
+    """Five thousand codes, one running value: how many are active at each event, which, and flags for two of them."""
+    e = events(spark, sf).drop("fault_any")
+    faults = e.where("event_type IN ('error', 'view')").select(
+        "user_id",
+        F.concat(F.lit("c"), F.col("event_id") % 5000).alias("code"),
+        F.col("ts").alias("activated_at"),
+        F.when(F.col("event_id") % 53 != 0, F.timestamp_micros(F.unix_micros(F.col("ts").cast("timestamp")) + (F.col("event_id") % 70 - 2) * HOUR * 1_000_000)).alias("fixed_at"),
+    )
+    found = intervals.open_codes(e, faults, USER)
+    flags = [F.array_contains("open_codes", c).cast("int").alias(f"fault_{c}") for c in ("c53", "c59")]
+    return found.select("event_id", F.size("open_codes").cast("long").alias("n_open"), F.array_join("open_codes", ",").alias("codes"), *flags)
+
+
 @query
 def fault_code_universe(spark, sf):
     """Known codes and codes seen (here the cleaned brand names of parts)."""
@@ -350,6 +368,16 @@ def event_segments(spark, sf):
     return out.select("event_id", "segment_event")
 
 
+@query
+def long_event_segments(spark, sf):
+    """Every tenth fault lasts ten years, the others up to a day: each is cut into a few tiles."""
+    faults = fault_log(spark, sf).select("user_id", "fault_id", "activated_at")
+    length = F.when(F.col("fault_id") % 10 == 0, 3650 * 24 * HOUR).otherwise(F.col("fault_id") % 86_400)
+    ended = F.timestamp_micros(F.unix_micros(F.col("activated_at").cast("timestamp")) + length * 1_000_000)
+    out = intervals.event_segments(events(spark, sf), faults.withColumn("ended", ended), USER, "fault_id", "activated_at", "ended", before_s=2 * 24 * HOUR)
+    return out.select("event_id", "segment_event")
+
+
 @query
 def day_slice(spark, sf):
     return intervals.day_slice(table(spark, sf, "events"), "ts", "2024-01-10").select("event_id", "user_id", "value")
@@ -837,7 +865,7 @@ def fitted_model(spark, sf):
     df = table(spark, sf, "lineitem").withColumn("y", F.col("l_quantity") * 2)
     old = F.col("l_shipdate") < F.lit("1997-01-01").cast("timestamp")
     checkpoint_dir(spark)
-    return model.fit(df.where(old), df.where(~old), FORECAST), df
+    return boosting.fit(df.where(old), df.where(~old), FORECAST), df
 
 
 @query
@@ -848,7 +876,8 @@ def fit_predict(spark, sf):
 
 
 STUMP = C.ForecastConfig(
-    features=("l_linenumber",), target="l_quantity", max_iter=1, max_depth=1, subsample=1.0, feature_subset="all", min_instances=1
+    features=("l_linenumber",), target="l_quantity", max_iter=1, max_depth=1, subsample=1.0, column_share=1.0, min_instances=1,
+    step_size=1.0, l1=0.0, l2=0.0,
 )
 
 
@@ -857,12 +886,26 @@ def fit_stump(spark, sf):
     """One tree with one split, scored on all order lines."""
     checkpoint_dir(spark)
     df = table(spark, sf, "lineitem")
-    return rounded(model.predict(model.fit(df, None, STUMP), df).select(*LINE, "pred"))
+    return rounded(model.predict(boosting.fit(df, None, STUMP), df).select(*LINE, "pred"))
+
+
+TWO_ROUNDS = C.ForecastConfig(
+    features=("l_linenumber", "l_discount", "l_tax", "l_quantity"), target="y", max_iter=2, max_depth=2, step_size=0.5,
+    subsample=1.0, column_share=1.0, min_instances=20, l1=3.0, l2=2.0,
+)
+
+
+@query
+def fit_two_rounds(spark, sf):
+    """Two rounds of trees with two levels and both penalties, scored on all order lines."""
+    checkpoint_dir(spark)
+    df = table(spark, sf, "lineitem").withColumn("y", F.col("l_extendedprice") / 1000)
+    return rounded(boosting.predict(boosting.fit(df, None, TWO_ROUNDS), df).select(*LINE, "pred"))
 
 
 @query
 def feature_importance(spark, sf):
-    return rounded(model.importance(fitted_model(spark, sf)[0], spark))
+    return rounded(boosting.importance(fitted_model(spark, sf)[0], spark))
 
 
 # ---- files and streams
@@ -940,6 +983,45 @@ def streamed_trips(spark, sf):
     return trips.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("trip_start_ts", "trip_end_ts")})
 
 
+@query
+def streamed_trip_states(spark, sf):
+    """Events in four parts, each with times up to half an hour out of order, streamed one after the other from where the
+    stream before stopped: trips that ended and trips that are open."""
+    e = table(spark, sf, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id")
+    out = f"{checkpoint_dir(spark)}/streams/{uuid.uuid4().hex}"
+    moved = F.unix_micros("ts") + F.pmod(F.xxhash64("event_id"), F.lit(HOUR // 2 * 1_000_000))
+    ends = e.agg(F.min(moved).alias("lo"), F.max(moved).alias("hi")).first()
+    part = F.floor((moved - ends.lo) * 4 / (ends.hi - ends.lo + 1))
+    for i in range(4):
+        e.where(part == i).write.parquet(f"{out}/in/{i}")
+        stream = spark.readStream.schema(e.schema).option("recursiveFileLookup", True).parquet(f"{out}/in")
+        found = state_trips.trip_events(stream, "user_id", "ts", 4 * HOUR, "1 hour", min_rows=2)
+        state_trips.write_trip_events(found, f"{out}/events", f"{out}/checkpoint").awaitTermination()
+    trips = state_trips.current_trips(spark, f"{out}/events", "user_id")
+    named = trips.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("trip_start_ts", "trip_end_ts")})
+    return named.select("user_id", "trip_id", (F.col("status") == state_trips.CLOSED).alias("closed"), "trip_start_ts", "trip_end_ts", "rows")
+
+
+@query
+def incremental_load(spark, sf):
+    """Events as raw CSV files of hourly readings, dropped in three parts of the month and loaded as they appear."""
+    lake = jobs.Lake(f"{checkpoint_dir(spark)}/lakes/{uuid.uuid4().hex}")
+    settings = jobs.Settings(resample=HOURLY, trips=DAILY_TRIPS)
+    e = events(spark, sf)
+    raw = e.select(
+        F.date_format("ts", "dd/MM/yyyy HH:00:00").alias("Timestamp"), F.col("reading").alias("SOC (%)"),
+        F.date_format("ts", "yyyy-MM-dd").alias("dt"), (F.col("user_id") % 12).cast("string").alias("vehicle_id"),
+    )
+    for part in range(3):
+        days = raw.where(F.least(F.floor((F.dayofmonth(F.to_date("dt")) - 1) / 10), F.lit(2)) == part)
+        IO.write_raw(days, lake.raw_files)
+        loads.load_new_files(spark, lake, settings=settings).awaitTermination()
+    valid, silver = (IO.read_table(spark, lake.at(t)) for t in ("raw_parquet", "silver"))
+    out = A.ingest_manifest(valid, silver)
+    out = out.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("data_start_ts", "data_end_ts")})
+    return out.select("dt", "vehicle_id", "raw_rows", "data_start_ts", "data_end_ts", "silver_rows", "num_trips")
+
+
 @query
 def trip_sets(spark, sf):
     """Trip rows of two feature tables put together by column name."""

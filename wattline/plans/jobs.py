@@ -17,9 +17,9 @@ from pyspark.sql import functions as F
 from wattline import config as C
 from wattline.functions import scalar as S
 from wattline.operators import aggregates as A
-from wattline.operators import clean, datasets, diagnostics, drift, evaluation, intervals, model, resample, sessions, windows
+from wattline.operators import boosting, clean, datasets, diagnostics, drift, evaluation, intervals, model, resample, sessions, windows
 from wattline.operators.series import Series, measure
-from wattline.session import checkpoint_dir
+from wattline.session import stored
 from wattline.sources import tables as IO
 
 KEYS = ("dt", "vehicle_id")
@@ -210,13 +210,13 @@ def train(
     for name, rows in (("training", fit_rows), ("validation", val_rows)):
         if rows.isEmpty():
             raise ValueError(f"no {name} rows are left after filtering")
-    checkpoint_dir(spark)  # long tree ensembles cut their lineage there
-    fitted = model.fit(fit_rows, val_rows, f)
+    fitted = boosting.fit(fit_rows, val_rows, f)
 
     scored = model.predict(fitted, fit_rows, f.target).withColumn("split", F.lit("train"))
     scored = scored.unionByName(
         model.predict(fitted, val_rows, f.target).withColumn("split", F.lit("val")), allowMissingColumns=True
     )
+    scored = stored(scored, "scored")  # each report reads what it needs; no row is scored twice
     reports = evaluation_tables(scored, f, fitted, spark)
     counts = {
         r["split"]: r
@@ -251,7 +251,7 @@ def evaluation_tables(scored: DataFrame, f: C.ForecastConfig, fitted=None, spark
         "worst": evaluation.worst_rows(S.existing(val, worst), 10, ties=["timestamp", "trip_id"]),
     }
     if fitted is not None:
-        out["importance"] = model.importance(fitted, spark)
+        out["importance"] = boosting.importance(fitted, spark)
     return out
 
 
@@ -270,7 +270,7 @@ def evaluate(
     rows = micro_filtered(load_training(spark, lake, [day], vehicles, f), f)
     if rows.isEmpty():
         raise ValueError(f"no rows of {day} are left after filtering")
-    scored = model.predict(run.model, rows, f.target).withColumn("split", F.lit("val"))
+    scored = stored(model.predict(run.model, rows, f.target).withColumn("split", F.lit("val")), "scored")
     out = evaluation_tables(scored, f)
     report = _drift(spark, lake, run, rows, f, vehicles, reference_days)
     out["drift"] = report
@@ -328,10 +328,9 @@ def study(
     rows = diagnostics.quiet_rows(rows, "soc_pct", f.target, **names)
     split = datasets.split_last_trips(rows, n_val)
     fit_rows, val_rows = (split.where(F.col("split") == s) for s in ("train", "val"))
-    checkpoint_dir(spark)
-    fitted = model.fit(fit_rows, val_rows, f)
+    fitted = boosting.fit(fit_rows, val_rows, f)
 
-    scored = model.predict(fitted, split, f.target)
+    scored = stored(model.predict(fitted, split, f.target), "scored")
     val = scored.where(F.col("split") == "val")
     shown = [
         "timestamp", "trip_id", "soc_pct", f.target, "battery_current_a", "output_power_kw", "motor_speed_rpm",
@@ -346,7 +345,7 @@ def study(
         "summary": evaluation.train_val_metrics(scored, f.target, "pred", t=f.thresholds),
         "val_predictions": S.existing(val, shown),
         "val_per_trip": evaluation.trip_summary(val, "trip_id", "soc_pct"),
-        "feature_importance": model.importance(fitted, spark, None),
+        "feature_importance": boosting.importance(fitted, spark, None),
         "worst_rows": evaluation.worst_rows(S.existing(val, shown), 15, ties=ties),
         "suspicious_rows": S.existing(diagnostics.contradictions(val), shown),
         "level_jumps": S.existing(diagnostics.level_jumps(val, "soc_pct", f.target), [*shown, "level_change"]),

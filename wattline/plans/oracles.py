@@ -596,3 +596,63 @@ ORACLES["replaced_days"] = """SELECT strftime(ts, '%Y-%m-%d') AS dt, event_type
 WHERE event_type = 'error' OR strftime(ts, '%Y-%m-%d') NOT IN ('2024-01-05', '2024-01-06')"""
 ORACLES["cleaned_rows"] = """SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber <> 3 THEN l_quantity END AS quantity,
   CASE WHEN l_linenumber <> 2 AND l_tax <> 0 THEN l_tax END AS tax, l_returnflag = 'R' AS returned, 0 AS speed FROM lineitem"""
+
+
+def boosted(rounds: int, depth: int, step: float, l1: float, l2: float, least: int) -> str:
+    """Rounds of boosted trees in plain SQL: every value of every feature is tried as a split of every node."""
+    score = "power(greatest(abs({0}) - %s, 0), 2) / ({1} + %s)" % (l1, l2)
+    gain = f"({score.format('gl', 'hl')} + {score.format('g - gl', 'h - hl')} - {score.format('g', 'h')}) / 2"
+    out = """WITH r0 AS (
+  SELECT l_orderkey, l_linenumber, l_extendedprice / 1000 AS y, avg(l_extendedprice / 1000) OVER () AS pred,
+    [l_linenumber::DOUBLE, l_discount::DOUBLE, l_tax::DOUBLE, l_quantity::DOUBLE] AS x FROM lineitem"""
+    for r in range(rounds):
+        out += f"\n), n{r}_0 AS (SELECT *, pred - y AS e, 1 AS node FROM r{r}"
+        for d in range(depth):
+            k = f"{r}_{d}"
+            out += f"""\n), u{k} AS (SELECT node, e, unnest([0, 1, 2, 3]) AS f, unnest(x) AS v FROM n{k}
+), h{k} AS (SELECT node, f, v, sum(e) AS s, count(*) AS c FROM u{k} GROUP BY ALL
+), c{k} AS (
+  SELECT node, f, v, sum(s) OVER w AS gl, sum(c) OVER w AS hl, sum(s) OVER p AS g, sum(c) OVER p AS h FROM h{k}
+  WINDOW p AS (PARTITION BY node, f), w AS (PARTITION BY node, f ORDER BY v)
+), t{k} AS (SELECT node, f, v, {gain} AS gain FROM c{k} WHERE hl >= {least} AND h - hl >= {least}
+), s{k} AS (SELECT * FROM t{k} WHERE gain > 0 QUALIFY row_number() OVER (PARTITION BY node ORDER BY round(ln(gain), 9) DESC, f, v) = 1
+), n{r}_{d + 1} AS (
+  SELECT n.* EXCLUDE (node), CASE WHEN f IS NULL THEN n.node ELSE 2 * n.node + (x[f + 1] > v)::INT END AS node
+  FROM n{k} n LEFT JOIN s{k} s ON s.node = n.node"""
+        out += f"""\n), w{r} AS (SELECT node, -{step} * sign(sum(e)) * greatest(abs(sum(e)) - {l1}, 0) / (count(*) + {l2}) AS w FROM n{r}_{depth} GROUP BY node
+), r{r + 1} AS (SELECT l_orderkey, l_linenumber, y, pred + w AS pred, x FROM n{r}_{depth} JOIN w{r} USING (node)"""
+    return out + f")\nSELECT l_orderkey, l_linenumber, round(pred, 6) AS pred FROM r{rounds}"
+
+
+ORACLES["fit_two_rounds"] = boosted(rounds=2, depth=2, step=0.5, l1=3.0, l2=2.0, least=20)
+
+ORACLES["streamed_trip_states"] = """WITH m AS (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 1 HOUR AS at FROM events), s0 AS (
+  SELECT user_id, ts, epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY user_id ORDER BY ts) AS gap FROM events, m WHERE ts <= at
+), s1 AS (
+  SELECT *, sum(CASE WHEN gap IS NULL OR gap >= 14401000000 THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS seq FROM s0
+), t AS (SELECT user_id, seq, min(ts) AS trip_start_ts, max(ts) AS trip_end_ts, count(*) AS rows FROM s1 GROUP BY user_id, seq)
+SELECT user_id, printf('%d_%06d', user_id, seq::BIGINT) AS trip_id, epoch_us(trip_end_ts) + 14400999999 <= epoch_us(at) AS closed,
+  trip_start_ts, trip_end_ts, rows FROM t, m WHERE rows >= 2"""
+
+ORACLES["incremental_load"] = f"""WITH {FILES.replace("user_id::VARCHAR AS vehicle_id", "(user_id % 12)::VARCHAR AS vehicle_id")}, raw AS (
+  SELECT strftime(ts, '%Y-%m-%d') AS dt, (user_id % 12)::VARCHAR AS vehicle_id, count(*) AS raw_rows,
+    date_trunc('hour', min(ts)) AS data_start_ts, date_trunc('hour', max(ts)) AS data_end_ts FROM events GROUP BY ALL
+), made AS (SELECT dt, vehicle_id, count(*) AS silver_rows, count(DISTINCT trip_id) AS num_trips FROM silver GROUP BY ALL)
+SELECT dt, vehicle_id, raw_rows, data_start_ts, data_end_ts, silver_rows, num_trips FROM raw JOIN made USING (dt, vehicle_id)"""
+
+ORACLES["many_code_flags"] = f"""WITH {EVENTS}, flt AS (
+  SELECT user_id, 'c' || event_id % 5000 AS code, ts AS activated_at,
+    CASE WHEN event_id % 53 <> 0 THEN ts + INTERVAL 1 HOUR * (event_id % 70 - 2) END AS fixed_at
+  FROM e WHERE event_type IN ('error', 'view')
+), c AS (
+  SELECT DISTINCT e.event_id, f.code FROM e JOIN flt f ON e.user_id = f.user_id AND e.ts >= f.activated_at
+  WHERE (f.fixed_at IS NULL OR f.fixed_at >= f.activated_at) AND (f.fixed_at IS NULL OR e.ts <= f.fixed_at)
+), g AS (SELECT event_id, count(*) AS n, string_agg(code, ',' ORDER BY code) AS codes, bool_or(code = 'c53') AS a, bool_or(code = 'c59') AS b FROM c GROUP BY event_id)
+SELECT e.event_id, coalesce(n, 0) AS n_open, coalesce(codes, '') AS codes, coalesce(a, false)::INT AS fault_c53, coalesce(b, false)::INT AS fault_c59
+FROM e LEFT JOIN g ON g.event_id = e.event_id"""
+
+ORACLES["long_event_segments"] = f"""WITH {FAULTS}, l AS (
+  SELECT user_id, fault_id, activated_at, activated_at + INTERVAL 1 SECOND * (CASE WHEN fault_id % 10 = 0 THEN 3650 * 86400 ELSE fault_id % 86400 END) AS ended
+  FROM flt)
+SELECT e.event_id, f.fault_id AS segment_event FROM e JOIN l f ON e.user_id = f.user_id
+  AND e.ts BETWEEN f.activated_at - INTERVAL 2 DAY AND f.ended + INTERVAL 10 MINUTE"""

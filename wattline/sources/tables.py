@@ -182,6 +182,21 @@ def write_table(
         _fs(spark, root).delete(_path(spark, done), True)
 
 
+def write_raw(df: DataFrame, root: str) -> None:
+    """Raw files as `read_raw` finds them, `dt=…/vehicle_id=….csv`, from rows with dt and vehicle_id; a file that exists
+    is replaced. One file per day and vehicle, so a file's rows meet in one task."""
+    spark = df.sparkSession
+    draft = f"{root}/_draft_{uuid.uuid4().hex[:12]}"
+    df.repartition("dt", "vehicle_id").write.partitionBy("dt", "vehicle_id").option("header", True).csv(draft)
+    for day in folders(spark, draft):
+        make_folder(spark, f"{root}/{day}")
+        for vehicle in folders(spark, f"{draft}/{day}"):
+            target = f"{root}/{day}/{vehicle}.csv"
+            delete(spark, target)
+            rename(spark, _glob(spark, f"{draft}/{day}/{vehicle}/part-*.csv")[0], target)
+    delete(spark, draft)
+
+
 def write_json(df: DataFrame, path: str) -> None:
     """A report as JSON lines."""
     df.write.mode("overwrite").json(path)
@@ -242,6 +257,26 @@ def folders(spark: SparkSession, root: str) -> list[str]:
     return [s.getPath().getName() for s in _fs(spark, root).listStatus(_path(spark, root)) if s.isDirectory()]
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    _fs(spark, path).mkdirs(_path(spark, path))
+
+
+def create(spark: SparkSession, path: str) -> bool:
+    """Make an empty file; False if there is one."""
+    return _fs(spark, path).createNewFile(_path(spark, path))
+
+
+def delete(spark: SparkSession, path: str | None) -> None:
+    if path:
+        _fs(spark, path).delete(_path(spark, path), True)
+
+
+def stored_path(df: DataFrame) -> str | None:
+    """Folder of the one stored table that df reads; None if it has no files."""
+    files = df.inputFiles()
+    return files[0].rpartition("/")[0] if files else None
+
+
 def rename(spark: SparkSession, old: str, new: str) -> None:
     if not _fs(spark, old).rename(_path(spark, old), _path(spark, new)):
         raise OSError(f"could not move {old} to {new}")
