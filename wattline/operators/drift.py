@@ -5,13 +5,17 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from wattline.config import Thresholds
 from wattline.operators.aggregates import unpivoted
-from wattline.operators.quantiles import cumulative, quantiles_of_counts, value_counts, value_series
-from wattline.operators.series import MAX_ROWS, Series
+from wattline.operators.quantiles import cumulative, quantiles_of_counts
+from wattline.operators.series import MAX_ROWS, Series, measure
+from wattline.session import stored
 
 # Quantiles a baseline keeps, points of a sketch, bins of the stability index.
 BASELINE_QUANTILES = {"p10": 0.10, "p25": 0.25, "p50": 0.50, "p75": 0.75, "p90": 0.90}
@@ -19,6 +23,8 @@ SKETCH_POINTS = 1000
 PSI_BINS = 10
 EPS = 1e-6
 MIN_VALUES = 10
+#: Values of the larger sample up to which the p-value is exact.
+EXACT_UPTO = 10_000
 
 
 FEATURE = ("feature",)
@@ -29,21 +35,34 @@ def feature_values(df: DataFrame, features: Sequence[str]) -> DataFrame:
     return unpivoted(df, have).withColumn("value", F.when(~F.isnan("value"), F.col("value")))
 
 
-def _moments(long: DataFrame) -> DataFrame:
-    return long.groupBy("feature").agg(
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
-        F.avg(F.col("value").isNull().cast("double")).alias("null_rate"),
-        F.count("value").alias("n"),
+def counted_values(long: DataFrame, name: str = "n") -> DataFrame:
+    """(feature, value, n) for every distinct value, NULL included: what all figures of a feature follow from."""
+    return long.groupBy("feature", "value").agg(F.count(F.lit(1)).alias(name))
+
+
+def _moments(counts: DataFrame, n: str = "n") -> DataFrame:
+    """Mean, deviation, NULL rate and number of values per feature, from counts per distinct value."""
+    have = F.when(F.col("value").isNotNull(), F.col(n)).otherwise(0)
+    sums = counts.groupBy("feature").agg(F.sum(F.col("value") * F.col(n)).alias("_s"), F.sum(have).alias("_n"), F.sum(n).alias("_all"))
+    sums = sums.select("feature", (F.col("_s") / F.nullif(F.col("_n"), F.lit(0))).alias("mean"), "_n", "_all")
+    gap = F.col("value") - F.col("mean")
+    around = counts.join(F.broadcast(sums), "feature").groupBy("feature", "mean", "_n", "_all").agg(F.sum(gap * gap * F.col(n)).alias("_m"))
+    return around.select(
+        "feature",
+        "mean",
+        F.sqrt(F.col("_m") / F.nullif(F.col("_n") - 1, F.lit(0))).alias("std"),
+        ((F.col("_all") - F.col("_n")) / F.nullif(F.col("_all"), F.lit(0))).alias("null_rate"),
+        F.col("_n").cast("long").alias("n"),
     )
 
 
 def baseline(df: DataFrame, features: Sequence[str], max_rows: int | None = MAX_ROWS) -> DataFrame:
-    """Distribution of each feature; one that is always NULL keeps its row."""
-    long = feature_values(df, features)
-    series = value_series(long, FEATURE, max_rows=max_rows)
-    cuts = quantiles_of_counts(value_counts(long, FEATURE, "value"), series, BASELINE_QUANTILES)
-    return _moments(long).join(cuts, "feature", "left").select(
+    """Distribution of each feature; one that is always NULL keeps its row. The rows are read once, to count values."""
+    counts = stored(counted_values(feature_values(df, features)), "values")
+    present = counts.where(F.col("value").isNotNull())
+    series = measure(present, Series(FEATURE, "value", max_rows=max_rows))
+    cuts = quantiles_of_counts(present, series, BASELINE_QUANTILES)
+    return _moments(counts).join(cuts, "feature", "left").select(
         "feature", "mean", "std", *BASELINE_QUANTILES, "null_rate", "n"
     )
 
@@ -62,22 +81,27 @@ def sketch_values(base: DataFrame, points: int = SKETCH_POINTS) -> DataFrame:
     return spread.select("feature", value.alias("value"))
 
 
-def edges(ref: DataFrame, series: Series, bins: int = PSI_BINS) -> DataFrame:
-    """Distinct quantiles of the reference values, ascending, as one short array per feature."""
+def edges(pairs: DataFrame, series: Series, bins: int = PSI_BINS) -> DataFrame:
+    """Distinct quantiles of the reference values of `paired_counts`, ascending, as one short array per feature."""
     names = {f"_e{i}": i / bins for i in range(bins + 1)}
-    cuts = quantiles_of_counts(value_counts(ref, FEATURE, "value"), series, names)
+    counts = pairs.where(F.col("n_ref") > 0).select("feature", "value", F.col("n_ref").alias("n"))
+    cuts = quantiles_of_counts(counts, series, names)
     return cuts.select("feature", F.array_sort(F.array_distinct(F.array(*names))).alias("edges"))
 
 
-def paired_counts(ref: DataFrame, new: DataFrame) -> DataFrame:
-    """(feature, value, n_ref, n_new) for every distinct value on either side."""
-    a, b = value_counts(ref, FEATURE, "value", "n_ref"), value_counts(new, FEATURE, "value", "n_new")
-    both = a.unionByName(b, allowMissingColumns=True)
-    return both.groupBy("feature", "value").agg(
-        F.coalesce(F.sum("n_ref"), F.lit(0)).alias("n_ref"), F.coalesce(F.sum("n_new"), F.lit(0)).alias("n_new")
+def counted_pairs(ref: DataFrame, new: DataFrame) -> DataFrame:
+    """(feature, value, n_ref, n_new) for every distinct value on either side, NULL included: one shuffle for both."""
+    sides = [d.select("feature", "value", F.lit(s).alias("_new")) for d, s in ((ref, 0), (new, 1))]
+    return sides[0].unionByName(sides[1]).groupBy("feature", "value").agg(
+        F.sum(1 - F.col("_new")).alias("n_ref"), F.sum("_new").cast("long").alias("n_new")
     )
 
 
+def paired_counts(ref: DataFrame, new: DataFrame) -> DataFrame:
+    """`counted_pairs` of the values that are not NULL."""
+    return counted_pairs(ref, new).where(F.col("value").isNotNull() & ~F.isnan("value"))
+
+
 def psi(pairs: DataFrame, cuts: DataFrame, open_ends: bool) -> DataFrame:
     """Population stability index per feature from counts per distinct value.
 
@@ -111,8 +135,9 @@ def psi(pairs: DataFrame, cuts: DataFrame, open_ends: bool) -> DataFrame:
     return bins.groupBy("feature").agg(F.round(F.sum(counted), 4).alias("psi"))
 
 
-def ks(pairs: DataFrame, series: Series) -> DataFrame:
-    """Two-sample Kolmogorov-Smirnov distance and its limiting p-value per feature."""
+def ks(pairs: DataFrame, series: Series, exact_upto: int = EXACT_UPTO) -> DataFrame:
+    """Two-sample Kolmogorov-Smirnov distance and its p-value per feature: exact if neither sample has more than
+    `exact_upto` values, else by the limiting series; `ks_method` says which."""
     ranked = cumulative(pairs, series, ["n_ref", "n_new"])
     gap = F.abs(
         F.col("_upto_n_ref") / F.col("_total_n_ref") - F.col("_upto_n_new") / F.col("_total_n_new")
@@ -123,7 +148,42 @@ def ks(pairs: DataFrame, series: Series) -> DataFrame:
         F.max("_total_n_ref").alias("_r"),
         F.max("_total_n_new").alias("_a"),
     )
-    return out.select("feature", "ks_stat", ks_pvalue(F.col("ks_stat"), F.col("_r"), F.col("_a")).alias("ks_pvalue"))
+    small = F.col("ks_stat").isNotNull() & (F.greatest("_r", "_a") <= exact_upto)
+    limit = ks_pvalue(F.col("ks_stat"), F.col("_r"), F.col("_a"))
+    if exact_upto <= 0:
+        return out.select("feature", "ks_stat", limit.alias("ks_pvalue"), F.lit("limit").alias("ks_method"))
+    # one row per feature: the recursion runs only on those that are small
+    sizes = [F.when(small, F.col(c)).otherwise(0) for c in ("_r", "_a")]
+    exact = _exact(F.coalesce("ks_stat", F.lit(0.0)), *sizes)
+    return out.select(
+        "feature", "ks_stat", F.when(small, exact).otherwise(limit).alias("ks_pvalue"), F.when(small, "exact").otherwise("limit").alias("ks_method")
+    )
+
+
+def ks_exact(d: float, n: int, m: int) -> float:
+    """P(distance >= d) of two samples of n and m distinct values of one distribution.
+
+    A random order of the values is a path from (0, 0) to (n, m). w[i] is the chance that a path has kept |x/n - y/m|
+    below d up to the point (i, k - i); the path came there from the left with chance i/k.
+    """
+    if n <= 0 or m <= 0:
+        return float("nan")
+    h = round(d * n * m)
+    if h <= 0:
+        return 1.0
+    w, i = np.zeros(n + 1), np.arange(n + 1)
+    w[0] = 1.0
+    for k in range(1, n + m + 1):
+        here = w * (k - i) / k
+        here[1:] += w[:-1] * i[1:] / k
+        here[(i > k) | (k - i > m) | (np.abs(i * m - (k - i) * n) >= h)] = 0.0
+        w = here
+    return float(min(max(1.0 - w[n], 0.0), 1.0))
+
+
+@F.pandas_udf(DoubleType())
+def _exact(d: pd.Series, n: pd.Series, m: pd.Series) -> pd.Series:
+    return pd.Series([ks_exact(*row) for row in zip(d, n.astype(int), m.astype(int))])
 
 
 def ks_pvalue(d: Column, n: Column, m: Column, terms: int = 100) -> Column:
@@ -144,28 +204,31 @@ def drift_report(
     reference: DataFrame | None = None,
     thresholds: Thresholds = Thresholds(),
     max_rows: int | None = MAX_ROWS,
+    exact_upto: int = EXACT_UPTO,
 ) -> DataFrame:
     """One row per baseline feature that the new data has.
 
     With `reference`, the sample behind the baseline, bins and distances come from its values. Without
     it they come from a sketch through the five kept quantiles, which reports drift too readily.
     """
+    base = stored(base, "baseline")  # a row per feature column; what it comes from is not computed again
     features = [r[0] for r in base.select("feature").collect()]  # column names
     features = [f for f in features if f in new.columns]
     base = base.where(F.col("feature").isin(*features))
     fresh = feature_values(new, features)
     sample = reference is not None
     ref = feature_values(reference, features) if sample else sketch_values(base)
-    pairs = paired_counts(ref, fresh)
-    series = value_series(ref.unionByName(fresh) if sample else fresh, FEATURE, max_rows=max_rows)
-    cuts = edges(ref, series)
-    now = _moments(fresh).select(
+    counts = stored(counted_pairs(ref, fresh), "pairs")  # the only reading of the rows
+    pairs = counts.where(F.col("value").isNotNull())
+    series = measure(pairs, Series(FEATURE, "value", max_rows=max_rows))
+    cuts = edges(pairs, series)
+    now = _moments(counts, "n_new").select(
         "feature", F.col("mean").alias("_mean"), F.col("null_rate").alias("_null"), F.col("n").alias("_n")
     )
     joined = (
         base.join(now, "feature", "inner")
         .join(psi(pairs, cuts, sample), "feature", "left")
-        .join(ks(pairs, series), "feature", "left")
+        .join(ks(pairs, series, exact_upto), "feature", "left")
     )
     return drift_status(joined, thresholds)
 

@@ -626,16 +626,16 @@ def boosted(rounds: int, depth: int, step: float, l1: float, l2: float, least: i
 
 ORACLES["fit_two_rounds"] = boosted(rounds=2, depth=2, step=0.5, l1=3.0, l2=2.0, least=20)
 
-ORACLES["streamed_trip_states"] = """WITH m AS (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 1 HOUR AS at FROM events), s0 AS (
-  SELECT user_id, ts, epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY user_id ORDER BY ts) AS gap FROM events, m WHERE ts <= at
+ORACLES["streamed_trip_states"] = """WITH m AS (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 1 HOUR AS upto FROM events), s0 AS (
+  SELECT user_id, ts, epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY user_id ORDER BY ts) AS gap FROM events, m WHERE ts <= upto
 ), s1 AS (
   SELECT *, sum(CASE WHEN gap IS NULL OR gap >= 14401000000 THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS seq FROM s0
 ), t AS (SELECT user_id, seq, min(ts) AS trip_start_ts, max(ts) AS trip_end_ts, count(*) AS rows FROM s1 GROUP BY user_id, seq)
-SELECT user_id, printf('%d_%06d', user_id, seq::BIGINT) AS trip_id, epoch_us(trip_end_ts) + 14400999999 <= epoch_us(at) AS closed,
+SELECT user_id, printf('%d_%06d', user_id, seq::BIGINT) AS trip_id, epoch_us(trip_end_ts) + 14400999999 <= epoch_us(upto) AS closed,
   trip_start_ts, trip_end_ts, rows FROM t, m WHERE rows >= 2"""
 
-ORACLES["incremental_load"] = f"""WITH {FILES.replace("user_id::VARCHAR AS vehicle_id", "(user_id % 12)::VARCHAR AS vehicle_id")}, raw AS (
-  SELECT strftime(ts, '%Y-%m-%d') AS dt, (user_id % 12)::VARCHAR AS vehicle_id, count(*) AS raw_rows,
+ORACLES["incremental_load"] = f"""WITH {FILES.replace("user_id::VARCHAR AS vehicle_id", "(user_id % 4)::VARCHAR AS vehicle_id")}, raw AS (
+  SELECT strftime(ts, '%Y-%m-%d') AS dt, (user_id % 4)::VARCHAR AS vehicle_id, count(*) AS raw_rows,
     date_trunc('hour', min(ts)) AS data_start_ts, date_trunc('hour', max(ts)) AS data_end_ts FROM events GROUP BY ALL
 ), made AS (SELECT dt, vehicle_id, count(*) AS silver_rows, count(DISTINCT trip_id) AS num_trips FROM silver GROUP BY ALL)
 SELECT dt, vehicle_id, raw_rows, data_start_ts, data_end_ts, silver_rows, num_trips FROM raw JOIN made USING (dt, vehicle_id)"""
@@ -656,3 +656,44 @@ ORACLES["long_event_segments"] = f"""WITH {FAULTS}, l AS (
   FROM flt)
 SELECT e.event_id, f.fault_id AS segment_event FROM e JOIN l f ON e.user_id = f.user_id
   AND e.ts BETWEEN f.activated_at - INTERVAL 2 DAY AND f.ended + INTERVAL 10 MINUTE"""
+
+ORACLES["ks_exact"] = """WITH RECURSIVE p AS (
+  SELECT c_nationkey::VARCHAR AS feature, c_acctbal::DOUBLE AS v, (c_mktsegment NOT IN ('BUILDING', 'MACHINERY'))::INT AS r FROM customer
+), g AS (SELECT feature, v, sum(r) AS r, sum(1 - r) AS a FROM p GROUP BY ALL
+), c AS (
+  SELECT feature, sum(r) OVER w AS cr, sum(a) OVER w AS ca, sum(r) OVER f AS n, sum(a) OVER f AS m FROM g
+  WINDOW w AS (PARTITION BY feature ORDER BY v ROWS UNBOUNDED PRECEDING), f AS (PARTITION BY feature)
+), d AS (
+  SELECT feature, max(n)::BIGINT AS n, max(m)::BIGINT AS m, max(abs(cr / n - ca / m)) AS d, round(max(abs(cr / n - ca / m)) * max(n) * max(m))::BIGINT AS h
+  FROM c GROUP BY feature HAVING max(n) > 0 AND max(m) > 0
+), w AS (
+  SELECT feature, n, m, d, h, 0::BIGINT AS k, list_transform(range(0, n + 1), lambda i: CASE WHEN i = 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) AS w FROM d
+  UNION ALL
+  SELECT feature, n, m, d, h, k + 1, list_transform(range(0, n + 1), lambda i:
+    CASE WHEN i > k + 1 OR k + 1 - i > m OR abs(i * m - (k + 1 - i) * n) >= h THEN 0.0::DOUBLE
+    ELSE w[i + 1] * (k + 1 - i) / (k + 1) + CASE WHEN i > 0 THEN w[i] * i / (k + 1) ELSE 0.0::DOUBLE END END)
+  FROM w WHERE k < n + m)
+SELECT feature, round(d, 6) AS ks_stat, round(CASE WHEN h <= 0 THEN 1.0::DOUBLE ELSE least(greatest(1 - w[n + 1], 0), 1) END, 6) AS ks_pvalue, 'exact' AS ks_method
+FROM w WHERE k = n + m"""
+
+MONTHS = """u AS (
+  SELECT strftime(l_shipdate, '%Y-%m') AS dt, unnest(['l_quantity', 'l_extendedprice', 'l_tax']) AS feature,
+    unnest([l_quantity::DOUBLE, l_extendedprice::DOUBLE, CASE WHEN l_returnflag <> 'N' THEN l_tax::DOUBLE END]) AS v FROM lineitem)"""
+ORACLES["merged_baseline"] = f"""WITH {MONTHS}
+SELECT feature, round(avg(v), 6) AS mean, round(stddev_samp(v), 6) AS std, round(avg(CASE WHEN v IS NULL THEN 1.0 ELSE 0.0 END), 6) AS null_rate,
+  count(v) AS n, true AS "within" FROM u WHERE dt BETWEEN '1994-01' AND '1996-12' GROUP BY feature"""
+ORACLES["merged_drift"] = f"""WITH {MONTHS}, s AS (
+  SELECT feature, dt >= '1997-01' AS late, avg(v) AS m, avg(CASE WHEN v IS NULL THEN 1.0 ELSE 0.0 END) AS z FROM u GROUP BY ALL
+), w AS (SELECT feature, v, dt >= '1997-01' AS late FROM u WHERE v IS NOT NULL
+), ed AS (SELECT feature, list_sort(list_distinct([{", ".join(f"quantile_disc(v, {i / 10})" for i in range(11))}])) AS ed FROM w WHERE NOT late GROUP BY feature
+), b AS (SELECT feature, late, least(greatest(len(list_filter(ed, lambda q: q <= v)), 1), len(ed) - 1) AS b, count(*) AS c FROM w JOIN ed USING (feature) GROUP BY ALL
+), t AS (SELECT feature, b, sum(c) FILTER (late) / (sum(sum(c) FILTER (late)) OVER (PARTITION BY feature)) AS a,
+    sum(c) FILTER (NOT late) / (sum(sum(c) FILTER (NOT late)) OVER (PARTITION BY feature)) AS r FROM b GROUP BY feature, b
+), p AS (SELECT feature, sum((coalesce(a, 1e-6) - coalesce(r, 1e-6)) * ln(coalesce(a, 1e-6) / coalesce(r, 1e-6))) AS psi FROM t GROUP BY feature)
+SELECT o.feature, round(o.m, 4) AS mean_ref, round(n.m, 4) AS mean_new, round(o.z, 4) AS null_rate_ref, round(n.z, 4) AS null_rate_new, psi < 0.05 AS alike
+FROM s o JOIN s n ON o.feature = n.feature AND NOT o.late AND n.late JOIN p ON p.feature = o.feature"""
+
+ORACLES["merged_distinct"] = """WITH e AS (SELECT * FROM events WHERE ts >= TIMESTAMP '2024-01-05' AND ts < TIMESTAMP '2024-01-21')
+SELECT event_type, 'user_id' AS "column", count(DISTINCT user_id) AS "values" FROM e GROUP BY event_type
+UNION ALL SELECT event_type, 'value', count(DISTINCT value) FROM e GROUP BY event_type
+UNION ALL SELECT event_type, 'ts', count(DISTINCT ts) FROM e GROUP BY event_type"""
