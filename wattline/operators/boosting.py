@@ -1,12 +1,13 @@
 """Boosted regression trees grown by Spark aggregations, with penalties and a stop while training.
 
-Features are cut into bins at exact quantiles once, into a stored table. A level of a tree is one aggregation of the
+Features are cut into bins at quantiles once, into a stored table. A level of a tree is one aggregation of the
 gradients by (node, feature, bin); the driver sees one row per open node. Rounds after the stop are never computed.
 """
 
 from __future__ import annotations
 
 import json
+import math
 import random
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
@@ -18,7 +19,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wattline.config import ForecastConfig
-from wattline.operators import quantiles as Q
 from wattline.session import stored
 from wattline.sources.tables import delete, stored_path
 
@@ -95,18 +95,26 @@ NODES = "round int, node int, feature string, bin int, cut double, gain double,
 
 def bin_edges(df: DataFrame, features: Sequence[str], bins: int) -> dict[str, list[float]]:
     """Ascending lower edges of the bins after the first, by feature: every distinct value but the least where there are
-    no more than `bins`, else values at equal shares of the rows. A constant feature has none."""
-    values = df.select(*[F.col(f"`{f}`").cast("double").alias(f) for f in features]).unpivot([], list(features), "feature", "value")
-    series = Q.value_series(values, ["feature"])
-    counts = Q.value_counts(values, ["feature"], "value").withColumn("one", F.lit(1))
-    ranked = Q.cumulative(counts, series, ["n", "one"])
-    share = F.floor((F.col("_upto_n") - 1) * bins / F.col("_total_n"))
-    part = F.when(F.col("_total_one") <= bins, F.col("_upto_one")).otherwise(share)
-    least = ranked.groupBy("feature", part.alias("part")).agg(F.min("value").alias("edge")).collect()  # features x bins rows
-    out: dict[str, list[float]] = {f: [] for f in features}
-    for r in sorted(least, key=lambda r: r.edge):
-        out[r.feature].append(r.edge)
-    return {f: edges[1:] for f, edges in out.items()}
+    no more than `bins`, else values at equal shares of the rows, a ten-thousandth of them off at most. A constant feature
+    has none.
+
+    One aggregation of sketches; only the values of features that have few are counted exactly. No value is shuffled
+    more than once a task.
+    """
+    columns = {f: F.col(f"`{f}`").cast("double") for f in features}
+    shares = F.array(*[F.lit(i / bins) for i in range(1, bins)])
+    sketch = [F.approx_count_distinct(c).alias(f"n{i}") for i, c in enumerate(columns.values())]
+    sketch += [F.percentile_approx(c, shares, F.lit(10_000)).alias(f"q{i}") for i, c in enumerate(columns.values())]
+    about = df.agg(*sketch, *[F.min(c).alias(f"m{i}") for i, c in enumerate(columns.values())]).first()
+    few = [f for i, f in enumerate(features) if about[f"n{i}"] <= 1.5 * bins]
+    out = {f: sorted({v for v in about[f"q{i}"] or () if v > about[f"m{i}"]}) for i, f in enumerate(features) if f not in few}
+    if few:
+        values = df.select(*[columns[f].alias(f) for f in few]).unpivot([], few, "feature", "value").distinct().collect()  # about features x bins rows
+        for f in few:
+            own = sorted(r.value for r in values if r.feature == f)
+            step = max(1, math.ceil(len(own) / bins))
+            out[f] = own[step::step]
+    return {f: out[f] for f in features}
 
 
 def binned(df: DataFrame, target: str, edges: Mapping[str, list[float]]) -> DataFrame:
@@ -136,6 +144,7 @@ def best_splits(rows: DataFrame, features: Sequence[int], c: ForecastConfig) ->
     """
     each = F.array(*[F.struct(F.lit(f).alias("f"), F.col("bins")[f].alias("b")) for f in features])
     sums = rows.select("node", "g", F.inline(each)).groupBy("node", "f", "b").agg(F.sum("g").alias("g"), F.count(F.lit(1)).alias("h"))
+    sums = sums.repartition("node")  # a few numbers for each bin; what follows stays there
     whole = Window.partitionBy("node", "f")
     upto = whole.orderBy("b")
     left = sums.select(

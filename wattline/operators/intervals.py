@@ -13,6 +13,8 @@ from wattline.functions.scalar import fault_code
 from wattline.operators.series import Part, Series, attach, ordinal, per_series, positions
 
 SECOND = 1_000_000
+#: Codes up to which flags are counted code by code.
+COUNTED_CODES = 64
 
 
 def clean_faults(
@@ -113,10 +115,49 @@ def interval_flags(
     prefix: str = "fault_",
     any_name: str = "fault_any",
 ) -> DataFrame:
-    """0/1 per code asked for, and for any of them: some interval of the same key covers the row's time."""
-    found = open_codes(df, faults.where(F.col(code).isin(*codes)), series, start, end, code, "_codes")
-    flags = [F.array_contains("_codes", c).cast("int").alias(prefix + c) for c in codes]
-    return found.select(*df.columns, *flags, (F.size("_codes") > 0).cast("int").alias(any_name))
+    """0/1 per code asked for, and for any of them: some interval of the same key covers the row's time, both ends included.
+
+    For few codes starts, rows and ends are walked in time order and open intervals are counted, a running sum for each
+    code; more than COUNTED_CODES are looked up in `open_codes`, whose plan is as wide for any number of codes. An
+    interval without an end stays open.
+    """
+    if len(codes) > COUNTED_CODES:
+        found = open_codes(df, faults.where(F.col(code).isin(*codes)), series, start, end, code, "_codes")
+        flags = [F.array_contains("_codes", c).cast("int").alias(prefix + c) for c in codes]
+        return found.select(*df.columns, *flags, (F.size("_codes") > 0).cast("int").alias(any_name))
+    keys = series.keys
+    at = ordinal(df, series.time)
+    first, last = (F.unix_micros(F.col(c).cast("timestamp")) for c in (start, end))
+    known = faults.where(F.col(code).isin(*codes) & (last.isNull() | (last >= first)))
+    # equal endpoints of a key become one row before anything is shuffled
+    deltas = [
+        F.sum(F.when(F.col(code) == c, F.col("_step")).otherwise(0)).alias(f"_d{i}")
+        for i, c in enumerate(codes)
+    ]
+
+    def ends(moment: Column, kind: int, step: int) -> DataFrame:
+        points = known.select(*keys, code, moment.alias("_at"), F.lit(kind).alias("_kind"), F.lit(step).alias("_step"))
+        points = points.where(F.col("_at").isNotNull())
+        return points.groupBy(*keys, "_at", "_kind").agg(*deltas)
+
+    walk = (
+        df.withColumns({"_at": at, "_kind": F.lit(1)})
+        .unionByName(ends(first, 0, 1), allowMissingColumns=True)
+        .unionByName(ends(last, 2, -1), allowMissingColumns=True)
+    )
+    # the rows' own measure serves: ends of intervals only add to them
+    order = replace(series, time="_at", ties=("_kind",), finer=())
+
+    def build(part: Part, d: DataFrame) -> DataFrame:
+        step = {f"_open{i}": ("sum", F.coalesce(F.col(f"_d{i}"), F.lit(0)), True) for i in range(len(codes))}
+        return part.running(d, step).where(F.col("_kind") == 1)
+
+    counted = per_series(walk, order, build)
+    flags = {c: (F.col(f"_open{i}") > 0).cast("int").alias(prefix + c) for i, c in enumerate(codes)}
+    some = F.lit(False)
+    for i in range(len(codes)):
+        some = some | (F.col(f"_open{i}") > 0)
+    return counted.select(*df.columns, *flags.values(), some.cast("int").alias(any_name))
 
 
 def pre_event_stats(
@@ -238,13 +279,12 @@ def event_segments(
     width = int(bucket_s * SECOND)
     lo = F.unix_micros(F.col(start).cast("timestamp")) - int(before_s * SECOND)
     hi = F.unix_micros(F.col(end).cast("timestamp")) + int(after_s * SECOND)
-    wanted = (
-        events.select(*[F.col(k).alias(f"_e_{k}") for k in series.keys], F.col(event_id).alias("_event"), lo.alias("_lo"), hi.alias("_hi"))
-        .where(F.col("_hi") >= F.col("_lo"))
-        .select("*", F.inline(tiles(F.floor(F.col("_lo") / width), F.floor(F.col("_hi") / width))))
-        .withColumnsRenamed({"level": "_e_level", "tile": "_e_tile"})
-    )
-    used = sorted(r[0] for r in wanted.select("_e_level").distinct().collect())  # at most 44
+    spans = events.select(*[F.col(k).alias(f"_e_{k}") for k in series.keys], F.col(event_id).alias("_event"), lo.alias("_lo"), hi.alias("_hi"))
+    spans = spans.where(F.col("_hi") >= F.col("_lo"))
+    longest = spans.agg(F.max(F.col("_hi") - F.col("_lo"))).first()[0] or 0
+    cover = tiles(F.floor(F.col("_lo") / width), F.floor(F.col("_hi") / width), (longest // width + 2).bit_length())
+    wanted = spans.select("*", F.inline(cover)).withColumnsRenamed({"level": "_e_level", "tile": "_e_tile"})
+    used = sorted(r[0] for r in wanted.select("_e_level").distinct().collect())  # at most 44, and those that events have
     at = ordinal(df, series.time)
     tile = F.floor(at / width)
     mine = F.array(*[F.struct(F.lit(n).alias("_level"), F.floor(tile / (1 << n)).alias("_tile")) for n in used])
