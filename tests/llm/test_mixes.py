@@ -48,6 +48,18 @@ def test_rates_are_the_tilt_that_meets_the_target(mixed):
         assert abs(sum(r.copies for r in rows) - sum(r.rate for r in rows)) <= 1
 
 
+def test_many_documents_of_one_size_are_numbered_in_parts(spark):
+    rows = [(i, "w " * (3 if i % 3 else i % 50), None if i % 2 else "s") for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    for per_group in (10, 65_536):
+        by = defaultdict(list)
+        for r in mix(docs, share=0.7, per_group=per_group).collect():
+            by[r.source].append(r)
+        for found in by.values():
+            assert abs(sum(r.taken for r in found) - found[0].target) <= max(r["size"] for r in found)
+            assert abs(sum(r.copies for r in found) - sum(r.rate for r in found)) <= 1
+
+
 def test_reruns_agree(spark, mixed):
     again = mix(spark.read.parquet("/root/testdata/sf0.01/documents.parquet").repartition(5)).collect()
     assert sorted((r.doc_id, r.copies) for r in again) == sorted((r.doc_id, r.copies) for r in mixed)

@@ -80,21 +80,22 @@ def multipliers(cells: DataFrame, sizes: dict, targets: dict, cap: float, tolera
     return tilt | {s: round(at[s], 9) for s in todo}
 
 
-def mix(docs: DataFrame, targets: dict | None = None, cap: float = 2.0, doc_id: str = "doc_id", text: str = "text", source: str = "source", per_group: int = 256, **rule) -> DataFrame:
+def mix(docs: DataFrame, targets: dict | None = None, cap: float = 2.0, doc_id: str = "doc_id", text: str = "text", source: str = "source", per_group: int = 65_536, **rule) -> DataFrame:
     """One row per row: doc_id, source, size, source_size, target, rate, copies and taken (copies times size).
 
     Without `targets` they follow `targets_of`. Sizes are counts of words; a NULL text has none. Documents without words
-    have rate 1, and so has a source without words. The copies are a systematic rounding: documents lie in hash groups of
-    about `per_group`, in a group by source and size, and a document takes a copy whenever the running sum of its source's
-    rates passes a half. So each source's copies are right to within one, reruns agree, and no document exceeds the cap
-    rounded up. Equal rows are documents of their own.
+    have rate 1, and so has a source without words. The copies are a systematic rounding: a source's documents lie in order
+    of size, those of one size by a hash, and a document takes a copy whenever the running sum of the rates passes a half.
+    That sum is never off by more than a half, so a source's copies are right to within one, and its words, as sizes only
+    rise, to within its largest document. Reruns agree, and no document exceeds the cap rounded up. More than `per_group`
+    documents of one size are numbered in parts. Equal rows are documents of their own; an empty table gives no rows.
     """
     base = columns(docs, doc_id=doc_id, source=source, text=text).withColumn("row", F.lit(0))
     return _mixed(base, targets, cap, per_group, **rule).drop("draw", "row")
 
 
-def mixed_copies(docs: DataFrame, cap: float = 2.0, doc_id: str = "doc_id", text: str = "text", source: str = "source", per_group: int = 256, **rule) -> DataFrame:
-    """The documents with all their columns, each as often as `mix` takes it."""
+def mixed_copies(docs: DataFrame, cap: float = 2.0, doc_id: str = "doc_id", text: str = "text", source: str = "source", per_group: int = 65_536, **rule) -> DataFrame:
+    """The documents with all their columns, each as often as `mix` takes it. NULLs, ties and repeated rows as there."""
     rows = numbered(docs)
     plan = _mixed(columns(rows, doc_id=doc_id, source=source, text=text, row=ROW), None, cap, per_group, **rule)
     taken = plan.where("copies > 0").select(F.col("row").alias(ROW), F.array_repeat(F.lit(0), F.col("copies").cast("int")).alias(COPIES))
@@ -115,18 +116,22 @@ def _mixed(base: DataFrame, targets: dict | None, cap: float, per_group: int, **
         [(s, size, float(targets.get(s, 0.0)), size / n, tilt[s]) for s, (size, n) in sizes.items()],
         "source string, source_size long, target double, mean double, l double",
     )
-    groups = max(1, sum(n for _, n in sizes.values()) // per_group)
     z = F.col("size") / F.col("mean")
     rate = F.when((F.col("size") == 0) | (F.col("source_size") == 0), 1.0).when(F.col("l").isNull(), cap).otherwise(F.least(F.exp(F.least(F.col("l") * z, F.lit(STEEPEST))), F.lit(cap)))
     units = F.round(rate * UNIT).cast("long")  # whole numbers: their sums don't depend on the order
     rated = sized.join(F.broadcast(plan), sized["source"].eqNullSafe(plan["source"])).drop(plan["source"]).withColumn("rate", rate).withColumn("units", units)
-    rated = rated.withColumn("group", F.pmod(F.xxhash64("draw", F.lit(1)), F.lit(groups)))
-    sums = stored(rated.groupBy("source", "group").agg(F.sum("units").alias("sum")), "rates")
-    before = F.sum("sum").over(Window.partitionBy("source").orderBy("group")) - F.col("sum")
-    bases = sums.select(F.col("source").alias("of"), F.col("group").alias("g"), before.alias("before"))
-    placed = rated.join(bases, F.col("source").eqNullSafe(F.col("of")) & (F.col("group") == F.col("g")))
-    within = Window.partitionBy("group", "source").orderBy("size", "draw", "doc_id").rowsBetween(Window.unboundedPreceding, 0)
-    end = F.col("before") + F.sum("units").over(within) + UNIT // 2
+    # documents of a source in order of size; those of one size have one rate, so that counts suffice to find their sums
+    large = cells.where(F.col("n") > per_group).select(F.col("source").alias("of"), F.col("size").alias("as"), F.ceil(F.col("n") / per_group).alias("parts"))
+    rated = rated.join(large, F.col("source").eqNullSafe(F.col("of")) & (F.col("size") == F.col("as")), "left")
+    part = F.coalesce(F.pmod(F.xxhash64("draw", F.lit(1)), F.col("parts")), F.lit(0).cast("long"))
+    rated = stored(rated.withColumn("group", part).drop("of", "as", "parts"), "rates")
+    sums = rated.groupBy("source", "size", "group").agg(F.sum("units").alias("sum"))
+    before = F.sum("sum").over(Window.partitionBy("source").orderBy("size", "group")) - F.col("sum")
+    bases = sums.select(F.col("source").alias("of"), F.col("size").alias("as"), F.col("group").alias("g"), before.alias("before"))
+    here = F.col("source").eqNullSafe(F.col("of")) & (F.col("size") == F.col("as")) & (F.col("group") == F.col("g"))
+    placed = rated.join(bases, here).drop("of", "as", "g")
+    within = Window.partitionBy("source", "size", "group").orderBy("draw", "doc_id")
+    end = F.col("before") + F.row_number().over(within) * F.col("units") + UNIT // 2
     copies = F.expr(f"shiftright(`end`, {UNIT.bit_length() - 1}) - shiftright(`end` - units, {UNIT.bit_length() - 1})")
     out = placed.withColumn("end", end).withColumn("copies", copies)
     return out.select("doc_id", "row", "draw", "source", "size", "source_size", "target", "rate", "copies", (F.col("copies") * F.col("size")).alias("taken"))
