@@ -102,7 +102,7 @@ def summary_drift(ref: DataFrame, new: DataFrame, thresholds: Thresholds = Thres
     flat = F.size("_edges") < 2
     out = joined.withColumns({
         "psi": F.round(F.when(flat, 0.0).otherwise(total), 4),
-        "ks_pvalue": ks_pvalue(F.col("ks_stat"), F.col("n"), F.col("_n")),
+        "ks_pvalue": ks_pvalue(F.col("ks_stat"), F.nullif("n", F.lit(0)), F.nullif("_n", F.lit(0))),
     })
     return drift_status(out, thresholds)
 

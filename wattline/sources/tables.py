@@ -112,20 +112,25 @@ def read_table(
     """A partitioned table, pruned to days, an inclusive range of days, vehicles, and the columns it has.
 
     Only the folders of wanted days are looked into. Without a `schema` the columns are those of any of
-    their files; with one, days without a folder give no rows instead of an error.
+    their files; with one, days without a folder give no rows instead of an error. A day that is just being replaced is read as it was
+    before (see `write_table`).
     """
-    if days is None and first_day is None and last_day is None:
-        paths = [root]
+    found = day_folders(spark, root)
+    if days is None and first_day is None and last_day is None and set(found.values()) <= {root}:
+        paths = {root: [root]}
     else:
-        listed = {f.split("=", 1)[1] for f in folders(spark, root) if f.startswith("dt=")}
-        wanted = [d for d in sorted(listed) if (days is None or d in days) and (first_day or d) <= d <= (last_day or d)]
-        paths = [f"{root}/dt={d}" for d in wanted]
+        wanted = [d for d in sorted(found) if (days is None or d in days) and (first_day or d) <= d <= (last_day or d)]
+        paths = {base: [f"{base}/dt={d}" for d in wanted if found[d] == base] for base in dict.fromkeys(found[d] for d in wanted)}
     if not paths and schema is None:
         raise FileNotFoundError(f"{root} has none of the days asked for")
     if not paths:
         return spark.createDataFrame([], schema)
-    reader = spark.read.option("basePath", root)
-    df = (reader.schema(schema) if schema is not None else reader.option("mergeSchema", True)).parquet(*paths)
+
+    def read(base: str) -> DataFrame:
+        reader = spark.read.option("basePath", base)
+        return (reader.schema(schema) if schema is not None else reader.option("mergeSchema", True)).parquet(*paths[base])
+
+    df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), map(read, paths))
     types = dict(df.dtypes)
     if types.get("vehicle_id", "string") != "string":
         raise ValueError("set spark.sql.sources.partitionColumnTypeInference.enabled=false: vehicle ids are text")
@@ -138,6 +143,18 @@ def read_table(
     return df
 
 
+def day_folders(spark: SparkSession, root: str) -> dict[str, str]:
+    """day -> the folder that holds its `dt=` folder: the table's, or, for a day whose replacement was broken off between
+    its two moves, the one that the old day was moved to."""
+    names = folders(spark, root)
+    out = {n.split("=", 1)[1]: root for n in names if n.startswith("dt=")}
+    for old in sorted(n for n in names if n.startswith("_old_")):
+        for n in folders(spark, f"{root}/{old}"):
+            if n.startswith("dt="):
+                out.setdefault(n.split("=", 1)[1], f"{root}/{old}")
+    return out
+
+
 def missing_files(df: DataFrame, days: Sequence[str], vehicles: Sequence[str]) -> DataFrame:
     """The wanted (day, vehicle) pairs the table has no rows for."""
     spark = df.sparkSession
@@ -157,7 +174,8 @@ def write_table(
     they have the partitions of these rows and no others. A rerun leaves the same table.
 
     With `days` the rows are written beside the table and each day is then moved into place; a day's old
-    rows go after its new ones are there. Rows that were windowed by file lie together already; `rebalance`
+    rows go after its new ones are there. `read_table` finds a day that has been moved away and whose successor isn't there
+    yet, so that a day is the old or the new one at every moment, also if the job ends between the moves. Rows that were windowed by file lie together already; `rebalance`
     is for rows that are scattered.
     """
     spark = df.sparkSession
@@ -179,7 +197,10 @@ def write_table(
         if day in fresh:
             rename(spark, f"{draft}/{day}", f"{root}/{day}")
     for done in (old, draft):
-        _fs(spark, root).delete(_path(spark, done), True)
+        delete(spark, done)
+    for left in (n for n in folders(spark, root) if n.startswith("_old_")):  # of writers that broke off: these days have successors now
+        for day in days:
+            delete(spark, f"{root}/{left}/dt={day}")
 
 
 def write_raw(df: DataFrame, root: str) -> None:

@@ -59,7 +59,7 @@ def load_batch(spark: SparkSession, lake: jobs.Lake, batch: DataFrame, number: i
     fresh = sorted(r.dt for r in found)
     if not fresh:
         return
-    loaded = {f.split("=", 1)[1] for f in IO.folders(spark, lake.at("silver")) if f.startswith("dt=")}
+    loaded = IO.day_folders(spark, lake.at("silver"))
     days = sorted({*fresh, *(d for d in loaded if d > fresh[0])})
     manifest = ingest(spark, lake, days, settings)
     totals = manifest.agg(F.sum("raw_rows").alias("raw_rows"), F.sum("silver_rows").alias("silver_rows"))
