@@ -14,11 +14,10 @@ import re
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import StringType
 
 from wattline.llm.common import MIX, arrow_table, columns, kind_of, lists_of, mixed, rows_of, signed, slices, stored, utf8
 
@@ -89,8 +88,13 @@ def selected(hashes: np.ndarray, words: np.ndarray, ends: np.ndarray, gram: int,
     return place, value[place], of_window, whole
 
 
+def text_hash(text: str) -> Column:
+    """64 bits by which texts are told apart; NULL is as the empty text."""
+    return F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit("")))
+
+
 def line_rows(docs: DataFrame, gram: int, window: int) -> DataFrame:
-    """Per row of (doc_id, text): text_hash, hashes and words of its lines, places and hashes of its fingerprints, and
+    """Per row of (doc_id, text, text_hash): text_hash, hashes and words of its lines, places and hashes of its fingerprints, and
     those of its windows (the place of the gram that each selects)."""
     schema = f"doc_id {kind_of(docs, 'doc_id')}, text_hash long, hashes array<long>, words array<int>, places array<int>, grams array<long>, window_places array<int>, windows array<long>"
     fields = arrow_table(schema)
@@ -106,9 +110,8 @@ def line_rows(docs: DataFrame, gram: int, window: int) -> DataFrame:
             place, value, of_window, whole = selected(flat, words, np.repeat(ends, n), gram, window)
             of, window_of = (np.searchsorted(ends, x, "right") for x in (place, of_window))
             found, windows = (np.bincount(x, minlength=len(n)) for x in (of, window_of))
-            texts_hash = np.fromiter(map(xxhash.xxh3_64_intdigest, texts), np.uint64, len(texts))
             yield rows_of(
-                fields, b.column(0), signed(texts_hash), lists_of(signed(flat), n, pa.int64()), lists_of(words, n, pa.int32()),
+                fields, b.column(0), b.column(2), lists_of(signed(flat), n, pa.int64()), lists_of(words, n, pa.int32()),
                 lists_of((place - (ends - n)[of]).astype(np.int32), found, pa.int32()), lists_of(signed(value), found, pa.int64()),
                 lists_of((of_window - (ends - n)[window_of]).astype(np.int32), windows, pa.int32()), lists_of(signed(whole), windows, pa.int64()),
             )
@@ -148,7 +151,7 @@ def extended(pairs: DataFrame) -> DataFrame:
 
 def repeated_runs(base: DataFrame, gram: int, window: int) -> DataFrame:
     """doc_id, text_hash and the runs (low, high) of lines that also stand earlier."""
-    lines = stored(line_rows(base, gram, window), "lines").dropDuplicates(["doc_id", "text_hash"])
+    lines = stored(line_rows(base.withColumn("text_hash", text_hash("text")), gram, window), "lines").dropDuplicates(["doc_id", "text_hash"])
     lines = stored(lines, "distinct-lines")
     marks = lines.select("doc_id", "text_hash", F.explode(F.arrays_zip("places", "grams")).alias("f")).select("doc_id", "text_hash", F.col("f.places").alias("at"), F.col("f.grams").alias("gram"))
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash", "at")
@@ -214,36 +217,26 @@ def deduplicated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
 
 def line_stage(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", gram_words: int = 25, window_words: int = 50) -> DataFrame:
     """The documents with all their columns, and in `text` what `deduplicated_lines` leaves; without those of which no
-    word is left."""
+    word is left. A document that loses nothing stays as it is, a NULL or empty text, too."""
     base = columns(docs, doc_id=doc_id, text=text)
-    joined = _with_runs(docs, base, doc_id, text, gram_words, window_words).select(*[F.col(f"`{c}`") for c in docs.columns], RUNS)
-    at, last = docs.columns.index(text), len(docs.columns)
+    joined = _with_runs(docs, base, doc_id, text, gram_words, window_words)
 
-    def work(batches):
-        for b in slices(batches, at):
-            before = utf8(b.column(at))
-            changed = [without(t, r, window_words)[0] if r else None for t, r in zip(before, b.column(last).to_pylist())]
-            keeps = pa.array([c is None or bool(c.split()) for c in changed], pa.bool_())
-            new = pc.if_else(pa.array([c is None for c in changed], pa.bool_()), b.column(at), pa.array([None if c is None else c.decode() for c in changed], b.column(at).type))
-            own = [new if i == at else b.column(i) for i in range(last)]
-            yield pa.RecordBatch.from_arrays(own, names=b.schema.names[:last]).filter(keeps)
+    @F.arrow_udf(StringType())
+    def left(texts: pa.Array, runs: pa.Array) -> pa.Array:
+        return pa.array([without(t, r, window_words)[0].decode() if r else None for t, r in zip(utf8(texts), runs.to_pylist())], pa.string())
 
-    return joined.mapInArrow(work, docs.schema)
+    # only texts that lose something go to Python; the rows stay where they are
+    marked = joined.withColumn(LEFT, left(F.when(F.col(RUNS).isNotNull(), F.col(f"`{text}`")), F.col(RUNS)))
+    marked = marked.where(F.col(LEFT).isNull() | F.col(LEFT).rlike(WORD))
+    return marked.select(*[F.coalesce(F.col(LEFT), F.col(f"`{c}`")).alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns])
 
 
-RUNS, HASH, RUN_ID, RUN_HASH = "__line_runs", "__line_text_hash", "__line_doc_id", "__line_run_hash"
+RUNS, HASH, RUN_ID, RUN_HASH, LEFT = "__line_runs", "__line_text_hash", "__line_doc_id", "__line_run_hash", "__line_left"
+WORD = r"[^\x20\x09-\x0D]"
 
 
 def _with_runs(rows: DataFrame, base: DataFrame, doc_id: str, text: str, gram: int, window: int) -> DataFrame:
     """`rows` with the runs of each, found in `base`, its ids and texts."""
     runs = stored(repeated_runs(base, gram, window), "runs").select(F.col("doc_id").alias(RUN_ID), F.col("text_hash").alias(RUN_HASH), F.col("runs").alias(RUNS))
-    at = rows.columns.index(text)
-
-    def work(batches):
-        for b in slices(batches, at):
-            texts = utf8(b.column(at))
-            hashes = signed(np.fromiter(map(xxhash.xxh3_64_intdigest, texts), np.uint64, len(texts)))
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(hashes)], names=[*b.schema.names, HASH])
-
-    keyed = rows.mapInArrow(work, StructType([*rows.schema.fields, StructField(HASH, LongType())]))
+    keyed = rows.withColumn(HASH, text_hash(text))
     return keyed.join(runs, F.col(RUN_ID).eqNullSafe(F.col(f"`{doc_id}`")) & (F.col(RUN_HASH) == F.col(HASH)), "left")
