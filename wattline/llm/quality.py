@@ -9,6 +9,8 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType
 
 from wattline.llm.common import arrow_table, columns, kind_of, rows_of, slices
 
@@ -120,12 +122,13 @@ def compression_bands(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
 
 
 def quality_stage(docs: DataFrame, limits: Limits = Limits(), text: str = "text") -> DataFrame:
-    """The documents that `compression_bands` keeps, with all their columns as they were."""
-    at = docs.columns.index(text)
+    """The documents that `compression_bands` keeps, with all their columns as they were. A NULL or empty text goes; equal
+    rows stay or go together. Texts go to Python, the rows stay where they are."""
 
-    def work(batches):
+    @F.arrow_udf(BooleanType())
+    def keeps(texts: pa.Array) -> pa.Array:
         packer = zstandard.ZstdCompressor(level=limits.level)
-        for b in slices(batches, at):
-            yield b.filter(pa.array([measure(t, packer, limits)[-1] for t in b.column(at).to_pylist()], pa.bool_()))
+        parts = slices(iter([pa.record_batch([texts], ["text"])]))
+        return pa.array([measure(t, packer, limits)[-1] for b in parts for t in b.column(0).to_pylist()], pa.bool_())
 
-    return docs.mapInArrow(work, docs.schema)
+    return docs.where(keeps(F.col(f"`{text}`")))
