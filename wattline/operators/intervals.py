@@ -15,6 +15,8 @@ from wattline.operators.series import Part, Series, attach, ordinal, per_series,
 SECOND = 1_000_000
 #: Codes up to which flags are counted code by code.
 COUNTED_CODES = 64
+#: Tiles of the longest event up to which all events are cut into tiles of one size.
+SHORT = 16
 
 
 def clean_faults(
@@ -273,8 +275,8 @@ def event_segments(
     """The rows within `[start - before_s, end + after_s]` of each event: one row per event and reading,
     which is what a segment is.
 
-    An event is cut into aligned tiles of `bucket_s` times a power of two, at most two of each size however long it is.
-    A reading joins on its tile of each size that events have; adaptive execution splits a hot tile.
+    An event is cut into aligned tiles of `bucket_s` times a power of two, at most two of each size however long it is;
+    where no event is long, into tiles of `bucket_s`. A reading joins on its tile of each size that events have; adaptive execution splits a hot tile.
     """
     width = int(bucket_s * SECOND)
     lo = F.unix_micros(F.col(start).cast("timestamp")) - int(before_s * SECOND)
@@ -282,9 +284,14 @@ def event_segments(
     spans = events.select(*[F.col(k).alias(f"_e_{k}") for k in series.keys], F.col(event_id).alias("_event"), lo.alias("_lo"), hi.alias("_hi"))
     spans = spans.where(F.col("_hi") >= F.col("_lo"))
     longest = spans.agg(F.max(F.col("_hi") - F.col("_lo"))).first()[0] or 0
-    cover = tiles(F.floor(F.col("_lo") / width), F.floor(F.col("_hi") / width), (longest // width + 2).bit_length())
+    ends = F.floor(F.col("_lo") / width), F.floor(F.col("_hi") / width)
+    if longest // width < SHORT:
+        cover = F.transform(F.sequence(*ends), lambda t: F.struct(F.lit(0).alias("level"), t.alias("tile")))
+    else:
+        cover = tiles(*ends, (longest // width + 2).bit_length())
     wanted = spans.select("*", F.inline(cover)).withColumnsRenamed({"level": "_e_level", "tile": "_e_tile"})
-    used = sorted(r[0] for r in wanted.select("_e_level").distinct().collect())  # at most 44, and those that events have
+    levels = [(0,)] if longest // width < SHORT else wanted.select("_e_level").distinct().collect()  # at most 44, and those that events have
+    used = sorted(r[0] for r in levels)
     at = ordinal(df, series.time)
     tile = F.floor(at / width)
     mine = F.array(*[F.struct(F.lit(n).alias("_level"), F.floor(tile / (1 << n)).alias("_tile")) for n in used])
