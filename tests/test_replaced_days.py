@@ -55,3 +55,19 @@ def test_other_days_stay(spark, folder):
     assert read(spark, root) == sorted(whole(1, ["d1"]) + whole(2, ["d2"]))
     assert set(IO.day_folders(spark, root).values()) == {root}
     assert IO.day_folders(spark, f"{folder}/none") == {}
+
+
+@pytest.mark.parametrize("guess", ["true", "false"])
+def test_vehicles_are_text_in_any_session(spark, folder, guess):
+    name = "spark.sql.sources.partitionColumnTypeInference.enabled"
+    root, before = f"{folder}/t", spark.conf.get(name)
+    made = spark.createDataFrame([("2026-01-02", v, 1) for v in ("007", "1.0", "7")], ROWS)
+    IO.write_table(made, root, ["2026-01-02"])
+    spark.conf.set(name, guess)
+    try:
+        got = IO.read_table(spark, root)
+        assert dict(got.dtypes) == {"dt": "string", "vehicle_id": "string", "v": "bigint"}
+        assert sorted(map(tuple, got.select("dt", "vehicle_id").collect())) == [("2026-01-02", v) for v in ("007", "1.0", "7")]
+        assert [r.v for r in IO.read_table(spark, root, vehicles=["007"]).collect()] == [1]
+    finally:
+        spark.conf.set(name, before)

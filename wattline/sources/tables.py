@@ -8,7 +8,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from wattline.config import FAULT_HEADERS, TIME_FORMATS
 from wattline.functions.scalar import add_missing, parse_time
@@ -112,7 +112,8 @@ def read_table(
     """A partitioned table, pruned to days, an inclusive range of days, vehicles, and the columns it has.
 
     Only the folders of wanted days are looked into. Without a `schema` the columns are those of any of
-    their files; with one, days without a folder give no rows instead of an error. A day that is just being replaced is read as it was
+    their files; with one, days without a folder give no rows instead of an error. Days and vehicles are text (`007`),
+    whatever types the session guesses from folder names. A day that is just being replaced is read as it was
     before (see `write_table`).
     """
     found = day_folders(spark, root)
@@ -128,14 +129,16 @@ def read_table(
 
     def read(base: str) -> DataFrame:
         reader = spark.read.option("basePath", base)
-        return (reader.schema(schema) if schema is not None else reader.option("mergeSchema", True)).parquet(*paths[base])
+        if schema is not None:
+            return reader.schema(schema).parquet(*paths[base])
+        found = reader.option("mergeSchema", True).parquet(*paths[base])
+        if all(t == "string" for n, t in found.dtypes if n in ("dt", "vehicle_id")):
+            return found
+        # the session guesses types from folder names; a given schema takes the names as they are
+        text = [StructField(f.name, StringType()) if f.name in ("dt", "vehicle_id") else f for f in found.schema]
+        return spark.read.option("basePath", base).schema(StructType(text)).parquet(*paths[base])
 
     df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), map(read, paths))
-    types = dict(df.dtypes)
-    if types.get("vehicle_id", "string") != "string":
-        raise ValueError("set spark.sql.sources.partitionColumnTypeInference.enabled=false: vehicle ids are text")
-    if types.get("dt", "string") != "string":
-        df = df.withColumn("dt", F.col("dt").cast("string"))
     if vehicles is not None:
         df = df.where(F.col("vehicle_id").isin(*vehicles))
     if columns is not None:
