@@ -100,3 +100,11 @@ def test_segments_equal_all_pairs(spark):
         want = sorted((i, e) for k, t, i in rows for q, e, a, b in events if k == q and a is not None and b is not None and a - 100 <= b + 50 and a - 100 <= t <= b + 50)
         assert sorted((r.i, r.segment_event) for r in got.collect()) == want
     assert intervals.event_segments(df, log.limit(0), Series("k", "t", "i"), "e", "a", "b").collect() == []
+
+
+def test_no_tiles_go_through_the_driver(spark):
+    df = spark.createDataFrame([("x", START, 1), ("x", at(60), 2), ("y", at(5), 3)], "k string, t timestamp, i int")
+    events = spark.createDataFrame([("x", 7, START, at(10**8)), ("y", 8, at(6), at(9))], "k string, n long, a timestamp, b timestamp")
+    got = intervals.event_segments(df, events, Series("k", "t", "i"), "n", "a", "b", before_s=0, after_s=0)
+    assert "Broadcast" not in got._jdf.queryExecution().executedPlan().toString()
+    assert sorted((r.i, r.segment_event) for r in got.collect()) == [(1, 7), (2, 7)]

@@ -277,6 +277,7 @@ def event_segments(
 
     An event is cut into aligned tiles of `bucket_s` times a power of two, at most two of each size however long it is;
     where no event is long, into tiles of `bucket_s`. A reading joins on its tile of each size that events have; adaptive execution splits a hot tile.
+    Both sides are shuffled: the planner takes neither for as large as its tiles make it, and would send one through the driver.
     """
     width = int(bucket_s * SECOND)
     lo = F.unix_micros(F.col(start).cast("timestamp")) - int(before_s * SECOND)
@@ -301,7 +302,7 @@ def event_segments(
     for k in series.keys:
         match = match & (F.col(k) == F.col(f"_e_{k}"))
     match = match & F.col("_at").between(F.col("_lo"), F.col("_hi"))
-    return rows.join(wanted, match, "inner").select(*df.columns, F.col("_event").alias("segment_event"))
+    return rows.join(wanted.hint("merge"), match, "inner").select(*df.columns, F.col("_event").alias("segment_event"))
 
 
 def day_slice(df: DataFrame, time: str, day: str) -> DataFrame:
