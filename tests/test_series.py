@@ -195,3 +195,22 @@ def test_chained_operators_on_long_series_read_the_table_once_each(spark, rows):
     two = windows.window_features(one, measured, ["x"], [5], ["mean"], [1], "x", 12, "y")
     assert scans(one) == 0 and scans(two) == 0  # both read stored tables
     assert two.count() == windows.window_features(rows, WHOLE, ["x"], [5], ["mean"], [1], "x", 12, "y").count()
+
+
+def test_cuts_in_levels_keep_arrays_short(spark, monkeypatch):
+    from wattline.operators import series as cuts
+
+    monkeypatch.setattr(cuts, "FAN", 8)
+    rows = [("far", 7 * i, i, float(i)) for i in range(9_999)] + [("far", 10**9, 0, 1.0)]
+    rows += [("equal", i if i % 4 == 0 else 77, i, 1.0) for i in range(8_000)]  # most at one time
+    rows += [("none", None if i % 2 else i, i, 1.0) for i in range(8_000)] + [("short", i, i, 1.0) for i in range(90)]
+    df = spark.createDataFrame(rows, "k string, t long, id long, x double")
+    series = Series("k", "t", "id", max_rows=400)
+    found = measure(df, series)
+    bounds = [found.long, *found.levels, *(b for _, b in found.finer)]
+    assert max(b.agg(F.max(F.size("_bounds"))).first()[0] for b in bounds) <= 8
+    assert len(found.levels) == 2 and len(found.finer) == 2
+    assert max(chunk_sizes(df, series)) <= 2 * 100
+    for f in (positions, lambda d, s: windows.lags(d, s, ["x"], [1, 60])):
+        whole = f(df, Series("k", "t", "id"))
+        assert sorted(map(str, f(df, series).select(*whole.columns).collect())) == sorted(map(str, whole.collect()))

@@ -7,7 +7,8 @@ of the neighbouring block.
 
 Which series are long is measured once, by a count per key. They are cut at quantiles of their rows, so
 that outliers and bursts don't matter; a value that fills more than a chunk by itself (or rows without
-one) is cut on along the ties. Operators measure what they are given; where their input is costly,
+one) is cut on along the ties. Each level of cuts makes at most `FAN` parts of a chunk, so that no sketch of
+quantiles and no array of bounds grows with a series, and a row finds its chunk by halving. Operators measure what they are given; where their input is costly,
 measure a base table once and pass the result on. An operator on a table with long series stores its
 input first, in the checkpoint folder: its plan reads that table, and not all that led to it, again.
 """
@@ -26,8 +27,12 @@ from pyspark.sql import types as T
 from wattline.session import stored
 
 MAX_ROWS = 4_000_000
-#: Room for the places of one level of cuts in a chunk's number.
-LEVEL = 1 << 20
+#: Parts that one level of cuts makes of a chunk.
+FAN = 512
+#: Room for the places of one level of cuts in a chunk's number, and the levels that fit into it.
+LEVEL, DEEPEST = 1 << 11, 5
+#: Steps that halve an array of bounds; a grid's bounds are one level, whatever their number.
+HALVES = [1 << i for i in range(24, -1, -1)]
 
 
 @dataclass(frozen=True)
@@ -39,9 +44,10 @@ class Series:
     ties: tuple[str, ...] = ()
     max_rows: int | None = MAX_ROWS
     measured: bool = False
-    #: the long series with the bounds of their chunks, and the bounds by tie of chunks that need more cuts
+    #: the long series with the bounds of their chunks, the bounds by time of chunks that need more cuts, and those by tie
     long: DataFrame | None = field(default=None, compare=False, repr=False)
-    finer: tuple[DataFrame, ...] = field(default=(), compare=False, repr=False)
+    levels: tuple[DataFrame, ...] = field(default=(), compare=False, repr=False)
+    finer: tuple[tuple[str, DataFrame], ...] = field(default=(), compare=False, repr=False)
 
     def __post_init__(self):
         object.__setattr__(self, "keys", _names(self.keys))
@@ -109,24 +115,52 @@ def measure(df: DataFrame, series: Series, step: int | None = None) -> Series:
         bounds = F.transform(F.sequence(F.lit(1), F.col("_pieces").cast("int")), lambda i: (F.col("_lo") + width * i).cast("long"))
         return replace(series, measured=True, long=stored(own.select(*series.keys, bounds.alias("_bounds")), "long-series"))
     rows = attach(df.select(*series.keys, at.alias("_at"), *series.ties), own.select(*series.keys, "_pieces"), series.keys, "inner")
-    long = stored(_bounds(rows, series.keys, "_at", pieces), "long-series")
+    long = stored(_bounds(rows, series.keys, "_at", min(pieces, FAN)), "long-series")
     found = replace(series, measured=True, long=long)
-    for level, tie in enumerate(series.ties):
+    for _ in range(_depth(pieces) - 1):
+        bounds, _ = _cut(df, found, series.time, _several_values(), target)
+        if bounds is None:
+            break
+        found = replace(found, levels=(*found.levels, bounds))
+    for tie in series.ties:
         if not _numeric(df, tie):
             break
         # rows of one value are cut on along the next tie
-        single = _chunked(df, found).where(_one_value(level))
-        heavy = single.groupBy(*series.keys, "_chunk").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > target)
-        heavy = stored(heavy.withColumn("_pieces", F.ceil(F.col("_n") / target)), "heavy-chunks")
-        pieces = heavy.agg(F.max("_pieces")).first()[0]
-        if pieces is None:
+        bounds, pieces = _cut(df, found, tie, _one_value(), target)
+        if bounds is None:
             break
-        keys = (*series.keys, "_chunk")
-        rows = attach(single.select(*keys, ordinal(df, tie).alias("_at")), heavy.select(*keys, "_pieces"), keys, "inner")
-        found = replace(found, finer=(*found.finer, stored(_bounds(rows, keys, "_at", pieces), "finer-bounds")))
+        found = replace(found, finer=(*found.finer, (tie, bounds)))
+        for _ in range(_depth(pieces) - 1):
+            bounds, _ = _cut(df, found, tie, _several_values(), target)
+            if bounds is None:
+                break
+            found = replace(found, finer=(*found.finer, (tie, bounds)))
     return found
 
 
+def _depth(pieces: int) -> int:
+    """Levels of cuts that make this many pieces."""
+    depth = 1
+    while FAN**depth < pieces:
+        depth += 1
+    return depth
+
+
+def _cut(df: DataFrame, found: Series, by: str, which: Column, target: int) -> tuple[DataFrame | None, int]:
+    """Bounds by a column of those chunks that are too large, and the pieces that the largest of them needs."""
+    if 1 + len(found.levels) + len(found.finer) == DEEPEST:
+        return None, 0
+    keys = (*found.keys, "_chunk")
+    own = _chunked(df, found).where((F.col("_chunk") > 0) & which)
+    heavy = own.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > target)
+    heavy = stored(heavy.withColumn("_pieces", F.ceil(F.col("_n") / target)), "heavy-chunks")
+    pieces = heavy.agg(F.max("_pieces")).first()[0]
+    if pieces is None:
+        return None, 0
+    rows = attach(own.select(*keys, ordinal(df, by).alias("_at")), heavy.select(*keys, "_pieces"), keys, "inner")
+    return stored(_bounds(rows, keys, "_at", min(pieces, FAN)), "finer-bounds"), pieces
+
+
 def _numeric(df: DataFrame, name: str) -> bool:
     return isinstance(df.schema[name].dataType, (T.NumericType, T.TimestampType, T.TimestampNTZType, T.DateType))
 
@@ -137,20 +171,31 @@ def _bounds(rows: DataFrame, keys: Sequence[str], at: str, pieces: int) -> DataF
     found = rows.groupBy(*keys).agg(
         F.percentile_approx(at, cuts, F.lit(max(10_000, 50 * pieces))).alias("_quantiles"), F.max("_pieces").alias("_pieces")
     )
-    every = F.greatest(F.floor(F.lit(pieces) / F.col("_pieces")), F.lit(1))
+    every = F.greatest(F.floor(F.lit(pieces) / F.least(F.col("_pieces"), F.lit(pieces))), F.lit(1))
     thinned = F.filter("_quantiles", lambda x, i: (i + 1) % every == 0)
     return found.select(*keys, F.array_distinct(thinned).alias("_bounds"))
 
 
 def _place(at: Column, bounds: Column) -> Column:
     """Where a value lies among sorted bounds: 1 for NULL, even between two bounds, odd on one."""
-    below = F.size(F.filter(bounds, lambda b: b < at)) + F.size(F.filter(bounds, lambda b: b <= at))
-    return F.when(at.isNull(), 1).otherwise(below + 2).cast("long")
+
+    def place(v: Column) -> Column:
+        below = F.aggregate(
+            F.array(*[F.lit(i) for i in HALVES]), F.lit(0), lambda n, i: F.when(F.get(bounds, n + i - 1) < v, n + i).otherwise(n)
+        )
+        return F.transform(F.array(below), lambda n: 2 * n + 2 + F.coalesce((F.get(bounds, n) == v).cast("int"), F.lit(0)))[0]
+
+    return F.when(at.isNull(), 1).otherwise(F.transform(F.array(at), place)[0]).cast("long")
 
 
-def _one_value(level: int) -> Column:
+def _one_value() -> Column:
     """Whether a chunk's rows have the same order value and, further down, the same ties."""
-    return (F.col("_chunk") > 0) & (F.col("_chunk") % 2 == 1)
+    return F.col("_chunk") % 2 == 1
+
+
+def _several_values() -> Column:
+    """Whether a chunk was made by the last level's cuts and lies between two bounds."""
+    return (F.col("_chunk") % LEVEL > 0) & (F.col("_chunk") % 2 == 0)
 
 
 def _chunked(df: DataFrame, series: Series) -> DataFrame:
@@ -158,11 +203,14 @@ def _chunked(df: DataFrame, series: Series) -> DataFrame:
     out = attach(df, series.long, series.keys)
     here = _place(ordinal(df, series.time), F.col("_bounds"))
     out = out.withColumn("_chunk", F.when(F.col("_bounds").isNull(), 0).otherwise(here).cast("long")).drop("_bounds")
-    for tie, bounds in zip(series.ties, series.finer):
+    before = series.time
+    for by, bounds in (*((series.time, b) for b in series.levels), *series.finer):
         out = attach(out, bounds, (*series.keys, "_chunk"))
-        # chunks that are not cut here get an even number: they have no single value, or few rows
-        within = F.when(F.col("_bounds").isNull(), 0).otherwise(_place(ordinal(df, tie), F.col("_bounds")))
+        # a chunk of one value stays one while the same column is cut; others that are not cut here have several, or few rows
+        kept = F.col("_chunk") % 2 if by == before else F.lit(0)
+        within = F.when(F.col("_bounds").isNull(), kept).otherwise(_place(ordinal(df, by), F.col("_bounds")))
         out = out.withColumn("_chunk", F.when(F.col("_chunk") == 0, 0).otherwise(F.col("_chunk") * LEVEL + within)).drop("_bounds")
+        before = by
     return out
 
 
