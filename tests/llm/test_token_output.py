@@ -138,3 +138,18 @@ def test_last_sequence_is_padded_to_a_power_of_two(spark, total):
     last = max(pack(docs, window=64).collect(), key=lambda r: r.sequence_id)
     rest = total % 64 or 64
     assert last.padded == 1 << (rest - 1).bit_length()
+
+
+def test_only_unknown_words_are_learnt(monkeypatch):
+    from tokenizers import Tokenizer
+    from wattline.llm import encoder as words
+
+    coder, learnt = words.WordEncoder(words.default_path()), []
+    monkeypatch.setattr(coder, "learn", lambda new, learn=coder.learn: (learnt.append(sorted(new)), learn(new)))
+    texts = ["", " lead, and trail \n", "lead and\x0b\x0c more", "Ünïcode ÀÉ, <|X|>FOO İstanbul ÇA,ça", "\t", "lead"]
+    plain = Tokenizer.from_file(words.default_path())
+    for batch in (texts[:2], texts[2:], []):
+        ids, sizes = coder.encode([t.encode() for t in batch])
+        want = [[*plain.encode(t, add_special_tokens=False).ids, 1] for t in batch]
+        assert ids.tolist() == sum(want, []) and sizes.tolist() == [len(w) for w in want]
+    assert learnt[0] == [b"and", b"lead,", b"trail"] and b"and" not in learnt[1] and b"lead" not in learnt[1]

@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import re
+from itertools import repeat
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
 #: Distinct words remembered by a worker.
 WORDS = 800_000
-#: Latin letters, and marks of ASCII behind them.
-MARKED = re.compile("([a-zA-ZÀ-ÖØ-öø-ÿ]+)([!-/:-@\\[-`{-~]*)")
+#: A line of Latin letters, and marks of ASCII behind them; or any other line.
+MARKED = re.compile("^(?:([a-zA-ZÀ-ÖØ-öø-ÿ]+)([!-/:-@\\[-`{-~]*)|(.+))$", re.MULTILINE)
 
 
 def default_path() -> str:
@@ -39,9 +42,10 @@ class WordEncoder:
         self.forget()
 
     def forget(self) -> None:
-        self.place: dict[bytes | None, int] = {None: 0}  # None is the end
+        self.place: dict[bytes | None, int] = {None: 0, b"": 1}  # None is the end; no word lies before white space that begins a text
         self.flat = np.full(1 << 16, self.end, self.kind)
         self.start, self.size, self.used = np.zeros(1 << 16, np.int64), np.ones(1 << 16, np.int32), 1
+        self.size[1] = 0
 
     def put(self, words: list[bytes], ids: np.ndarray, sizes: np.ndarray) -> None:
         """Remember the ids of new words, one after another in `ids`."""
@@ -62,25 +66,25 @@ class WordEncoder:
         ends = np.cumsum(size)
         return self.flat[np.repeat(self.start[at] - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)], size
 
-    def learn(self, words: set) -> None:
-        if len(self.place) + len(words) > WORDS:
-            self.forget()
-        new = [w for w in words if w not in self.place]
-        whole, single, split = [], set(), {}
-        for w in new:
-            if not self.lower or b"<|" in w:
+    def learn(self, new: list[bytes]) -> None:
+        """Remember words that are not known."""
+        whole, single, split = [] if self.lower else new, set(), {}
+        for w, (letters, marks, other) in zip(new, MARKED.findall(b"\n".join(new).decode())) if self.lower else ():
+            if other or "<|" in marks:
                 whole.append(w)
             elif w.isalpha():
                 single.add(w)
-            elif m := MARKED.fullmatch(w.decode()):
-                split[w] = [x.lower().encode() for x in m.groups() if x]
             else:
-                whole.append(w)
+                end = len(w) - len(marks)
+                first = w[:end].lower() if len(letters) == end else letters.lower().encode()
+                if first == w:
+                    single.add(w)
+                else:
+                    split[w] = (first, w[end:]) if marks else (first,)
         for parts in split.values():
             single.update(parts)
         self.encode_single([w for w in single if w not in self.place])
         self.encode_whole([w for w in whole if w not in self.place])
-        split = {w: x for w, x in split.items() if w not in self.place}
         ids, sizes = self.gather(np.fromiter((self.place[x] for y in split.values() for x in y), np.int64))
         ends = np.concatenate([[0], np.cumsum([len(x) for x in split.values()], dtype=np.int64)])
         self.put(list(split), ids, np.diff(np.concatenate([[0], np.cumsum(sizes)])[ends]))
@@ -100,22 +104,31 @@ class WordEncoder:
         for w, e in zip(words, self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)):
             self.put([w], np.array(e.ids, self.kind), np.array([len(e.ids)]))
 
-    def words(self, text: bytes) -> list:
-        low = text.lower() if self.lower and b"<|" not in text else text
-        return [*low.split(), None]
+    def places(self, words: list[bytes]) -> np.ndarray:
+        """Where each word is remembered; -1 for those that are not."""
+        return np.fromiter(map(self.place.get, words, repeat(-1)), np.int64, len(words))
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids one after another, and how many each text has."""
-        docs = [self.words(t) for t in texts]
-        try:
-            at = [np.fromiter(map(self.place.__getitem__, d), np.int64, len(d)) for d in docs]
-        except KeyError:
-            self.learn({w for d in docs for w in d if w is not None})
-            at = [np.fromiter(map(self.place.__getitem__, d), np.int64, len(d)) for d in docs]
-        ids, size = self.gather(np.concatenate(at) if at else np.empty(0, np.int64))
-        ends = np.cumsum(size)
-        last = np.cumsum([len(d) for d in docs], dtype=np.int64)
-        return ids, np.diff(ends[last - 1], prepend=0) if len(docs) else size
+        """All ids one after another, and how many each text has. Each distinct word is looked up once."""
+        low = [t.lower() if self.lower and b"<|" not in t else t for t in texts]
+        split = pc.ascii_split_whitespace(pa.array(low, pa.large_string()))
+        coded = split.flatten().dictionary_encode()
+        one = pc.binary_join(pa.ListArray.from_arrays([0, len(coded.dictionary)], coded.dictionary), pa.scalar("\n", pa.large_string()))  # quicker to split than to unbox
+        words = one.cast(pa.large_binary())[0].as_py().split(b"\n") if len(coded.dictionary) else []
+        at = self.places(words)
+        unknown = np.flatnonzero(at < 0)
+        if len(unknown):
+            if len(self.place) + len(unknown) > WORDS:
+                self.forget()
+                self.learn([w for w in words if w])
+                at = self.places(words)
+            else:
+                own = [words[i] for i in unknown.tolist()]
+                self.learn(own)
+                at[unknown] = self.places(own)
+        ends = split.offsets.to_numpy()[1:].astype(np.int64)
+        ids, size = self.gather(np.insert(at[coded.indices.to_numpy()], ends, 0))
+        return ids, np.diff(np.cumsum(size)[ends + np.arange(len(texts))], prepend=0)
 
 
 _ENCODERS: dict[tuple, WordEncoder] = {}
