@@ -4,6 +4,7 @@ from collections import defaultdict
 import pytest
 from conftest import SF
 
+from wattline.llm import ngram_join
 from wattline.llm.components import components
 from wattline.llm.ngram_join import link_components, needed, one_of_each, pair_needed, prefix_size
 
@@ -188,3 +189,18 @@ def test_members_of_a_small_main_home(spark, monkeypatch):
     want = plain_components([r for p in parts for r in p], 1, 80)
     assert sum(c != i for i, _, c in want) == 1
     assert got == want
+
+
+def test_postings_are_shuffled_once_before_they_are_stored(spark, monkeypatch):
+    plans = []
+
+    def stored(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return df.localCheckpoint()
+
+    monkeypatch.setattr(ngram_join, "stored", stored)
+    prefix = "gid long, n long, prefix array<long>"
+    real = spark.createDataFrame([(1, 10, [1, 2, 3]), (2, 10, [1, 2, 9]), (2, 10, []), (3, 10, [7, 8, 9]), (1, 10, [1, 2, 3])], prefix)
+    found = ngram_join.shared_postings(real, 90, 1 << 10)
+    assert sorted(map(tuple, found.select("gid", "token").collect())) == [(1, 1), (1, 2), (2, 1), (2, 2), (2, 9), (3, 9)]
+    assert plans[0].count("Exchange") == 1 and "Join" not in plans[0]

@@ -12,7 +12,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wattline.llm.common import ROW, Hashes, Tally, arrow_table, columns, each, kind_of, lists_of, lookup, numbered, rows_of, shingles, signed, slices, stored, utf8
@@ -174,9 +174,8 @@ def in_bits(words: np.ndarray, keys: np.ndarray) -> np.ndarray:
 def shared_postings(real: DataFrame, percent: int, bits: int) -> DataFrame:
     """gid, n, place, token: the prefix shingles that a group shares with others, of groups that share enough of them."""
     spark = real.sparkSession
-    tokens = real.select(F.explode("prefix").alias("token")).groupBy("token").agg(F.count("*").alias("rows")).where("rows > 1")
-    tokens = stored(tokens.select("token"), "shared-shingles")
-    shared = spark.sparkContext.broadcast(bit_set(tokens.select(F.col("token").alias("key")), bits))
+    tokens = real.select(F.explode("prefix").alias("key")).groupBy("key").agg(F.count("*").alias("rows")).where("rows > 1")
+    shared = spark.sparkContext.broadcast(bit_set(tokens.select("key"), bits))
     schema = "gid long, n long, place long, token long"
     fields = arrow_table(schema)
 
@@ -193,14 +192,14 @@ def shared_postings(real: DataFrame, percent: int, bits: int) -> DataFrame:
             yield rows_of(fields, b.column(0).to_numpy(zero_copy_only=False)[row[hit]], size[row[hit]], place[hit], flat[hit])
 
     likely = real.where(F.size("prefix") > 0).select("gid", "n", "prefix").mapInArrow(work, schema)
-    kept = likely.dropDuplicates(["gid", "token"]).join(tokens, "token")
-    need = F.expr(needed_sql("n", percent))
+    kept = likely.repartition("gid").dropDuplicates(["gid", "token"])  # a group's rows meet once for this and for their count
+    own = F.count("*").over(Window.partitionBy("gid"))
     for _ in range(2):  # what a group shares with itself, or with groups that don't share enough, is no use
-        kept = stored(kept, "shared-postings")
-        sizes = kept.groupBy("gid", "n").agg(F.count("*").alias("own")).where(F.col("own") >= need)
-        kept = stored(kept.join(sizes.select("gid"), "gid", "left_semi"), "shared-postings")
+        enough = kept.withColumn("own", own).where(F.col("own") >= F.expr(needed_sql("n", percent)))
+        kept = stored(enough.drop("own"), "shared-postings")
         kept = kept.join(kept.groupBy("token").agg(F.count("*").alias("df")).where("df > 1").select("token"), "token", "left_semi")
-    return stored(kept, "shared-postings")
+        kept = stored(kept, "shared-postings")
+    return kept
 
 
 def whole_sets(base: DataFrame, k: int, texts: DataFrame, bits: int) -> DataFrame:
@@ -405,9 +404,10 @@ def _links(base: DataFrame, real: DataFrame, members: DataFrame, k: int, percent
     # a shingle of few members: pairs, if they share enough of them, or could with the others
     others = many.groupBy("node").agg(F.count("*").alias("others"))
     few = few.join(others, "node", "left").select("token", "node", "n", "gid", "home", "large", "part", F.coalesce("others", F.lit(0)).alias("others"))
+    few = few.repartition("token")  # both sides read this one shuffle, for they use the same columns
     x, y = (few.select("token", *[F.col(c).alias(side + c) for c in few.columns if c != "token"]) for side in "xy")
     met = x.join(y, "token").where(
-        (F.col("xnode") < F.col("ynode")) & (F.col("xpart") != F.col("ypart")) & (F.col("xgid") != F.col("ygid")) & ~(F.col("xlarge") & (F.col("xhome") == F.col("yhome")))
+        (F.col("xnode") < F.col("ynode")) & (F.col("xpart") != F.col("ypart")) & (F.col("xgid") != F.col("ygid")) & ~(F.col("xlarge") & F.col("ylarge") & (F.col("xhome") == F.col("yhome")))
         & (100 * F.least("xn", "yn") >= percent * F.greatest("xn", "yn"))
     )
     met = met.groupBy("xnode", "ynode").agg(F.count("*").alias("shared"), *[F.max(c).alias(c) for c in ("xn", "yn", "xothers", "yothers")])
