@@ -1,3 +1,4 @@
+import gc
 import json
 import zlib
 from urllib.parse import urlparse
@@ -11,6 +12,7 @@ from fixtures import messy, messy_rows
 from tokenizers import Tokenizer
 
 from wattline.llm.catalog import QUERIES
+from wattline.llm.common import slices
 from wattline.llm.encoder import WordEncoder
 from wattline.llm.packing import Schedule, pack, pieces
 from wattline.llm.token_files import read_index, read_token_files, write_token_files
@@ -153,3 +155,14 @@ def test_only_unknown_words_are_learnt(monkeypatch):
         want = [[*plain.encode(t, add_special_tokens=False).ids, 1] for t in batch]
         assert ids.tolist() == sum(want, []) and sizes.tolist() == [len(w) for w in want]
     assert learnt[0] == [b"and", b"lead,", b"trail"] and b"and" not in learnt[1] and b"lead" not in learnt[1]
+
+
+def test_a_worker_lets_go_of_the_encoder_when_another_stage_begins(spark):
+    docs = spark.createDataFrame([(i, "some words") for i in range(8)], "doc_id long, text string")
+    pack(docs, source=None).collect()
+
+    def left(batches):
+        for b in slices(batches, 1):
+            yield pa.RecordBatch.from_arrays([pa.array([sum(isinstance(x, WordEncoder) for x in gc.get_objects())])], ["n"])
+
+    assert {r.n for r in docs.repartition(8).mapInArrow(left, "n long").collect()} == {0}

@@ -10,6 +10,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
+from wattline.llm.common import KEPT, tidy
+
 #: Distinct words remembered by a worker.
 WORDS = 800_000
 #: A line of Latin letters, and marks of ASCII behind them; or any other line.
@@ -131,13 +133,10 @@ class WordEncoder:
         return ids, np.diff(np.cumsum(size)[ends + np.arange(len(texts))], prepend=0)
 
 
-_ENCODERS: dict[tuple, WordEncoder] = {}
-
-
 def encoder(path: str, end: int = 1, lower: bool = True) -> WordEncoder:
-    """The worker's encoder for a vocabulary: workers are used for many tasks."""
-    key = (path, end, lower)
-    if key not in _ENCODERS:
-        _ENCODERS.clear()
-        _ENCODERS[key] = WordEncoder(path, end, lower)
-    return _ENCODERS[key]
+    """The worker's encoder for a vocabulary: the tasks of a stage share it."""
+    tidy()
+    key = ("encoder", path, end, lower)
+    if key not in KEPT:
+        KEPT[key] = WordEncoder(path, end, lower)
+    return KEPT[key]
