@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
 import uuid
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -15,6 +18,9 @@ from wattline.functions.scalar import add_missing, parse_time
 
 FILE_VEHICLE = r"(?i)vehicle_id=([^./]+)\.csv$"
 FOLDER_DAY = r"/dt=([^/]+)/"
+#: Files of more bytes are not read as one row to be hashed.
+WHOLE = 16 << 20
+BOM = b"\xef\xbb\xbf"
 
 
 def vehicle_of(path: Column) -> Column:
@@ -230,28 +236,88 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
 
-def fingerprints(spark: SparkSession, root: str, days: Sequence[str] | None = None, vehicles: Sequence[str] | None = None) -> DataFrame:
+def fingerprints(
+    spark: SparkSession, root: str, days: Sequence[str] | None = None, vehicles: Sequence[str] | None = None, whole: int = WHOLE
+) -> DataFrame:
     """First 16 hex digits of the SHA-256 of every Parquet file, by path below `root`. Only files of the
     wanted days and vehicles are listed and read.
 
-    One row holds a whole file, so files must stay under 2 GB.
+    A file of up to `whole` bytes is one row. A larger one is read in pieces, which end where a byte is a line feed, by one
+    task from its beginning to its end; only a stretch of 2 GB without that byte is too long.
     """
     names = [f"vehicle_id={{{','.join(vehicles)}}}"] if vehicles is not None else []
     patterns = ["/".join([root, f"dt={d}", *names]) for d in days] if days is not None else ["/".join([root, "dt=*", *names]) if names else root]
     paths = patterns if patterns == [root] else existing_paths(spark, patterns)
     if not paths:
         return spark.createDataFrame([], "file string, sha256 string")
-    # recursiveFileLookup keeps the folder names out of the columns
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.parquet")
-        .load(paths)
+
+    def files(kind: str, **options: str) -> DataFrame:
+        # recursiveFileLookup keeps the folder names out of the columns
+        return spark.read.format(kind).options(recursiveFileLookup=True, pathGlobFilter="*.parquet", **options).load(paths)
+
+    small = files("binaryFile").where(F.col("length") <= whole).select("path", F.sha2("content", 256).alias("digest"))
+    # what a codec that can't be split reads is one block; this one changes nothing. Libraries name its option in different ways
+    codec = spark._jvm.org.apache.hadoop.io.compress.PassthroughCodec
+    pieces = files("text", lineSep="\n", **{"io.compression.codecs": codec.CLASSNAME, codec.OPT_EXTENSION: ".parquet"})
+    pieces = pieces.where(F.col("_metadata.file_size") > whole).select(
+        _decoded_path().alias("path"),
+        F.col("_metadata.file_size").alias("size"),
+        F.concat(F.col("value").cast("binary"), F.lit(b"\n")).alias("piece"),
     )
+    hashed = small.unionByName(pieces.mapInArrow(_digests, "path string, digest string"))
     path = F.url_decode(F.replace(F.col("path"), F.lit("+"), F.lit("%2B")))
-    out = files.withColumn("file", F.regexp_extract(path, r"((?:dt=[^/]+/)?(?:vehicle_id=[^/]+/)?[^/]+)$", 1))
-    digest = F.concat(F.lit("sha256:"), F.substring(F.sha2("content", 256), 1, 16))
-    return out.select("file", digest.alias("sha256"))
+    out = hashed.withColumn("file", F.regexp_extract(path, r"((?:dt=[^/]+/)?(?:vehicle_id=[^/]+/)?[^/]+)$", 1))
+    return out.select("file", F.concat(F.lit("sha256:"), F.substring("digest", 1, 16)).alias("sha256"))
+
+
+def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """SHA-256 of files whose pieces (path, size of the file, bytes with a line feed) come in order, file by file."""
+    path, digest = None, None
+
+    def row() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([path]), pa.array([digest.hex()])], ["path", "digest"])
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        paths, sizes, pieces = batch.columns
+        codes = paths.dictionary_encode().indices.to_numpy()
+        cuts = [0, *(np.flatnonzero(np.diff(codes)) + 1).tolist(), batch.num_rows]
+        for begin, end in zip(cuts, cuts[1:]):
+            if paths[begin].as_py() != path:
+                if path is not None:
+                    yield row()
+                path, digest = paths[begin].as_py(), _Digest(sizes[begin].as_py(), pieces[begin].as_py())
+            digest.add(pieces[begin:end])
+    if path is not None:
+        yield row()
+
+
+class _Digest:
+    """SHA-256 of a file from its pieces. Two things are known only at the end, by the file's size: whether the last line feed is the
+    file's, and whether it begins with a byte order mark, which the reader of text leaves out."""
+
+    def __init__(self, size: int, first: bytes):
+        self.size, self.read = size, 0
+        self.starts = {s: hashlib.sha256(s) for s in ([b""] if first.startswith(b"PAR1") else [b"", BOM])}
+
+    def add(self, pieces: pa.Array) -> None:
+        bounds = np.frombuffer(pieces.buffers()[1], np.int32)[pieces.offset : pieces.offset + len(pieces) + 1]
+        begin, end = int(bounds[0]), int(bounds[-1])
+        for h in self.starts.values():
+            if self.read:
+                h.update(b"\n")
+            h.update(memoryview(pieces.buffers()[2])[begin : end - 1])
+        self.read += end - begin
+
+    def hex(self) -> str:
+        for start, h in self.starts.items():
+            left_over = self.size - len(start) - self.read
+            if left_over == 0:
+                h.update(b"\n")
+            if left_over in (0, -1):
+                return h.hexdigest()
+        raise ValueError(f"read {self.read} bytes of a file of {self.size}")
 
 
 # ---- file system, through Hadoop, so that any store works
