@@ -24,7 +24,7 @@ def tables(spark):
         toxic += [" ".join([prose(rng, 20), word, prose(rng, 20)]) for _ in range(n)]
     toxic += [text(rng, 50, 3).decode() for _ in range(12)]
     body = prose(rng, 60)
-    toxic += [f"{body} {COPIED} {body} {rng.choice(BAD)}" for _ in range(30)]
+    toxic += [f"{body} {prose(rng, 2) if i % 6 == 0 else ''} {COPIED} {body} {rng.choice(BAD)}" for i in range(30)]
     rows = [(i, t, 1) for i, t in enumerate(toxic)] + [(1_000 + i, prose(rng, 50), 0) for i in range(1_800)]
     frame = spark.createDataFrame(rows, "doc_id long, text string, toxic int").repartition(5)
     return frame.select("doc_id", "text"), frame.select("doc_id", "toxic")
